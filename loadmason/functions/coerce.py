@@ -134,6 +134,15 @@ def convert(
     return _from_date(x, target, date_format)
 
 
+def pass_through(column: Column, spark_type: T.DataType, target: TargetColumn) -> Cell:
+    """The cell of an exact-match insert: nothing changes but timestamps, cut to milliseconds."""
+    if target.type == "TIMESTAMP":
+        return Cell(to_millis(column))
+    if target.type == "DECIMAL":
+        return _from_decimal(column, spark_type, target)
+    return Cell(column)
+
+
 def lost(source: Column, value: Column) -> Column:
     return source.isNotNull() & value.isNull()
 

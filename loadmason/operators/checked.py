@@ -14,7 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.coerce import Cell, convert
+from ..functions.coerce import Cell, convert, pass_through
 from ..functions.parsing import pattern_or_default
 from ..functions.text_cells import render_field
 from ..functions.types import Target, TargetColumn, target_type
@@ -131,7 +131,10 @@ def convert_frame(
     positional = df.toDF(*sources)
     fields, values, texts = [], [], []
     for source, given, column in zip(sources, df.schema.fields, target.columns):
-        cell = convert(F.col(source), given.dataType, column, date_format, exact_decimals)
+        if mode == "exact":
+            cell = pass_through(F.col(source), given.dataType, column)
+        else:
+            cell = convert(F.col(source), given.dataType, column, date_format, exact_decimals)
         message = f"{column.name}: {given.dataType.simpleString()} does not fit {column.type}"
         fields.append(Field(column, source, cell, message))
         values.append(cell.value.alias(f"v{len(values)}"))

@@ -1 +1 @@
-"""plans"""
+"""Whole jobs: loads, stores, inserts and the file-load script."""

@@ -21,6 +21,8 @@ def write_staged(df: DataFrame, path: str, target=None, mode: str = "errorifexis
     the Spark schema, so it costs no column and cannot be lost on its own.
     """
     own = Target.of(df.schema)
+    if mode == "append":
+        raise ValueError("a staged folder holds one write; stage the next one elsewhere")
     target = Target.of(target) if target is not None else own
     check_arity(len(own), target)
     if own.types != target.types:

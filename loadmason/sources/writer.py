@@ -1,0 +1,101 @@
+"""``df.write.format("bulkload")``: a write-only source that stores typed rows in a folder.
+
+Rows must have the target's own types (see :func:`loadmason.coerce`). Each task
+writes one Parquet file out of readers' sight; the files appear under the
+folder when the whole job commits, and vanish when it is aborted.
+"""
+
+from __future__ import annotations
+
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+
+from ..functions.types import Target
+from ..operators.schema import check_exact
+from ..plans.sinks import effective_batch_size
+
+FORMAT = "bulkload"
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    file: str | None
+    rows: int
+
+
+class BulkLoadSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return FORMAT
+
+    def writer(self, schema: T.StructType, overwrite: bool) -> BulkLoadWriter:
+        if overwrite:
+            raise ValueError(f"{FORMAT} only appends")
+        missing = [option for option in ("path", "columns") if not (self.options.get(option) or "").strip()]
+        if missing:
+            raise ValueError(f"options {missing} must be set")
+        target = Target.of(self.options["columns"])
+        check_exact(schema, target)
+        return BulkLoadWriter(self.options["path"], target.names, effective_batch_size(self.options.get("batch_size")))
+
+
+class BulkLoadWriter(DataSourceArrowWriter):
+    def __init__(self, path: str, names: list[str], batch_size: int):
+        self.path, self.names, self.batch_size = path.rstrip("/"), names, batch_size
+        self.pending = f"_pending-{uuid.uuid4().hex}"
+
+    def _open(self):
+        from pyarrow import fs
+
+        return fs.FileSystem.from_uri(self.path)
+
+    def write(self, iterator) -> Written:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        import pyarrow.parquet as pq
+
+        files, root = self._open()
+        name, rows, out = f"part-{uuid.uuid4().hex}.parquet", 0, None
+        try:
+            for batch in iterator:
+                columns = [
+                    pc.floor_temporal(c, unit="millisecond") if pa.types.is_timestamp(c.type) else c
+                    for c in batch.columns
+                ]
+                table = pa.table(columns, names=self.names)
+                if out is None:
+                    files.create_dir(f"{root}/{self.pending}", recursive=True)
+                    out = pq.ParquetWriter(f"{root}/{self.pending}/{name}", table.schema, filesystem=files)
+                # the batch size is the least a row group holds, unless the task has fewer rows
+                out.write_table(table, row_group_size=max(self.batch_size, table.num_rows))
+                rows += table.num_rows
+        finally:
+            if out is not None:
+                out.close()
+        return Written(name if out is not None else None, rows)
+
+    def commit(self, messages) -> None:
+        files, root = self._open()
+        written = [m.file for m in messages if m is not None and m.file]
+        for name in written:
+            files.move(f"{root}/{self.pending}/{name}", f"{root}/{name}")
+        self._clear()
+
+    def abort(self, messages) -> None:
+        self._clear()
+
+    def _clear(self) -> None:
+        from pyarrow.fs import FileType
+
+        files, root = self._open()
+        folder = f"{root}/{self.pending}"
+        if files.get_file_info(folder).type == FileType.Directory:
+            files.delete_dir(folder)
+
+
+def register(spark: SparkSession) -> None:
+    spark.dataSource.register(BulkLoadSource)

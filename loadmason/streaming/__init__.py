@@ -1 +1 @@
-"""streaming"""
+"""Micro-batch loading."""
