@@ -193,11 +193,10 @@ def _from_double(x: Column, target: TargetColumn, exact_decimals: bool) -> Cell:
 
 
 def _from_decimal(x: Column, spark_type: T.DecimalType, target: TargetColumn) -> Cell:
-    whole = x == F.floor(x)
+    # the remainder is exact; comparing with the floor may round both to fit 38 digits
+    whole = x % F.lit(Decimal(1)) == 0
     if target.type in BOUNDS:
-        low, high = BOUNDS[target.type]
-        fits = whole & x.between(F.lit(Decimal(low)), F.lit(Decimal(high)))
-        return Cell(F.when(fits, x.try_cast(target.spark_type)), lost)
+        return Cell(F.when(whole, x.try_cast(target.spark_type)), lost)
     if target.type == "DECIMAL":
         into = target.spark_type
         room = into.precision - into.scale

@@ -6,6 +6,7 @@ A value is named in one layer and tested in the next, so it is computed once.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -18,7 +19,7 @@ from ..functions.coerce import Cell, convert, pass_through
 from ..functions.parsing import pattern_or_default
 from ..functions.text_cells import render_field
 from ..functions.types import Target, TargetColumn, target_type
-from .schema import check
+from .schema import check, check_pair
 
 FAULT = "__fault"
 ROW_TEXT = "__row_text"
@@ -146,6 +147,32 @@ def convert_frame(
     )
 
 
+def convert_columns(
+    df: DataFrame,
+    conversions: Sequence[tuple[str, Column, str]],
+    keep: Sequence[str] = (),
+    date_format: str | None = None,
+    strictly: bool = False,
+) -> DataFrame:
+    """Converts single columns, given as (new name, source, target type).
+
+    Each yields the value, null where it was refused, and ``<name>_refused``.
+    """
+    date_format = pattern_or_default(date_format)
+    sources = [f"__s{i}" for i in range(len(conversions))]
+    layer = df.select(*keep, *[source.alias(s) for s, (_, source, _) in zip(sources, conversions)])
+    values, flags = [], []
+    for source, (name, _, into) in zip(sources, conversions):
+        given = layer.schema[source].dataType
+        column = Target.of([(name, into)]).columns[0]
+        check_pair(name, given, column.type, strictly)
+        cell = convert(F.col(source), given, column, date_format)
+        refused = cell.refused(F.col(source), F.col(name)) if cell.refused else F.lit(False)
+        values.append(cell.value.alias(name))
+        flags += [F.col(name), refused.alias(f"{name}_refused")]
+    return layer.select(*keep, *sources, *values).select(*keep, *flags)
+
+
 def coerce(
     df: DataFrame,
     target,

@@ -27,17 +27,31 @@ def check(schema: T.StructType, target, mode: str = "strict") -> None:
 def check_coercible(schema: T.StructType, target: Target, strictly: bool = True) -> None:
     """Same column count, and every pair in the conversion matrix."""
     check_arity(len(schema.fields), target)
-    problems = []
-    for field, column in zip(schema.fields, target.columns):
-        kind = source_kind(field.dataType)
-        if kind is None:
-            problems.append(f"{field.name}: {field.dataType.simpleString()} is not supported")
-        elif not is_compatible(kind, column.type, strictly):
-            problems.append(f"{field.name}: {field.dataType.simpleString()} is not compatible with {column.type}")
+    found = [
+        pair_problem(field.name, field.dataType, column.type, strictly)
+        for field, column in zip(schema.fields, target.columns)
+    ]
+    problems = [problem for problem in found if problem]
     if problems:
         raise SchemaMismatch("; ".join(problems))
 
 
+def check_pair(name: str, given: T.DataType, into: str, strictly: bool) -> None:
+    """Raises unless a column of one type may go into a target type."""
+    problem = pair_problem(name, given, into, strictly)
+    if problem:
+        raise SchemaMismatch(problem)
+
+
+def pair_problem(name: str, given: T.DataType, into: str, strictly: bool) -> str | None:
+    kind = source_kind(given)
+    if kind is None:
+        return f"{name}: {given.simpleString()} is not supported"
+    if not is_compatible(kind, into, strictly):
+        return f"{name}: {given.simpleString()} is not compatible with {into}"
+    return None
+
+
 def check_exact(schema: T.StructType, target: Target) -> None:
     """The source types must be the target types, in the same order."""
     if not schema.fields or any(not f.name for f in schema.fields):

@@ -25,10 +25,13 @@ def load_stream(
     write and the checkpoint runs again: with ``mode="upsert"`` that changes
     nothing, a plain append may then hold the batch's rows twice.
     """
-    check(stream.schema, check_target(stream.sparkSession, table), options.get("coerce", "strict"))
+    spark = stream.sparkSession
+    check(stream.schema, check_target(spark, table), options.get("coerce", "strict"))
 
     def load_batch(batch: DataFrame, _batch_id: int) -> None:
         load(batch, table, **options)
+        # batches run in a session of their own; let the caller's see the new files
+        spark.catalog.refreshTable(table)
 
     writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
