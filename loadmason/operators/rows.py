@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..errors import SchemaMismatch
 from ..functions.types import Target
 from .schema import check_arity
 
@@ -33,8 +34,9 @@ def row_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     One shuffle: both sides are counted together, so equal rows cancel out and
     a row repeated any number of times reaches a reducer once per task.
     """
-    check_arity(len(right.columns), Target.of(left.schema))
     names = left.columns
+    if len(right.columns) != len(names):
+        raise SchemaMismatch(f"mismatched column counts: {len(names)} and {len(right.columns)}")
     both = left.withColumn("__side", F.lit(1).cast("bigint")).unionAll(
         right.toDF(*names).withColumn("__side", F.lit(-1).cast("bigint"))
     )

@@ -2,7 +2,7 @@
 
 Rows must have the target's own types (see :func:`loadmason.coerce`). Each task
 writes one Parquet file out of readers' sight; the files appear under the
-folder when the whole job commits, and vanish when it is aborted.
+folder when the whole job commits, and never do when it is aborted.
 """
 
 from __future__ import annotations
