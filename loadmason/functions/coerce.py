@@ -11,13 +11,24 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from decimal import ROUND_HALF_UP, Context, Decimal
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import SchemaMismatch
-from .parsing import PLAIN_TRIM, parse_decimal, parse_double, parse_integer, parse_timestamp
+from .parsing import (
+    PLAIN_TRIM,
+    is_misspelt_double,
+    is_padded_integer,
+    parse_decimal,
+    parse_double,
+    parse_integer,
+    parse_timestamp,
+)
 from .types import NULL_TOKEN, STORED_AS, TargetColumn
 
 # Target types each kind of source may go to. Loose adds to strict.
@@ -59,7 +70,7 @@ MAX_MILLIS = (2**63 - 1) // 1000
 
 @dataclass(frozen=True)
 class Cell:
-    """``value`` converts; ``refused(source, value)`` is true where it could not."""
+    """``value`` converts; ``refused(source, value)`` is true where it must not be used."""
 
     value: Column
     refused: Callable[[Column, Column], Column] | None = None
@@ -220,9 +231,9 @@ def _from_string(x: Column, target: TargetColumn, date_format: str) -> Cell:
         kept = F.when(x != F.lit(NULL_TOKEN), x)
         return Cell(kept if target.type == "STRING" else F.encode(kept, "UTF-8"))
     if target.type in BOUNDS:
-        return Cell(parse_integer(x, target.spark_type), refused)
+        return Cell(parse_integer(x, target.spark_type), lambda source, v: refused(source, v) | is_padded_integer(source, v))
     if target.type == "FLOAT":
-        return Cell(parse_double(x), refused)
+        return Cell(parse_double(x), lambda source, v: refused(source, v) | is_misspelt_double(source, v))
     if target.type == "DECIMAL":
         return Cell(parse_decimal(F.btrim(x, F.lit(PLAIN_TRIM)), target.spark_type), refused)
     return Cell(parse_timestamp(x, date_format), refused)
@@ -260,26 +271,17 @@ def _ieee_bytes(number: Column) -> Column:
     return F.when(number.isNotNull(), _big_endian(bits, 8))
 
 
-def _decimal_bytes(number: Column) -> Column:
-    """A decimal(38,12) as the 16-byte big-endian two's complement of its unscaled value.
+@F.arrow_udf(T.BinaryType())
+def _decimal_bytes(numbers: pa.Array) -> pa.Array:
+    """decimal(38,12) as the 16-byte big-endian two's complement of its unscaled value.
 
-    The unscaled value needs up to 127 bits, so it is cut into a signed high
-    and an unsigned low half of 64 bits, the low one again into two.
+    Arrow holds a decimal as just that in little-endian order, so whole batches
+    are turned round without looking at single values.
     """
-    below_one = (number.cast("decimal(13,12)") * F.lit(Decimal(10**12))).cast("decimal(38,0)")
-    digits = F.replace(number.cast("string"), F.lit("."), F.lit("")).cast("decimal(38,0)")
-    unscaled = F.when(F.abs(number) < 1, below_one).otherwise(digits)
-    half, quarter = F.lit(Decimal(2**64)), F.lit(Decimal(2**32))
-    remainder = unscaled % half
-    borrow = remainder < 0
-    high = F.call_function("div", unscaled, half) - F.when(borrow, F.lit(1)).otherwise(F.lit(0))
-    low = F.when(borrow, (remainder + half).cast("decimal(20,0)")).otherwise(remainder.cast("decimal(20,0)"))
-    parts = [
-        F.lpad(F.hex(high), 16, "0"),
-        F.lpad(F.hex(F.call_function("div", low, quarter)), 8, "0"),
-        F.lpad(F.hex((low % quarter).cast("bigint")), 8, "0"),
-    ]
-    return F.unhex(F.concat(*parts))
+    stored = np.frombuffer(numbers.buffers()[1], dtype=np.uint8)[16 * numbers.offset :][: 16 * len(numbers)]
+    turned = np.ascontiguousarray(stored.reshape(-1, 16)[:, ::-1])
+    fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(numbers), [None, pa.py_buffer(turned)])
+    return pc.if_else(numbers.is_valid(), fixed.cast(pa.binary()), pa.scalar(None, pa.binary()))
 
 
 def decimal_text(number: Column, spark_type: T.DecimalType) -> Column:
@@ -294,7 +296,7 @@ def _exact_decimal(spark_type: T.DecimalType):
     """The full binary expansion of a double, rounded half up to the target's scale.
 
     Spark's cast starts from the shortest text instead, and no built-in keeps
-    the expansion; this is the one opt-in cell that runs in Python.
+    the expansion, so this opt-in cell runs in Python.
     """
     step = Decimal(1).scaleb(-spark_type.scale)
     limit = Decimal(10) ** (spark_type.precision - spark_type.scale)

@@ -2,7 +2,7 @@
 
 Each returns null for text it cannot read; callers decide whether that null is
 a fault or one of the null tokens. Spark's own casts trim, and accept spellings
-such as ``inf``, so the accepted form is tested first.
+such as ``inf``, so the form of the text is tested as well, before or after.
 """
 
 from __future__ import annotations
@@ -30,14 +30,27 @@ _DEFAULT_TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\.[
 
 
 def parse_integer(text: Column, spark_type: T.DataType) -> Column:
-    return F.when(text.rlike(_INTEGER), text.try_cast(spark_type))
+    return text.try_cast(spark_type)
+
+
+def is_padded_integer(text: Column, number: Column) -> Column:
+    """Whether text the cast took as a whole number is more than digits and a sign.
+
+    Most numbers print as they were written, which is quicker to see than a
+    pattern is to match.
+    """
+    return number.isNotNull() & (number.cast("string") != text) & ~text.rlike(_INTEGER)
 
 
 def parse_double(text: Column) -> Column:
-    number = text.try_cast("double")
+    return text.try_cast("double")
+
+
+def is_misspelt_double(text: Column, number: Column) -> Column:
+    """Whether text the cast took as a special number is spelt in another way than
+    ``NaN`` or ``Infinity``."""
     odd = F.isnan(number) | (F.abs(number) == float("inf"))
-    misspelt = text.rlike(_SPECIAL) & ~text.rlike(_SPECIAL_ACCEPTED)
-    return F.when(odd & misspelt, F.lit(None)).otherwise(number)
+    return number.isNotNull() & odd & text.rlike(_SPECIAL) & ~text.rlike(_SPECIAL_ACCEPTED)
 
 
 def parse_decimal(text: Column, spark_type: T.DecimalType) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .coerce import BOUNDS, Cell, decimal_text, lost
-from .parsing import parse_decimal, parse_double, parse_integer, parse_timestamp
+from .parsing import is_misspelt_double, is_padded_integer, parse_decimal, parse_double, parse_integer, parse_timestamp
 from .types import NULL_TOKEN, TargetColumn
 
 
@@ -23,9 +23,9 @@ def parse_field(field: Column, target: TargetColumn, date_format: str) -> Cell:
         return lost(source, value) & ~source.isin("", NULL_TOKEN)
 
     if target.type in BOUNDS:
-        return Cell(parse_integer(field, target.spark_type), refused)
+        return Cell(parse_integer(field, target.spark_type), lambda source, v: refused(source, v) | is_padded_integer(source, v))
     if target.type == "FLOAT":
-        return Cell(parse_double(field), refused)
+        return Cell(parse_double(field), lambda source, v: refused(source, v) | is_misspelt_double(source, v))
     if target.type == "DECIMAL":
         return Cell(parse_decimal(field, target.spark_type), refused)
     return Cell(parse_timestamp(field, date_format), refused)

@@ -66,15 +66,17 @@ class Checked:
 
     def flagged(self) -> DataFrame:
         """Every row, with its cause (null when accepted) and, if refused, its text."""
-        refused = {i: test for i in range(len(self.fields)) if (test := self._refused(i)) is not None}
+        tests = {f"r{i}": test for i in range(len(self.fields)) if (test := self._refused(i)) is not None}
+        tested = self.layer.withColumns(tests)
         fault = F.lit(None).cast("string")
-        if refused:
-            causes = [F.when(test, F.lit(self.fields[i].message)) for i, test in refused.items()]
-            fault = F.when(reduce(or_, refused.values()), F.concat_ws("; ", *causes))
+        if tests:
+            causes = [F.when(F.col(name), F.lit(self.fields[int(name[1:])].message)) for name in tests]
+            fault = F.when(reduce(or_, [F.col(name) for name in tests]), F.concat_ws("; ", *causes))
         if self.bad_row is not None:
             fault = F.coalesce(F.col(self.bad_row), fault)
         values = [F.col(f"v{i}").alias(f.target.name) for i, f in enumerate(self.fields)]
-        return self.layer.select(*values, fault.alias(FAULT), F.when(fault.isNotNull(), self.row_text).alias(ROW_TEXT))
+        shown = F.when(F.col(FAULT).isNotNull(), self.row_text)
+        return tested.withColumn(FAULT, fault).select(*values, FAULT, shown.alias(ROW_TEXT))
 
     def failing(self) -> DataFrame:
         """The converted rows; reading a refused one ends the job with its cause.
@@ -87,7 +89,7 @@ class Checked:
             value = F.col(f"v{index}")
             refused = self._refused(index)
             if refused is not None:
-                shown = F.concat(F.lit(field.message + ": "), F.coalesce(F.col(field.source).cast("string"), F.lit("null")))
+                shown = F.concat_ws(": ", F.lit(field.message), F.col(field.source).cast("string"))
                 value = F.when(refused, F.raise_error(shown)).otherwise(value)
             columns.append(value.cast(field.target.spark_type).alias(field.target.name))
         return (self.failing_layer or self.layer).select(*columns)
@@ -167,9 +169,12 @@ def convert_columns(
         column = Target.of([(name, into)]).columns[0]
         check_pair(name, given, column.type, strictly)
         cell = convert(F.col(source), given, column, date_format)
-        refused = cell.refused(F.col(source), F.col(name)) if cell.refused else F.lit(False)
         values.append(cell.value.alias(name))
-        flags += [F.col(name), refused.alias(f"{name}_refused")]
+        if cell.refused:
+            refused = cell.refused(F.col(source), F.col(name))
+            flags += [F.when(~refused, F.col(name)).alias(name), refused.alias(f"{name}_refused")]
+        else:
+            flags += [F.col(name), F.lit(False).alias(f"{name}_refused")]
     return layer.select(*keep, *sources, *values).select(*keep, *flags)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
@@ -30,17 +30,29 @@ def split_pattern(sep: str) -> str:
     return "".join(c if c.isalnum() or ord(c) > 127 or c.isspace() else "\\" + c for c in sep)
 
 
-def has_unusual_space(line: Column, sep: str) -> Column:
-    """Whether white space other than the plain space may stand at the edge of a field.
+def trimmed_parts(line: Column, sep: str) -> tuple[Column, Callable[[Column], Column]]:
+    """The parts of a line, and what still trims a single part.
 
-    Byte searches answer for a line of plain ASCII; only other lines need the
-    slower search for a set of characters.
+    Trimming plain spaces is far cheaper than trimming a set of characters, so
+    other white space is taken off the whole line beforehand, from the lines
+    that have any. Byte searches tell so for plain ASCII; only other lines need
+    the search for a set of characters.
     """
-    narrow = [c for c in UNICODE_SPACE if ord(c) < 128 and c not in sep and c != " "]
-    wide = "".join(c for c in UNICODE_SPACE if ord(c) >= 128 and c not in sep)
-    found = [F.instr(line, c) > 0 for c in narrow]
+    pattern = split_pattern(sep)
+    if len(sep) > 1 and any(c in UNICODE_SPACE for c in sep):
+        # white space at a part's edge may look like a piece of the separator
+        return F.split(line, pattern, -1), lambda part: F.btrim(part, F.lit(UNICODE_SPACE))
+    space = "".join(c for c in UNICODE_SPACE if c != sep)
+    wide = "".join(c for c in space if ord(c) >= 128)
     not_ascii = F.octet_length(line) != F.char_length(line)
-    return reduce(or_, found, not_ascii & line.rlike(f"[{wide}]"))
+    narrow = [line.contains(c) for c in space if ord(c) < 128 and c != " "]
+    unusual = reduce(or_, narrow, not_ascii & line.rlike(f"[{wide}]"))
+    clean = F.regexp_replace(F.btrim(line, F.lit(space)), f"[{space}]*{pattern}[{space}]*", quote_replacement(sep))
+    return F.split(F.when(unusual, clean).otherwise(line), pattern, -1), F.trim
+
+
+def quote_replacement(sep: str) -> str:
+    return sep.replace("\\", "\\\\").replace("$", "\\$")
 
 
 def check_lines(
@@ -51,29 +63,22 @@ def check_lines(
     check_arity(len(target), target)
     date_format = pattern_or_default(date_format)
     sep = sep or DEFAULT_SEPARATOR
-    parts = lines.toDF("line").select(
-        "line",
-        F.split("line", split_pattern(sep), -1).alias("parts"),
-        has_unusual_space(F.col("line"), sep).alias("unusual"),
-    )
+    parts, trim = trimmed_parts(F.col("line"), sep)
     fields, trimmed, values = [], [], []
     for index, column in enumerate(target.columns):
         source = f"s{index}"
-        part = F.get("parts", F.lit(index))
-        # trimming plain spaces is far cheaper than trimming a set of characters
-        full = F.btrim(part, F.lit(UNICODE_SPACE))
-        trimmed.append(F.when(F.col("unusual"), full).otherwise(F.trim(part)).alias(source))
+        trimmed.append(trim(F.get("parts", F.lit(index))).alias(source))
         cell = parse_field(F.col(source), column, date_format)
         fields.append(Field(column, source, cell, f"{column.name}: not a valid {column.type}"))
         values.append(cell.value.alias(f"v{index}"))
     sources = [f.source for f in fields]
     arity = F.size("parts")
-    mismatch = F.concat(
-        F.lit(f"mismatched field counts: expected {len(target)}, actual "), arity.cast("string")
-    )
     wrong = arity != len(target)
-    reporting = parts.select("line", F.when(wrong, mismatch).alias("bad_row"), *trimmed)
-    guarded = parts.withColumn("parts", F.when(wrong, F.raise_error(mismatch)).otherwise(F.col("parts")))
+    mismatch = F.concat(F.lit(f"mismatched field counts: expected {len(target)}, actual "), arity.cast("string"))
+    given = lines.toDF("line").select("line", parts.alias("parts"))
+    reporting = given.select("line", F.when(wrong, mismatch).alias("bad_row"), *trimmed)
+    # ending the job is part of every field, so it holds for whichever are read
+    guarded = given.select(F.when(wrong, F.raise_error(mismatch)).otherwise(F.col("parts")).alias("parts"))
     return Checked(
         reporting.select("line", "bad_row", *sources, *values),
         fields,
