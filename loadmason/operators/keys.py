@@ -8,6 +8,8 @@ never a window over the key's rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,10 +46,6 @@ def one_per_key(
     return grouped.select(*kept, COPIES)
 
 
-def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[Column]:
-    return [left[k].eqNullSafe(right[k]) for k in keys]
-
-
 def key_bytes(schema: T.StructType, keys: Sequence[str]) -> Column:
     """An upper estimate of one key's size in memory."""
     size = F.lit(16 * (len(keys) + 1)).cast("bigint")
@@ -57,8 +55,12 @@ def key_bytes(schema: T.StructType, keys: Sequence[str]) -> Column:
     return size
 
 
+def any_null(keys: Sequence[str]) -> Column:
+    return reduce(or_, [F.col(k).isNull() for k in keys])
+
+
 def join_counted(
-    rows: DataFrame, per_key: DataFrame, keys: Sequence[str], total: int, broadcast_keys: int, n_keys: int
+    rows: DataFrame, per_key: DataFrame, keys: Sequence[str], total: int, broadcast_keys: int, n_keys: int, null_safe: bool = True
 ) -> DataFrame:
     """Rows joined with the one row ``per_key`` holds for their key.
 
@@ -68,28 +70,36 @@ def join_counted(
     ``broadcast_keys`` of those. What is left has no large key to skew it.
     """
     if n_keys <= broadcast_keys:
-        return _join(rows, F.broadcast(per_key), keys)
+        return _with_key_row(rows, F.broadcast(per_key), keys, null_safe)
     cut = total // max(broadcast_keys, 1)
     hot = per_key.filter(F.col(COPIES) > cut)
     cold = per_key.filter(F.col(COPIES) <= cut)
-    return _join(rows, F.broadcast(hot), keys).unionByName(_join(rows, cold, keys))
-
+    joined = _with_key_row(rows, F.broadcast(hot), keys, null_safe)
+    return joined.unionByName(_with_key_row(rows, cold, keys, null_safe))
 
-def _join(rows: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
-    renamed = per_key.withColumnsRenamed({k: f"__k{i}" for i, k in enumerate(keys)})
-    on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
-    return rows.join(renamed, on).drop(*[f"__k{i}" for i in range(len(keys))])
 
+def without_keys(rows: DataFrame, listed: DataFrame, keys: Sequence[str], small: bool, null_safe: bool = True) -> DataFrame:
+    """Rows whose key is not listed.
 
-def without_keys(rows: DataFrame, listed: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
-    """Rows whose key is not listed; null keys compare equal."""
-    listed = listed.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
-    on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    Null keys compare equal where ``null_safe``; say False only if no listed
+    key holds a null. Plain equality can use the rows' bucketing.
+    """
+    listed, on = _renamed(listed.select(*keys), keys, null_safe)
     return rows.join(F.broadcast(listed) if small else listed, on, "left_anti")
 
 
-def with_keys(rows: DataFrame, listed: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
-    """Rows whose key is listed; null keys compare equal."""
-    listed = listed.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
-    on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+def with_keys(rows: DataFrame, listed: DataFrame, keys: Sequence[str], small: bool, null_safe: bool = True) -> DataFrame:
+    """Rows whose key is listed."""
+    listed, on = _renamed(listed.select(*keys), keys, null_safe)
     return rows.join(F.broadcast(listed) if small else listed, on, "left_semi")
+
+
+def _with_key_row(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    renamed, on = _renamed(per_key, keys, null_safe)
+    return rows.join(renamed, on).drop(*[f"__k{i}" for i in range(len(keys))])
+
+
+def _renamed(listed: DataFrame, keys: Sequence[str], null_safe: bool) -> tuple[DataFrame, list[Column]]:
+    pairs = [(F.col(k), F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    on = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
+    return listed.withColumnsRenamed({k: f"__k{i}" for i, k in enumerate(keys)}), on

@@ -24,6 +24,7 @@ from ..operators.faults import effective_limit
 from ..operators.keys import (
     BROADCAST_BYTES,
     COPIES,
+    any_null,
     join_counted,
     key_bytes,
     one_per_key,
@@ -188,7 +189,7 @@ class _Batch:
         self.picked: DataFrame | None = None  # one row per key
         self.present: DataFrame | None = None  # keys the target has already
         self.read = self.faults = self.n_keys = self.n_present = 0
-        self.broadcast_keys = 1
+        self.broadcast_keys, self.null_safe = 1, True
 
     def stage_rows(self, checked: Checked, rejecting: bool, numbered: bool) -> None:
         rows = checked.flagged() if rejecting else checked.failing()
@@ -205,9 +206,10 @@ class _Batch:
     def pick(self, last: bool) -> None:
         extra = [] if last else [ROW]
         self.picked = self._park(one_per_key(self.rows, self.keys, self.order_by, last, extra), "picked")
-        self.n_keys, total, widest = self.picked.agg(
-            F.count(F.lit(1)), F.sum(COPIES), F.max(key_bytes(self.picked.schema, self.keys))
+        self.n_keys, total, widest, null_keys = self.picked.agg(
+            F.count(F.lit(1)), F.sum(COPIES), F.max(key_bytes(self.picked.schema, self.keys)), F.count_if(any_null(self.keys))
         ).head()
+        self.null_safe = null_keys > 0
         self.read = self.faults + (total or 0)
         self.broadcast_keys = max(1, BROADCAST_BYTES // (widest or BROADCAST_BYTES))
 
@@ -216,10 +218,10 @@ class _Batch:
         if not self.n_keys or held.isEmpty():
             return
         if self.n_keys <= self.broadcast_keys:
-            hits = with_keys(held, self.picked, self.keys, small=True).distinct()
+            hits = with_keys(held, self.picked, self.keys, True, self.null_safe).distinct()
         else:
-            # distinct first: it shares its shuffle with the join, and a key held many times shrinks
-            hits = with_keys(held.distinct(), self.picked, self.keys, small=False)
+            # distinct first, so a key held many times shrinks before it is joined
+            hits = with_keys(held.distinct(), self.picked, self.keys, False, self.null_safe)
         self.present = self._park(hits, "present")
         self.n_present = self.present.count()
 
@@ -232,7 +234,7 @@ class _Batch:
             return self.rows
         rows = self.picked.drop(ROW, COPIES)
         if self.n_present:
-            rows = without_keys(rows, self.present, self.keys, self.n_present <= self.broadcast_keys)
+            rows = without_keys(rows, self.present, self.keys, self.n_present <= self.broadcast_keys, self.null_safe)
         return rows
 
     def _key_rejects(self) -> DataFrame:
@@ -241,12 +243,14 @@ class _Batch:
         if self.n_present:
             small = self.n_present <= self.broadcast_keys
             chosen = flagged.drop(HIT)
-            flagged = with_keys(chosen, self.present, self.keys, small).withColumn(HIT, F.lit(True)).unionByName(
-                without_keys(chosen, self.present, self.keys, small).withColumn(HIT, F.lit(False))
-            )
+            held = with_keys(chosen, self.present, self.keys, small, self.null_safe)
+            new = without_keys(chosen, self.present, self.keys, small, self.null_safe)
+            flagged = held.withColumn(HIT, F.lit(True)).unionByName(new.withColumn(HIT, F.lit(False)))
         troubled = flagged.filter(F.col(HIT) | (F.col(COPIES) > 1))
         n_troubled = troubled.count()
-        joined = join_counted(self.rows, troubled, self.keys, self.read, self.broadcast_keys, n_troubled)
+        joined = join_counted(
+            self.rows, troubled, self.keys, self.read, self.broadcast_keys, n_troubled, self.null_safe
+        )
         rejected = joined.filter(F.col(HIT) | (F.col(ROW) != F.col("__chosen")))
         columns = [c for c in self.rows.columns if c != ROW]
         target = Target.of(rejected.select(*columns).schema)
@@ -269,7 +273,8 @@ class _Batch:
         if mode == "append":
             self.sink.append(self.accepted())
         else:
-            self.sink.upsert(self.picked.drop(COPIES), self.keys, self.n_keys <= self.broadcast_keys)
+            small = self.n_keys <= self.broadcast_keys
+            self.sink.upsert(self.picked.drop(COPIES), self.keys, small, self.null_safe)
 
     def _park(self, rows: DataFrame, name: str) -> DataFrame:
         path = f"{self.stage}/{name}"

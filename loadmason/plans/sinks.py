@@ -74,11 +74,25 @@ class TableSink:
     def default_reject_path(self) -> str:
         return f"{self.location}_rejects"
 
+    def _columns(self, flag: str) -> list[str]:
+        return [c.name for c in self.spark.catalog.listColumns(self.table) if getattr(c, flag)]
+
+    def _gathered(self, rows: DataFrame) -> DataFrame:
+        """Rows of one partition or bucket brought together, or every task would
+        write a file into each. Adaptive execution splits the large groups and
+        joins the small ones. Other tables need no shuffle."""
+        partitions, buckets = self._columns("isPartition"), self._columns("isBucket")
+        if partitions:
+            return rows.hint("rebalance", *partitions)
+        if buckets:
+            return rows.hint("rebalance", int(self._detail("Num Buckets")), *buckets)
+        return rows
+
     def append(self, rows: DataFrame) -> None:
         with settings(self.spark, spark__sql__files__maxRecordsPerFile=self.max_records_per_file):
-            rows.write.insertInto(self.table)
+            self._gathered(rows).write.insertInto(self.table)
 
-    def upsert(self, latest: DataFrame, keys: Sequence[str], small: bool) -> None:
+    def upsert(self, latest: DataFrame, keys: Sequence[str], small: bool, null_safe: bool) -> None:
         """Puts ``latest`` (one row per key) over the table's rows.
 
         Formats with MERGE use it. Other files cannot change, so a partitioned
@@ -87,13 +101,12 @@ class TableSink:
         """
         if (self._detail("Provider") or "").lower() in MERGING_FORMATS:
             return self._merge(latest, keys)
-        columns = self.spark.catalog.listColumns(self.table)
-        partitions = [c.name for c in columns if c.isPartition]
+        partitions = self._columns("isPartition")
         with settings(self.spark, spark__sql__files__maxRecordsPerFile=self.max_records_per_file):
             if partitions:
-                self._rewrite_partitions(latest, keys, partitions, small)
+                self._rewrite_partitions(latest, keys, partitions, small, null_safe)
             else:
-                self._new_version(latest, keys, [c.name for c in columns if c.isBucket], small)
+                self._new_version(latest, keys, self._columns("isBucket"), small, null_safe)
         self.spark.catalog.refreshTable(self.table)
 
     def _merge(self, latest: DataFrame, keys: Sequence[str]) -> None:
@@ -108,7 +121,7 @@ class TableSink:
         finally:
             self.spark.catalog.dropTempView(view)
 
-    def _rewrite_partitions(self, latest: DataFrame, keys, partitions: list[str], small: bool) -> None:
+    def _rewrite_partitions(self, latest: DataFrame, keys, partitions: list[str], small: bool, null_safe: bool) -> None:
         current, overwrite = self.rows(), "static"
         if set(partitions) <= set(keys):
             # a key never leaves its partition, so each partition can be replaced on its own
@@ -117,31 +130,33 @@ class TableSink:
             if len(touched) <= MAX_TOUCHED:
                 one = [reduce(and_, [F.col(p).eqNullSafe(F.lit(row[p])) for p in partitions]) for row in touched]
                 current = current.filter(reduce(or_, one, F.lit(False)))
-        merged = without_keys(current, latest, keys, small).unionByName(latest)
+        merged = without_keys(current, latest, keys, small, null_safe).unionByName(latest)
         stage = new_path(self.spark, "merged")
         merged.write.parquet(stage)
         with settings(self.spark, spark__sql__sources__partitionOverwriteMode=overwrite):
             staged = self.spark.read.schema(merged.schema).parquet(stage)
-            staged.write.mode("overwrite").insertInto(self.table)
+            self._gathered(staged).write.mode("overwrite").insertInto(self.table)
         drop_path(self.spark, stage)
 
-    def _new_version(self, latest: DataFrame, keys, buckets: list[str], small: bool) -> None:
+    def _new_version(self, latest: DataFrame, keys, buckets: list[str], small: bool, null_safe: bool) -> None:
         """Writes the merged rows beside the table and points the table at them.
 
         The old version stays for readers that have it open; removing it is
         the owner's business. A table bucketed on the keys is merged without
         shuffling its rows, and stays bucketed.
         """
-        merged = without_keys(self.rows(), latest, keys, small).unionByName(latest)
+        kept = without_keys(self.rows(), latest, keys, small, null_safe)
         path = f"{self.location.split('__v_')[0]}__v_{uuid.uuid4().hex}"
         if buckets:
             count = int(self._detail("Num Buckets"))
+            # one row per key, so no bucket of these is large
+            merged = kept.unionByName(latest.repartition(count, *buckets))
             copy = f"{self.table}_{uuid.uuid4().hex}"
             writer = merged.write.format(self._detail("Provider")).option("path", path)
             writer.bucketBy(count, *buckets).sortBy(*buckets).saveAsTable(copy)
             self.spark.sql(f"DROP TABLE {copy}")
         else:
-            merged.write.format(self._detail("Provider")).save(path)
+            kept.unionByName(latest).write.format(self._detail("Provider")).save(path)
         self.spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{path}'")
 
 
@@ -170,7 +185,7 @@ class JdbcSink:
     def append(self, rows: DataFrame) -> None:
         rows.write.format("jdbc").options(**self.options).mode("append").save()
 
-    def upsert(self, latest: DataFrame, keys: Sequence[str], small: bool) -> None:
+    def upsert(self, latest: DataFrame, keys: Sequence[str], small: bool, null_safe: bool) -> None:
         raise NotImplementedError("JDBC targets take appends only")
 
 

@@ -78,3 +78,28 @@ def test_anti_join_broadcasts_only_when_told(spark, small):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert ("BroadcastHashJoin" in text) == small
+
+
+def test_a_bucketed_target_is_not_shuffled_by_an_upsert(spark, table):
+    from loadmason.operators.keys import without_keys
+
+    name = table(typed(spark).schema, bucket_by=["l_orderkey"], buckets=4)
+    lm.load(typed(spark), name)
+    latest = one_per_key(typed(spark), ["l_orderkey"]).drop("__copies")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = without_keys(spark.table(name), latest, ["l_orderkey"], small=False, null_safe=False)
+        text = plan(kept)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    target_side = text[: text.index("l_orderkey#", text.index("FileScan"))]
+    assert "Exchange" not in target_side and "Bucketed: true" in text
+
+
+def test_only_partitioned_and_bucketed_targets_gather_rows(spark, table):
+    from loadmason.plans.sinks import TableSink
+
+    rows = spark.sql("select 1 a, 2 b")
+    for options, shuffled in (({}, False), ({"partition_by": ["b"]}, True), ({"bucket_by": ["a"], "buckets": 3}, True)):
+        sink = TableSink(spark, table("a INTEGER, b INTEGER", **options))
+        assert ("REBALANCE" in plan(sink._gathered(rows))) == shuffled
