@@ -1,4 +1,4 @@
-"""Loads delimited files into a table: ``python -m loadmason.plans.job FILE TABLE``.
+"""The file-load job: options in, one load, an exit code out.
 
 Ends with a non-zero exit code when the load fails or is aborted.
 """
@@ -16,7 +16,7 @@ from .load import load_file
 
 
 def parse(argv=None) -> argparse.Namespace:
-    parser = argparse.ArgumentParser(prog="loadmason", description=__doc__)
+    parser = argparse.ArgumentParser(prog="loadmason", description="Loads delimited files into a table.")
     parser.add_argument("file", help="a file or folder of delimited lines")
     parser.add_argument("table", help="the table to load")
     parser.add_argument("--sep", default="\t", help="literal field separator (default: TAB)")
@@ -58,6 +58,3 @@ def main(argv=None) -> int:
     print(f"{report.table}: read {report.read}, loaded {report.loaded}, rejected {report.rejected}")
     return 0
 
-
-if __name__ == "__main__":
-    sys.exit(main())

@@ -100,10 +100,12 @@ def test_no_separator_means_tab(spark, sep):
     assert rows(lm.parse_lines(lines(spark, ["1\t2"]), "a INTEGER, b INTEGER", sep=sep)) == [(1, 2)]
 
 
-@pytest.mark.parametrize("space", [c for c in UNICODE_SPACE])
-def test_fields_are_trimmed_of_any_white_space(spark, space):
-    line = f"{space}1{space}|{space}a{space}b{space}"
-    assert rows(lm.parse_lines(lines(spark, [line]), "a INTEGER, b STRING", sep="|")) == [(1, f"a{space}b")]
+@pytest.mark.parametrize("sep", ["|", "\t", "||", " | "])
+def test_fields_are_trimmed_of_any_white_space(spark, sep):
+    spaces = [c for c in UNICODE_SPACE if c not in sep]
+    given = [sep.join([f"{c} 1{c}", "", f" {c}a{c}b{c}", f"{c}"]) for c in spaces]
+    out = lm.parse_lines(lines(spark, given), "a INTEGER, b STRING, c STRING, d STRING", sep=sep)
+    assert rows(out) == sorted([(1, "", f"a{c}b", "") for c in spaces], key=repr)
 
 
 def test_control_characters_are_not_white_space(spark):
