@@ -204,8 +204,8 @@ def _from_double(x: Column, target: TargetColumn, exact_decimals: bool) -> Cell:
 
 
 def _from_decimal(x: Column, spark_type: T.DecimalType, target: TargetColumn) -> Cell:
-    # the remainder is exact; comparing with the floor may round both to fit 38 digits
-    whole = x % F.lit(Decimal(1)) == 0
+    # compared in the column's own type: any other could round both to fit 38 digits
+    whole = x.try_cast("bigint").try_cast(spark_type) == x
     if target.type in BOUNDS:
         return Cell(F.when(whole, x.try_cast(target.spark_type)), lost)
     if target.type == "DECIMAL":

@@ -43,10 +43,12 @@ def trimmed_parts(line: Column, sep: str) -> tuple[Column, Callable[[Column], Co
         # white space at a part's edge may look like a piece of the separator
         return F.split(line, pattern, -1), lambda part: F.btrim(part, F.lit(UNICODE_SPACE))
     space = "".join(c for c in UNICODE_SPACE if c != sep)
-    wide = "".join(c for c in space if ord(c) >= 128)
+    # the separators of Unicode and the next-line character are the white space beyond ASCII
+    kept = sep if sep in UNICODE_SPACE else ""
+    wide = f"[\\x85[\\p{{Z}}&&[^ {kept}]]]"
     not_ascii = F.octet_length(line) != F.char_length(line)
     narrow = [line.contains(c) for c in space if ord(c) < 128 and c != " "]
-    unusual = reduce(or_, narrow, not_ascii & line.rlike(f"[{wide}]"))
+    unusual = reduce(or_, narrow, not_ascii & line.rlike(wide))
     clean = F.regexp_replace(F.btrim(line, F.lit(space)), f"[{space}]*{pattern}[{space}]*", quote_replacement(sep))
     return F.split(F.when(unusual, clean).otherwise(line), pattern, -1), F.trim
 

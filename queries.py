@@ -429,9 +429,8 @@ def decimal_exact_ints(spark, folder):
         otherwise=F.col("l_extendedprice").cast("decimal(38,2)"),
     )
     wanted = [*WHOLE, "float", "string", "varbinary"]
-    converted = lm.convert_columns(
-        read(spark, folder, "lineitem"), [(f"v_{t}", source, t.upper()) for t in wanted], keep=LINEITEM_KEY
-    )
+    rows = read(spark, folder, "lineitem").select(*LINEITEM_KEY, source.alias("x"))
+    converted = lm.convert_columns(rows, [(f"v_{t}", F.col("x"), t.upper()) for t in wanted], keep=LINEITEM_KEY)
     return plain(converted.drop("v_float_refused", "v_string_refused", "v_varbinary_refused"))
 
 
