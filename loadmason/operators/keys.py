@@ -47,8 +47,8 @@ def one_per_key(
 
 
 def key_bytes(schema: T.StructType, keys: Sequence[str]) -> Column:
-    """An upper estimate of one key's size in memory."""
-    size = F.lit(16 * (len(keys) + 1)).cast("bigint")
+    """An upper estimate of one key's size in memory, with what is kept beside it."""
+    size = F.lit(16 * (len(keys) + 4)).cast("bigint")
     for key in keys:
         if isinstance(schema[key].dataType, (T.StringType, T.BinaryType)):
             size = size + F.coalesce(F.octet_length(F.col(key)), F.lit(0)).cast("bigint")

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import TargetMissing
@@ -46,6 +46,12 @@ def settings(spark: SparkSession, **conf):
                 spark.conf.set(name, value)
 
 
+def counted(rows: DataFrame, seen: Observation | None) -> DataFrame:
+    """Counts rows as they are written. This must be the last step: in the stage that
+    writes, a task tried again is counted once, before a shuffle it might not be."""
+    return rows if seen is None else rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+
 class TableSink:
     """A table of the session's catalog."""
 
@@ -88,9 +94,9 @@ class TableSink:
             return rows.hint("rebalance", int(self._detail("Num Buckets")), *buckets)
         return rows
 
-    def append(self, rows: DataFrame) -> None:
+    def append(self, rows: DataFrame, seen: Observation | None = None) -> None:
         with settings(self.spark, spark__sql__files__maxRecordsPerFile=self.max_records_per_file):
-            self._gathered(rows).write.insertInto(self.table)
+            counted(self._gathered(rows), seen).write.insertInto(self.table)
 
     def upsert(self, latest: DataFrame, keys: Sequence[str], small: bool, null_safe: bool) -> None:
         """Puts ``latest`` (one row per key) over the table's rows.
@@ -182,8 +188,8 @@ class JdbcSink:
     def default_reject_path(self) -> str:
         return new_path(self.spark, f"{self.table}_rejects")
 
-    def append(self, rows: DataFrame) -> None:
-        rows.write.format("jdbc").options(**self.options).mode("append").save()
+    def append(self, rows: DataFrame, seen: Observation | None = None) -> None:
+        counted(rows, seen).write.format("jdbc").options(**self.options).mode("append").save()
 
     def upsert(self, latest: DataFrame, keys: Sequence[str], small: bool, null_safe: bool) -> None:
         raise NotImplementedError("JDBC targets take appends only")

@@ -14,6 +14,7 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 # served by projections that Spark splits into several methods.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 

@@ -34,6 +34,15 @@ def stage_folders(spark):
     return set(glob.glob(f"{shared_dir(spark).replace('file:', '')}/loadmason/load-*"))
 
 
+@pytest.mark.parametrize("options", [{"partition_by": ["v"]}, {"bucket_by": ["k"], "buckets": 2}])
+def test_rows_are_counted_after_they_are_gathered(spark, table, options):
+    name = table(KV, **options)
+    report = lm.load(spark.range(100).select(F.col("id").cast("int"), (F.col("id") % 3).cast("string")), name)
+    assert report.loaded == 100 and spark.table(name).count() == 100
+    if "partition_by" in options:
+        assert len(spark.table(name).inputFiles()) == 3
+
+
 def test_append_twice(spark, table):
     name = table(THINGS)
     assert lm.load(things(spark, 1000), name).loaded == 1000
@@ -169,7 +178,7 @@ def hot_rows(spark, n=3000):
     )
 
 
-@pytest.mark.parametrize("broadcast_bytes", [keys_module.BROADCAST_BYTES, 400, 1])
+@pytest.mark.parametrize("broadcast_bytes", [keys_module.BROADCAST_BYTES, 800, 1])
 def test_hot_key_rejects_are_whole(spark, table, monkeypatch, broadcast_bytes):
     """The same rejects whether keys are broadcast, split into hot and cold, or joined by shuffle."""
     monkeypatch.setattr(load_module, "BROADCAST_BYTES", broadcast_bytes)
@@ -285,7 +294,7 @@ def test_jdbc_options(spark, monkeypatch):
     with pytest.raises(lm.TargetMissing):
         JdbcSink(spark, "jdbc:x:y", " ")
     written = []
-    monkeypatch.setattr(JdbcSink, "append", lambda self, frame: written.extend(frame.collect()))
+    monkeypatch.setattr(JdbcSink, "append", lambda self, frame, seen=None: written.extend(frame.collect()))
     monkeypatch.setattr(JdbcSink, "rows", lambda self: self.spark.createDataFrame([(1, "x")], "a int, b string"))
-    report = lm.load_jdbc(kv(spark, [(1, "a"), (2, "b")]), "jdbc:x:y", "t", keys=["k"] if False else ["a"])
+    report = lm.load_jdbc(kv(spark, [(1, "a"), (2, "b")]), "jdbc:x:y", "t", keys=["a"])
     assert (report.loaded, report.rejected) == (1, 1) and [tuple(r) for r in written] == [(2, "b")]
