@@ -92,7 +92,8 @@ class Checked:
                 shown = F.concat_ws(": ", F.lit(field.message), F.col(field.source).cast("string"))
                 value = F.when(refused, F.raise_error(shown)).otherwise(value)
             columns.append(value.cast(field.target.spark_type).alias(field.target.name))
-        return (self.failing_layer or self.layer).select(*columns)
+        layer = self.layer if self.failing_layer is None else self.failing_layer
+        return layer.select(*columns)
 
     def outcome(self) -> Outcome:
         """Accepted rows and rejects, each read from the source on its own.

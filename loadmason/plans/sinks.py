@@ -69,9 +69,10 @@ class TableSink:
         return self.spark.table(self.table)
 
     def _detail(self, name: str) -> str | None:
-        listed = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table}").filter(F.col("col_name") == name)
-        found = listed.select("data_type").head()
-        return found[0] if found else None
+        """One line of the table's description; the lines before the heading are its columns."""
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table}").collect()
+        heading = next(i for i, row in enumerate(described) if row.col_name == "# Detailed Table Information")
+        return next((row.data_type for row in described[heading:] if row.col_name == name), None)
 
     @property
     def location(self) -> str:

@@ -14,8 +14,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from ..errors import SchemaMismatch
 from ..functions.types import Target
-from ..operators.schema import check_exact
+from ..operators.schema import check_arity
 from ..plans.sinks import effective_batch_size
 
 FORMAT = "bulkload"
@@ -39,7 +40,12 @@ class BulkLoadSource(DataSource):
         if missing:
             raise ValueError(f"options {missing} must be set")
         target = Target.of(self.options["columns"])
-        check_exact(schema, target)
+        check_arity(len(schema.fields), target)
+        given, wanted = [f.dataType for f in schema.fields], [c.spark_type for c in target.columns]
+        if given != wanted:
+            raise SchemaMismatch(
+                f"types {[t.simpleString() for t in given]} do not match the target's {[t.simpleString() for t in wanted]}"
+            )
         return BulkLoadWriter(self.options["path"], target.names, effective_batch_size(self.options.get("batch_size")))
 
 

@@ -30,6 +30,20 @@ def test_data_source_writes(spark, tmp_path):
     assert not [f for f in os.listdir(path) if f.startswith("_pending")]
 
 
+def test_data_source_takes_every_type(spark, tmp_path):
+    register(spark)
+    columns = "a TINYINT, b SMALLINT, c INTEGER, d BIGINT, e FLOAT, f TIMESTAMP, g STRING, h VARBINARY, i DECIMAL"
+    source = spark.sql(
+        "select 1Y, 2S, 3, 4L, 5D, timestamp'2024-01-01', 'x', binary('y'), cast('-1.5' as decimal(38,12)) "
+        "union all select null, null, null, null, null, null, null, null, null"
+    ).toDF(*"abcdefghi")
+    path = str(tmp_path / "out")
+    lm.coerce(source, columns).write.format(FORMAT).option("path", path).option("columns", columns).mode("append").save()
+    out = spark.read.parquet(path)
+    assert out.schema == lm.Target.of(columns).schema
+    assert rows(out) == rows(source)
+
+
 def test_data_source_shows_nothing_on_failure(spark, tmp_path):
     register(spark)
     path = str(tmp_path / "out")

@@ -155,6 +155,13 @@ def test_upsert_leaves_other_partitions_files_alone(spark, table):
     assert rows(spark.table(name)) == [(1, "b", 1), (2, "a", 2), (3, "b", None)]
 
 
+def test_columns_may_be_called_like_table_details(spark, table):
+    name = table("Location STRING, Provider INTEGER", bucket_by=["Provider"], buckets=2)
+    for value in ("a", "b"):
+        lm.load(spark.createDataFrame([(value, 1)], "a string, b int"), name, mode="upsert", keys=["Provider"])
+    assert rows(spark.table(name)) == [("b", 1)]
+
+
 def test_upsert_over_a_target_with_repeated_keys(spark, table):
     name = table(KV)
     lm.load(kv(spark, [(1, "a"), (1, "b"), (2, "c")]), name)
