@@ -8,6 +8,7 @@ from .operators.rows import align_by_position, key_diff, row_diff, row_fingerpri
 from .operators.schema import check, check_target, target_from_columns
 from .plans.load import LoadReport, insert_exact, load, load_file, load_jdbc, store
 from .plans.sinks import create_table
+from .session import ship
 from .sources.delimited import parse_lines, read_lines, render, scan_delimited, write_delimited
 from .sources.staged import read_staged, write_staged
 from .streaming.micro_batch import load_stream
@@ -19,3 +20,5 @@ __all__ = [
     "load_stream", "parse_lines", "reached_limit", "read_lines", "read_staged", "render", "row_diff",
     "row_fingerprint", "scan_delimited", "store", "target_from_columns", "write_delimited", "write_staged",
 ]
+
+ship()

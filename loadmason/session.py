@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -65,6 +67,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/loadmason/{label}-{uuid.uuid4().hex}"
 
 
+def ship() -> None:
+    """Has this package's code sent along with what Python workers run, so that it
+    need not be installed on them."""
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Removes a work folder this library wrote, on whatever file system holds it."""
     jvm = spark.sparkContext._jvm

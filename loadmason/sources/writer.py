@@ -57,7 +57,11 @@ class BulkLoadWriter(DataSourceArrowWriter):
     def _open(self):
         from pyarrow import fs
 
-        return fs.FileSystem.from_uri(self.path)
+        # Hadoop and Arrow spell two schemes differently
+        path = self.path.replace("s3a://", "s3://", 1)
+        if path.startswith("file:"):
+            path = "/" + path.removeprefix("file:").lstrip("/")
+        return fs.FileSystem.from_uri(path)
 
     def write(self, iterator) -> Written:
         import pyarrow as pa
@@ -104,4 +108,5 @@ class BulkLoadWriter(DataSourceArrowWriter):
 
 
 def register(spark: SparkSession) -> None:
+    """Makes the format known to the session."""
     spark.dataSource.register(BulkLoadSource)

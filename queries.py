@@ -655,8 +655,7 @@ def store_format(spark, folder):
     register(spark)
     path = new_path(spark, "format")
     columns = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value FLOAT, props STRING"
-    uri = path if "://" in path or path.startswith("/") else path.replace("file:", "file://", 1)
-    events.write.format(FORMAT).option("path", uri).option("columns", columns).mode("append").save()
+    events.write.format(FORMAT).option("path", path).option("columns", columns).mode("append").save()
     return plain(spark.read.schema(events.schema).parquet(path))
 
 
