@@ -5,15 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import new_path
-from . import byte_bpe, packing, token_files
+from . import byte_bpe, packing, quality, rule_ledger, token_files
 from .common import table
 
 
+def op2_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures all documents, evaluates every rule once and applies the current policy."""
+    return rule_ledger.apply_policy(rule_ledger.ledger(table(spark, sf_dir, "documents")))
+
+
 def op7_ffd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packs all documents into sequences of at most 4096 ids."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores all documents with a discriminant learned from the labels outside one fold."""
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all documents as compressed token files and reads the files back."""
     folder = new_path(spark, "tokens")
@@ -26,6 +36,46 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_ffd_packing, op9_token_files, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op2_rule_ledger, op7_ffd_packing, op8_quality_qda, op9_token_files, op10_byte_bpe)}
+
+_RULE_BITS = " + ".join(f"CASE WHEN {test} THEN {1 << bit} ELSE 0 END" for bit, (_, test) in enumerate(rule_ledger.RULES))
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_rule_ledger": rf"""
+        WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+        split_words AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM texts),
+        words AS (
+            SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split_words
+        ),
+        windows AS (
+            SELECT r, i, word, lead(word, 1) OVER w AS w1, lead(word, 2) OVER w AS w2,
+                   lead(word, 3) OVER w AS w3, lead(word, 4) OVER w AS w4
+            FROM words WINDOW w AS (PARTITION BY r ORDER BY i)
+        ),
+        seen AS (
+            SELECT r, i, count(*) OVER (PARTITION BY r, word, w1, w2, w3, w4) AS n FROM windows WHERE w4 IS NOT NULL
+        ),
+        covered AS (
+            SELECT r, count(DISTINCT i + k) AS n_repeat_words
+            FROM (SELECT r, i FROM seen WHERE n > 1), (SELECT unnest(range(0, 5)) AS k)
+            GROUP BY r
+        ),
+        lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM texts),
+        line_counts AS (
+            SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+            FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+        ),
+        word_counts AS (SELECT r, count(*) AS n_words, sum(length(word)) AS word_chars FROM words GROUP BY r),
+        measured AS (
+            SELECT t.doc_id, coalesce(w.n_words, 0) AS n_words, coalesce(w.word_chars, 0)::BIGINT AS word_chars,
+                   length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+                   coalesce(l.n_lines, 0) AS n_lines, coalesce(l.n_dup_lines, 0) AS n_dup_lines,
+                   coalesce(c.n_repeat_words, 0) AS n_repeat_words
+            FROM texts t LEFT JOIN word_counts w USING (r) LEFT JOIN line_counts l USING (r) LEFT JOIN covered c USING (r)
+        ),
+        entries AS (SELECT *, CAST({_RULE_BITS} AS BIGINT) AS failed FROM measured)
+        SELECT *, failed & {rule_ledger.mask(rule_ledger.BASE)} <> 0 AS base_failed,
+               failed & {rule_ledger.mask(rule_ledger.BASE) | rule_ledger.mask(rule_ledger.CURRENT)} = 0 AS kept
+        FROM entries
+    """,
+}
