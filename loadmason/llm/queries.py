@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import new_path
-from . import byte_bpe, ngram_join, packing, quality, rule_ledger, token_files
+from . import byte_bpe, ngram_join, packing, pivot_dedup, quality, rule_ledger, token_files
 from .common import table
 
 
+def op1_pivot_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links all vectors of a cosine of 0.95 or more."""
+    return pivot_dedup.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op2_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures all documents, evaluates every rule once and applies the current policy."""
     return rule_ledger.apply_policy(rule_ledger.ledger(table(spark, sf_dir, "documents")))
@@ -41,7 +46,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_rule_ledger, op4_ngram_join, op7_ffd_packing, op8_quality_qda, op9_token_files, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_pivot_dedup, op2_rule_ledger, op4_ngram_join, op7_ffd_packing, op8_quality_qda, op9_token_files, op10_byte_bpe)}
 
 _RULE_BITS = " + ".join(f"CASE WHEN {test} THEN {1 << bit} ELSE 0 END" for bit, (_, test) in enumerate(rule_ledger.RULES))
 
