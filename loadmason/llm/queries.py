@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import new_path
-from . import byte_bpe, ngram_join, packing, pivot_dedup, quality, rule_ledger, token_files
+from . import byte_bpe, language_id, ngram_join, packing, pivot_dedup, quality, rule_ledger, token_files
 from .common import table
 
 
@@ -24,6 +24,11 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicts the language of all documents with a network that never saw one fold."""
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_ffd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packs all documents into sequences of at most 4096 ids."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -46,7 +51,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pivot_dedup, op2_rule_ledger, op4_ngram_join, op7_ffd_packing, op8_quality_qda, op9_token_files, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_pivot_dedup, op2_rule_ledger, op4_ngram_join, op5_language_id, op7_ffd_packing, op8_quality_qda, op9_token_files, op10_byte_bpe)}
 
 _RULE_BITS = " + ".join(f"CASE WHEN {test} THEN {1 << bit} ELSE 0 END" for bit, (_, test) in enumerate(rule_ledger.RULES))
 
