@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import new_path
-from . import byte_bpe, language_id, ngram_join, packing, pivot_dedup, quality, rule_ledger, token_files
+from . import byte_bpe, language_id, line_runs, ngram_join, packing, pivot_dedup, quality, rule_ledger, token_files
 from .common import table
 
 
@@ -19,6 +19,11 @@ def op2_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ledger.apply_policy(rule_ledger.ledger(table(spark, sf_dir, "documents")))
 
 
+def op3_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deletes later copies of repeated runs of lines from all documents."""
+    return line_runs.delete_copies(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Joins all documents whose sets of 3-word shingles have a Jaccard similarity of 0.9 or more."""
     return ngram_join.jaccard_join(table(spark, sf_dir, "documents"))
@@ -51,7 +56,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pivot_dedup, op2_rule_ledger, op4_ngram_join, op5_language_id, op7_ffd_packing, op8_quality_qda, op9_token_files, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_pivot_dedup, op2_rule_ledger, op3_line_runs, op4_ngram_join, op5_language_id, op7_ffd_packing, op8_quality_qda, op9_token_files, op10_byte_bpe)}
 
 _RULE_BITS = " + ".join(f"CASE WHEN {test} THEN {1 << bit} ELSE 0 END" for bit, (_, test) in enumerate(rule_ledger.RULES))
 
