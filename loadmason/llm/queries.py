@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import new_path
-from . import byte_bpe, language_id, line_runs, ngram_join, packing, pivot_dedup, quality, rule_ledger, token_files
+from . import byte_bpe, chat_rotation, language_id, line_runs, ngram_join, packing, pivot_dedup, quality, rule_ledger, token_files
 from .common import table
 
 
@@ -34,6 +35,13 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Renders all conversations from every participant's point of view; mask spans as text."""
+    found = chat_rotation.rotate(table(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda m: F.concat_ws("-", m["start"].cast("string"), m["end"].cast("string")))
+    return found.withColumn("mask", F.array_join(spans, ","))
+
+
 def op7_ffd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packs all documents into sequences of at most 4096 ids."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -56,11 +64,46 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pivot_dedup, op2_rule_ledger, op3_line_runs, op4_ngram_join, op5_language_id, op7_ffd_packing, op8_quality_qda, op9_token_files, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_pivot_dedup, op2_rule_ledger, op3_line_runs, op4_ngram_join, op5_language_id, op6_chat_rotation, op7_ffd_packing, op8_quality_qda, op9_token_files, op10_byte_bpe)}
 
 _RULE_BITS = " + ".join(f"CASE WHEN {test} THEN {1 << bit} ELSE 0 END" for bit, (_, test) in enumerate(rule_ledger.RULES))
 
 SQL: dict[str, str] = {
+    "op6_chat_rotation": rf"""
+        WITH turns AS (
+            SELECT conv_id, turn, CASE WHEN trim(role) <> '' THEN role END AS role,
+                   replace(coalesce(text, ''), '<|', '< |') AS text
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        numbered AS (
+            SELECT *, row_number() OVER (
+                PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text) - 1 AS place
+            FROM turns
+        ),
+        people AS (SELECT DISTINCT conv_id, role AS participant FROM turns WHERE role <> '{chat_rotation.SYSTEM}'),
+        seen AS (
+            SELECT conv_id, participant, place // {chat_rotation.PART_TURNS} AS part, place, text,
+                   coalesce(role = participant, false) AS own,
+                   '{chat_rotation.START}' || CASE
+                       WHEN role = '{chat_rotation.SYSTEM}' THEN 'system'
+                       WHEN role = participant THEN 'assistant'
+                       WHEN role IS NULL THEN 'user'
+                       ELSE 'user name=' || regexp_replace(role, '[\x00-\x20<|>]+', '_', 'g') END || chr(10) AS header
+            FROM numbered JOIN people USING (conv_id)
+        ),
+        pieces AS (
+            SELECT *, header || text || '{chat_rotation.END}' || chr(10) AS piece,
+                   coalesce(sum(length(header) + length(text) + {len(chat_rotation.END) + 1}) OVER (
+                       PARTITION BY conv_id, participant, part ORDER BY place
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT + length(header) AS start
+            FROM seen
+        )
+        SELECT conv_id, participant, part::BIGINT AS part, count(*) AS n_turns,
+               count(*) FILTER (own) AS n_own, string_agg(piece, '' ORDER BY place) AS rendered,
+               coalesce(string_agg(start || '-' || (start + length(text) + {len(chat_rotation.END)}), ',' ORDER BY place)
+                   FILTER (own), '') AS mask
+        FROM pieces GROUP BY conv_id, participant, part
+    """,
     "op2_rule_ledger": rf"""
         WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
         split_words AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM texts),
