@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_slices
-from .units import UnitCache, space_units
+from .units import PieceStore, encode_whole
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 _CODECS: dict[tuple[str, str], ByteBpe] = {}
@@ -100,26 +100,28 @@ class ByteBpe:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_model(self.tokens))
         self.characters = byte_characters()
         self.decimals = [str(r) for r in range(len(self.tokens))]
-        self.cache = UnitCache(self._encode_units)
+        self.store = PieceStore(self._encode_pieces)
         back = {c: bytes([b]) for b, c in enumerate(self.characters)}
         pieces = [self.model.id_to_piece(r) for r in range(len(self.tokens))]
         self.decoded = [b"".join(back[c] for c in piece) for piece in pieces]
 
-    def _encode_units(self, units: list[str]) -> list[list[int]]:
-        matches = [[m.encode() for m in self.pattern.findall(u)] for u in units]
+    def _encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
+        matches = [[m.encode() for m in self.pattern.findall(p.decode())] for p in pieces]
         unknown = list({m for found in matches for m in found if m not in self.ranks})
         mapped = ["".join([self.characters[b] for b in m]) for m in unknown]
         encoded = dict(zip(unknown, self.model.encode(mapped, num_threads=1), strict=True)) if unknown else {}
         return [[i for m in found for i in ([self.ranks[m]] if m in self.ranks else encoded[m])] for found in matches]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        units = [space_units(t) for t in texts]
-        known = self.cache.fill(units)
-        return [[i for u in one for i in known[u]] for one in units]
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        return encode_whole(texts, self.store)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join([self.decoded[i] for i in ids])
 
+    def written(self, ids: list[int]) -> bytes:
+        """The ids in decimal, joined by commas."""
+        return ",".join([self.decimals[i] for i in ids]).encode()
+
 
 def codec(path: str, pattern: str) -> ByteBpe:
     """A worker keeps one codec for all its tasks."""
@@ -135,10 +137,8 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str = pu
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path, pattern)
         for batch, texts in text_slices(batches):
-            ids = bpe.encode([t.decode() for t in texts])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([np.array(i, "i4") for i in ids], pa.list_(pa.int32()))], names=["doc_id", "ids"]
-            )
+            ids = pa.array([i.astype(np.int32) for i in bpe.encode(texts)], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], names=["doc_id", "ids"])
 
     return _keyed(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -167,9 +167,9 @@ def round_trip_digests(docs: DataFrame, path: str | None = None, pattern: str =
         bpe = codec(path, pattern)
         for batch, texts in text_slices(batches):
             sizes, ids_digests, decoded_digests = [], [], []
-            for ids in bpe.encode([t.decode() for t in texts]):
+            for ids in map(np.ndarray.tolist, bpe.encode(texts)):
                 sizes.append(len(ids))
-                ids_digests.append(hashlib.sha256(",".join([bpe.decimals[i] for i in ids]).encode()).hexdigest())
+                ids_digests.append(hashlib.sha256(bpe.written(ids)).hexdigest())
                 decoded_digests.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids_digests), pa.array(decoded_digests)],

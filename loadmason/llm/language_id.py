@@ -175,6 +175,7 @@ def _gradients(params: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> list[n
 
 
 def fold(doc_id: Column, folds: int) -> Column:
+    """A document's fold; a null id has none."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(folds)
 
 
@@ -220,7 +221,8 @@ def identify(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score"])
 
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
-    return found.select("doc_id", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "lang_pred", "score")
+    held_out = F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import park, text_slices
-from .token_files import unit_cache
+from .units import encode_whole, tokenizer_store
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -37,26 +37,21 @@ _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 def cut_pieces(docs: DataFrame, path: str | None = None, end_id: int = END_ID, length: int = LENGTH) -> DataFrame:
     """The pieces of each document's ids: where they start, how many, and their checksum.
 
-    The vocabulary drops white space, so words between ASCII white space are
-    encoded one by one, each distinct word once; other white space is left to
-    the tokenizer.
+    Documents are encoded whole; the pieces are cut from their ids.
     """
     path = path or public_tokenizers.path(TOKENIZER)
     names = [c.split()[0] for c in _PIECES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = np.array([end_id], "<u4").tobytes()
-        cache = unit_cache(path)
+        store = tokenizer_store(path)
         for batch, texts in text_slices(batches):
-            words = [t.split() for t in texts]
-            known = cache.fill(words)
+            encoded = encode_whole(texts, store)
             rows = []
-            for doc, one in zip(batch.column("doc_id").to_pylist(), words, strict=True):
-                ids = b"".join([known[w] for w in one]) + end
-                total = len(ids) // 4
-                for start in range(0, total, length):
-                    piece = ids[4 * start : 4 * (start + length)]
-                    rows.append((doc, start, len(piece) // 4, zlib.crc32(piece), total))
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                for start in range(0, len(ids), length):
+                    piece = ids[start : start + length]
+                    rows.append((doc, start, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _PIECES)

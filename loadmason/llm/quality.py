@@ -150,6 +150,7 @@ def fit(labelled: DataFrame) -> Discriminant | None:
 
 
 def fold(doc_id: Column, folds: int) -> Column:
+    """A document's fold; a null id has none."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(folds)
 
 
@@ -174,7 +175,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], names=["doc_id", "score"])
 
     scored = measured.mapInArrow(run, "doc_id long, score double")
-    held_out = fold(F.col("doc_id"), FOLDS) == HELD_OUT
+    held_out = F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 

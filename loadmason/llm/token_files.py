@@ -12,7 +12,7 @@ folder with
 
 Spark writes all of it, so a lost executor's files are made again. Documents
 lie in ascending ``doc_id`` order (null first; rows that share an id in order
-of length and content). A null text is an empty document, whose ids are the
+of their text). A null text is an empty document, whose ids are the
 end id alone. An empty table gives an empty file set.
 """
 
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .common import text_slices
-from .units import UnitCache, space_units
+from .units import encode_whole, tokenizer_store
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
@@ -46,38 +46,15 @@ _SHARD = (
     "part int, seq int, ids_before long, first_doc long, last_doc long, doc_ids array<long>, "
     "n_tokens array<int>, offsets array<long>, payload binary, dictionary_sha256 string"
 )
-_CACHES: dict[str, UnitCache] = {}
-
-
-def load_tokenizer(path: str) -> Tokenizer:
-    return Tokenizer.from_file(path)
-
-
-def unit_cache(path: str) -> UnitCache:
-    """A worker keeps one cache for all its tasks."""
-    if path not in _CACHES:
-        tokenizer = load_tokenizer(path)
-
-        def encode(units: list[str] | list[bytes]) -> list[bytes]:
-            texts = [u.decode() if isinstance(u, bytes) else u for u in units]
-            found = tokenizer.encode_batch(texts, add_special_tokens=False)
-            return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-        _CACHES[path] = UnitCache(encode)
-    return _CACHES[path]
-
 
 def encode_texts(texts: list[bytes], path: str, end_id: int = END_ID) -> list[np.ndarray]:
-    """The ids of each text with the end id, as little-endian unsigned 32-bit integers."""
-    units = [space_units(t.decode()) for t in texts]
-    known = unit_cache(path).fill(units)
-    end = np.array([end_id], "<u4").tobytes()
-    return [np.frombuffer(b"".join([known[u] for u in one]) + end, "<u4") for one in units]
+    """The ids of each text with the end id."""
+    return [np.append(ids, np.uint32(end_id)) for ids in encode_whole(texts, tokenizer_store(path))]
 
 
 def id_width(path: str, end_id: int) -> int:
     """Bytes that hold any id."""
-    return 2 if max(load_tokenizer(path).get_vocab_size() - 1, end_id) < 1 << 16 else 4
+    return 2 if max(Tokenizer.from_file(path).get_vocab_size() - 1, end_id) < 1 << 16 else 4
 
 
 def train_dictionary(docs: DataFrame, path: str, width: int, end_id: int, sample_docs: int = SAMPLE_DOCS) -> bytes:
@@ -113,33 +90,24 @@ def write_token_files(
     )
     head.coalesce(1).write.parquet(f"{folder}/dictionary")
 
-    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = _compressor(dictionary)
-        for batch, texts in text_slices(batches):
-            encoded = encode_texts(texts, path, end_id)
-            blobs = [packer.compress(ids.astype(f"<u{width}").tobytes()) for ids in encoded]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(a) for a in encoded], pa.int32()), pa.array(blobs, pa.binary())],
-                names=["doc_id", "n", "blob"],
-            )
-
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        seq = before = 0
+        packer = _compressor(dictionary)
+        seq = before = size = 0
         held: list[tuple] = []
-        size = 0
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                held.append(row)
-                size += len(row[2])
+        for batch, texts in text_slices(batches):
+            encoded = encode_texts(texts, path, end_id)
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
+                held.append((doc, len(ids), packer.compress(ids.astype(f"<u{width}").tobytes())))
+                size += len(held[-1][2])
                 if size >= shard_bytes:
                     yield _shard(part, seq, before, held, digest)
                     seq, before, held, size = seq + 1, before + sum(r[1] for r in held), [], 0
         if held:
             yield _shard(part, seq, before, held, digest)
 
-    compressed = docs.mapInArrow(compress, "doc_id long, n int, blob binary")
-    in_order = compressed.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "n", "blob")
+    # in order before they are encoded, so that a text is encoded once
+    in_order = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     in_order.mapInArrow(shards, _SHARD).write.parquet(f"{folder}/shards")
 
     # one row for each task that wrote, whatever the number of documents

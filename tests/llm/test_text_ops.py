@@ -1,0 +1,241 @@
+"""Rules, line runs, the Jaccard join and both classifiers against plain versions."""
+
+import random
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from loadmason.llm import language_id, line_runs, ngram_join, quality, rule_ledger
+from loadmason.llm.queries import SQL
+from loadmason.llm.text_arrays import TextArrays
+
+from . import plain
+from .conftest import DOCUMENT, clashing, sentence
+
+
+def test_words_and_shingles_of_texts(odd_texts):
+    texts = [(t or "").encode() for t in odd_texts]
+    arrays = TextArrays(texts, lower=True)
+    assert arrays.n_words.tolist() == [len(t.split()) for t in texts]
+    seen = {}
+    for size in (1, 3, 5):
+        values, bounds = arrays.shingles(size)
+        for i, text in enumerate(odd_texts):
+            own = values[bounds[i] : bounds[i + 1]].tolist()
+            assert own == sorted(set(own))
+            assert len(own) == len(plain.shingles(text, size))
+            for other in range(i):
+                shared = len(plain.shingles(text, size) & plain.shingles(odd_texts[other], size))
+                assert len(set(own) & seen[size, other]) == shared
+            seen[size, i] = set(own)
+
+
+def test_ledger(odd_docs, odd_texts, no_docs):
+    entries = rule_ledger.apply_policy(rule_ledger.ledger(clashing(odd_docs))).collect()
+    assert len(entries) == len(odd_texts)
+    for r in entries:
+        want = plain.measures(odd_texts[r.doc_id])
+        assert {name: r[name] for name in want} == want
+        n = want["n_words"]
+        assert r.base_failed == (n < 10 or 100 * want["n_repeat_words"] > 20 * n)
+        assert not (r.kept and r.base_failed)
+        assert r.kept == (r.failed & rule_ledger.mask(rule_ledger.CURRENT) == 0)
+    assert rule_ledger.apply_policy(rule_ledger.ledger(no_docs)).count() == 0
+
+
+def test_ledger_sql(odd_docs, odd_texts):
+    con = duckdb.connect()
+    con.sql("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    for i, text in enumerate(odd_texts):
+        con.execute("INSERT INTO documents VALUES (?, ?)", [i, text])
+    want = con.sql(SQL["op2_rule_ledger"])
+    columns = want.columns
+    found = rule_ledger.apply_policy(rule_ledger.ledger(odd_docs)).select(*columns).collect()
+    assert sorted(map(tuple, found)) == sorted(tuple(r) for r in want.fetchall())
+
+
+def test_ablations(spark):
+    bit = {name: 1 << i for i, (name, _) in enumerate(rule_ledger.RULES)}
+    failed = [0, bit["symbols"], bit["symbols"], bit["symbols"] | bit["long_words"], bit["few_words"]]
+    entries = spark.createDataFrame([(f,) for f in failed], "failed long")
+    found = {r.rule: (r.n_failed, r.n_only, r.n_rejected) for r in rule_ledger.ablations(entries).collect()}
+    assert set(found) == set(rule_ledger.POLICIES[rule_ledger.CURRENT])
+    assert found["symbols"] == (3, 2, 4)
+    assert found["long_words"] == (1, 0, 4)
+    assert found["few_words"] == (1, 1, 4)
+    old = {r.rule: (r.n_failed, r.n_only, r.n_rejected) for r in rule_ledger.ablations(entries, 1).collect()}
+    assert old == {"few_words": (1, 1, 1), "repeated_words": (0, 0, 1)}
+
+
+def test_rules_and_policies_fit():
+    names = [name for name, _ in rule_ledger.RULES]
+    assert len(set(names)) == len(names) < 63
+    assert all(set(policy) <= set(names) for policy in rule_ledger.POLICIES.values())
+    assert set(rule_ledger.POLICIES[rule_ledger.BASE]) <= set(rule_ledger.POLICIES[rule_ledger.CURRENT])
+
+
+def corpus_of_lines():
+    rng = random.Random(9)
+    lines = [sentence(rng, n, 6) for n in (1, 1, 2, 2, 3, 4, 5, 8, 14)]
+    texts = {}
+    for d in range(60):
+        chosen = [rng.choice([*lines, "", "  "]) for _ in range(rng.randrange(9))]
+        texts[d] = "\n".join(chosen)
+    texts[60] = texts[7]
+    return texts
+
+
+@pytest.mark.parametrize("min_words", [1, 5, 9])
+def test_line_runs(spark, min_words):
+    texts = corpus_of_lines()
+    rows = [(d, t, "en", "s", len(t)) for d, t in texts.items()]
+    docs = clashing(spark.createDataFrame(rows, DOCUMENT).repartition(3))
+    found = line_runs.delete_copies(docs, min_words, counts=True)
+    assert found.columns == [*docs.columns, "n_lines", "n_deleted", "longest_run"]
+    want = plain.line_runs(texts, min_words)
+    for r in found.collect():
+        assert (r.text, r.n_deleted) == want[r.doc_id]
+        assert r.n_chars == len(r.text)
+        assert r.n_lines == sum(1 for x in texts[r.doc_id].split("\n") if x.split())
+        assert (r.longest_run > 0) == (r.n_deleted > 0)
+
+
+def test_line_runs_of_odd_rows(spark, no_docs):
+    line = "these are more than five words"
+    rows = [(None, line), (4, line), (4, line), (4, line + "\nother"), (2, None), (3, ""), (9, line)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(((r.doc_id is None, r.doc_id, r.text) for r in line_runs.delete_copies(docs).collect()), key=repr)
+    # of rows with the same id, those with the smaller text hash come first
+    kept = [r for r in found if r[1] == 4]
+    assert len(found) == 7 and len(kept) == 3
+    assert (False, 2, None) in found and (False, 3, "") in found
+    assert (True, None, "") in found and (False, 9, "") in found
+    assert sorted(t for _, _, t in kept) in (["", "", line + "\nother"], ["other", line, line])
+    assert line_runs.delete_copies(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("size,num,den", [(3, 9, 10), (5, 4, 5), (2, 1, 2)])
+def test_jaccard_join(odd_docs, odd_texts, size, num, den):
+    found = ngram_join.jaccard_join(clashing(odd_docs), size, num, den).collect()
+    want = plain.jaccard(dict(enumerate(odd_texts)), size, num, den)
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in found} == want
+    assert len(found) == len(odd_texts)
+    assert any(links > 30 for *_, links in want.values())
+
+
+def test_jaccard_join_in_many_tiles(odd_docs, odd_texts, monkeypatch):
+    tiles = ngram_join.tile_tasks
+    monkeypatch.setattr(ngram_join, "tile_tasks", lambda members: tiles(members, rows=7))
+    found = ngram_join.jaccard_join(odd_docs).collect()
+    want = plain.jaccard(dict(enumerate(odd_texts)), 3, 9, 10)
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in found} == want
+
+
+def test_jaccard_join_of_odd_rows(spark, no_docs):
+    text = sentence(random.Random(2), 50)
+    docs = spark.createDataFrame([(8, text), (8, text), (None, text), (9, text + " more"), (5, None)], "doc_id long, text string")
+    found = sorted((tuple(r) for r in ngram_join.jaccard_join(docs).collect()), key=repr)
+    assert found == sorted([(8, 48, 8, 2), (8, 48, 8, 2), (None, 48, None, 2), (9, 49, 8, 2), (5, 0, 5, 0)], key=repr)
+    assert ngram_join.jaccard_join(no_docs).count() == 0
+    kept = sorted(((r.doc_id, r.text) for r in ngram_join.keep_one(docs).collect()), key=repr)
+    assert kept == sorted([(8, text), (None, text), (5, None)], key=repr)
+
+
+def test_every_near_pair_shares_a_key():
+    rng = np.random.default_rng(3)
+    for num, den in ((9, 10), (4, 5), (1, 2)):
+        for _ in range(300):
+            size = int(rng.integers(1, 120))
+            a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2))
+            keep = a[rng.random(len(a)) < num / den + 0.1]
+            b = np.unique(np.concatenate([keep, rng.integers(0, 1 << 63, int(rng.integers(0, 6)), dtype=np.uint64)]))
+            shared = len(np.intersect1d(a, b))
+            if not len(b) or len(a) == len(b) == shared or den * shared < num * (len(a) + len(b) - shared):
+                continue
+            keys, owners = ngram_join.part_keys(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), num, den)
+            assert set(keys[owners == 0].tolist()) & set(keys[owners == 1].tolist())
+
+
+def crc_fold(doc_id, folds):
+    return zlib.crc32(str(doc_id).encode()) % folds
+
+
+@pytest.fixture(scope="module")
+def folder():
+    return "/root/testdata/sf0.01"
+
+
+def test_quality(spark, folder, odd_docs, no_docs):
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    found = quality.score_documents(clashing(docs), clashing(labels).withColumn("text", F.lit("clash"))).collect()
+    assert len(found) == docs.count()
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    right = [r.predicted == known[r.doc_id] for r in found if r.held_out and r.doc_id in known]
+    assert np.mean(right) > 0.95
+    for r in found:
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
+        assert r.held_out == (crc_fold(r.doc_id, 5) == 0)
+    kept = {r.doc_id for r in quality.keep_good(docs, labels).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in found if r.predicted}
+    odd = quality.score_documents(odd_docs, labels).collect()
+    assert len(odd) == odd_docs.count() and all(0 <= r.score <= 1 for r in odd)
+    assert quality.score_documents(no_docs, labels).count() == 0
+
+
+def test_quality_without_labels(spark, odd_docs):
+    labels = spark.createDataFrame([(1, None), (None, 1), (2, 7)], "doc_id long, quality int")
+    assert {(r.score, r.predicted) for r in quality.score_documents(odd_docs, labels).collect()} == {(0.5, 1)}
+    one = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, quality int")
+    assert all(0 <= r.score <= 1 for r in quality.score_documents(odd_docs, one).collect())
+
+
+def test_discriminant_is_the_difference_of_log_densities():
+    rng = np.random.default_rng(0)
+    size = len(quality.STATISTICS)
+    classes = [rng.normal(0, 1, (300, size)), rng.normal(1, 2, (500, size))]
+    n = np.array([len(c) for c in classes], float)
+    model = quality.Discriminant.fit(n, np.stack([c.sum(0) for c in classes]), np.stack([c.T @ c for c in classes]))
+    rows = rng.normal(0.5, 1.5, (20, size))
+    logs = []
+    for mean, factor, share in zip(model.means, model.factors, (n + 1) / (n + 1).sum(), strict=True):
+        cov = factor @ factor.T
+        gap = rows - mean
+        mahalanobis = np.einsum("ij,jk,ik->i", gap, np.linalg.inv(cov), gap)
+        logs.append(np.log(share) - 0.5 * (mahalanobis + np.linalg.slogdet(cov)[1]))
+    assert np.allclose(model.score(rows), 1 / (1 + np.exp(logs[0] - logs[1])))
+
+
+def test_language(spark, folder, odd_docs, odd_texts, no_docs):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    found = language_id.identify(clashing(docs)).collect()
+    assert len(found) == docs.count()
+    known = {r.doc_id: r.lang for r in docs.collect()}
+    assert np.mean([r.lang_pred == known[r.doc_id] for r in found if r.held_out]) > 0.97
+    for r in found:
+        assert 0 <= r.score <= 1 and r.held_out == (crc_fold(r.doc_id, 4) == 2)
+    odd = {r.doc_id: r for r in language_id.identify(odd_docs).collect()}
+    assert len(odd) == len(odd_texts)
+    for i, text in enumerate(odd_texts):
+        assert (odd[i].lang_pred == "und") == (not any(c.isalpha() for c in text or ""))
+    kept = {r.doc_id for r in language_id.keep_identified(odd_docs).select("doc_id").collect()}
+    assert kept == {i for i, r in odd.items() if r.lang_pred != "und" and r.score >= language_id.MIN_SCORE}
+    assert language_id.identify(no_docs).count() == 0
+
+
+def test_language_without_any_label(odd_docs):
+    found = language_id.identify(odd_docs.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {(r.lang_pred, r.score) for r in found} == {("und", 0.0)}
+
+
+def test_pair_tables_give_the_same_responses():
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 256, (5, language_id.WINDOW), dtype=np.uint8)
+    net = language_id.train(x, np.array([0, 1, 0, 1, 1]), ["a", "b"])
+    want = []
+    for table, width in zip(net.tables, language_id.WIDTHS, strict=True):
+        n = x.shape[1] - width + 1
+        want.append(sum(table[k][x[:, k : k + n]] for k in range(width)).max(axis=1))
+    assert np.allclose(net.pooled(x), np.concatenate(want, axis=1), atol=1e-5)
