@@ -25,7 +25,8 @@ FAULT = "__fault"
 ROW_TEXT = "__row_text"
 ROW = "__row"
 REJECT_SEPARATOR = "|"
-ON_ERROR = ("fail", "reject")
+ARRIVAL = "__arrival"
+ON_ERROR = ("fail", "reject", "flag")
 
 
 class Outcome(NamedTuple):
@@ -49,6 +50,7 @@ class Checked:
     bad_row: str | None  # column saying why the row as a whole is refused, before its cells; null if it is not
     row_text: Column
     failing_layer: DataFrame | None = None  # the same layer, ending the job on a row refused as a whole
+    arrives: bool = False  # whether the layers hold each row's place in its source
 
     @property
     def can_fault(self) -> bool:
@@ -64,7 +66,10 @@ class Checked:
             return None
         return field.cell.refused(F.col(field.source), F.col(f"v{index}"))
 
-    def flagged(self) -> DataFrame:
+    def _arrival(self, wanted: bool) -> list[str]:
+        return [ARRIVAL] if wanted and self.arrives else []
+
+    def flagged(self, arrival: bool = False) -> DataFrame:
         """Every row, with its cause (null when accepted) and, if refused, its text."""
         tests = {f"r{i}": test for i in range(len(self.fields)) if (test := self._refused(i)) is not None}
         tested = self.layer.withColumns(tests)
@@ -76,9 +81,9 @@ class Checked:
             fault = F.coalesce(F.col(self.bad_row), fault)
         values = [F.col(f"v{i}").alias(f.target.name) for i, f in enumerate(self.fields)]
         shown = F.when(F.col(FAULT).isNotNull(), self.row_text)
-        return tested.withColumn(FAULT, fault).select(*values, FAULT, shown.alias(ROW_TEXT))
+        return tested.withColumn(FAULT, fault).select(*values, FAULT, shown.alias(ROW_TEXT), *self._arrival(arrival))
 
-    def failing(self) -> DataFrame:
+    def failing(self, arrival: bool = False) -> DataFrame:
         """The converted rows; reading a refused one ends the job with its cause.
 
         The test sits in each column, so a column nobody reads is neither
@@ -93,12 +98,13 @@ class Checked:
                 value = F.when(refused, F.raise_error(shown)).otherwise(value)
             columns.append(value.cast(field.target.spark_type).alias(field.target.name))
         layer = self.layer if self.failing_layer is None else self.failing_layer
-        return layer.select(*columns)
+        return layer.select(*columns, *self._arrival(arrival))
 
     def outcome(self) -> Outcome:
         """Accepted rows and rejects, each read from the source on its own.
 
-        The row number keeps Spark from moving the filter below the layers,
+        Where that costs too much, or the source may change between the two,
+        take the one flagged frame instead and write it out. The row number keeps Spark from moving the filter below the layers,
         which would work out every value again inside the filter.
         """
         numbered = self.flagged().withColumn(ROW, F.monotonically_increasing_id())
@@ -107,6 +113,8 @@ class Checked:
     def frame(self, on_error: str):
         if on_error not in ON_ERROR:
             raise ValueError(f"on_error must be one of {ON_ERROR}, not {on_error!r}")
+        if on_error == "flag":
+            return self.flagged()
         return self.failing() if on_error == "fail" else self.outcome()
 
 
@@ -187,5 +195,10 @@ def coerce(
     date_format: str | None = None,
     exact_decimals: bool = False,
 ):
-    """``df`` in the target's schema; with ``on_error="reject"`` an :class:`Outcome`."""
+    """``df`` in the target's schema; with ``on_error="reject"`` an :class:`Outcome`.
+
+    With ``on_error="flag"`` it is one frame: the columns, null where refused,
+    ``__fault`` (why, or null) and ``__row_text``. Filters on columns that are
+    passed on as they are reach the scan.
+    """
     return convert_frame(df, target, mode, date_format, exact_decimals).frame(on_error)

@@ -23,27 +23,43 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def one_per_key(
-    rows: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), last: bool = False, extra: Sequence[str] = ()
+    rows: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] = (),
+    last: bool = False,
+    extra: Sequence[str] = (),
+    extra_first: bool = False,
 ) -> DataFrame:
     """The first (or last) row of each key by ``order_by``, and how many rows the key has.
 
-    The columns after ``order_by`` break ties, so the choice never depends on
-    how the rows are spread over tasks. Columns named in ``extra`` break
-    remaining ties and are kept.
+    The other columns break ties, so the choice never depends on how the rows
+    are spread over tasks. Columns named in ``extra`` are kept; they break
+    remaining ties, or with ``extra_first`` those that ``order_by`` leaves. Key
+    values come from the chosen row too, so equal ones that are stored
+    differently (-0.0) stay as they are.
     """
     keys = list(keys)
     columns = [c for c in rows.columns if c not in extra]
     unknown = [c for c in [*keys, *order_by] if c not in columns]
     if unknown:
         raise ValueError(f"no such columns: {unknown}")
-    ordered = list(dict.fromkeys([*order_by, *[c for c in columns if c not in keys], *extra]))
-    compared = [c for c in ordered if c not in keys]
-    # a key-only table still needs something to pick
-    picked = F.struct(*[F.col(c) for c in compared]) if compared else F.struct(F.lit(True).alias("__only"))
+    early, late = (extra, []) if extra_first else ([], extra)
+    compared = list(dict.fromkeys([*order_by, *early, *[c for c in columns if c not in keys], *keys, *late]))
+    picked = F.struct(*[F.col(c) for c in compared])
     pick = F.max(picked) if last else F.min(picked)
     grouped = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(COPIES), pick.alias(PICK))
-    kept = [F.col(c) if c in keys else F.col(PICK)[c].alias(c) for c in [*columns, *extra]]
-    return grouped.select(*kept, COPIES)
+    return grouped.select(*[F.col(PICK)[c].alias(c) for c in [*columns, *extra]], COPIES)
+
+
+def repeated_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of more than one row, with their number; only keys are shuffled."""
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(COPIES)).where(F.col(COPIES) > 1)
+
+
+def one_per_repeated_key(rows: DataFrame, repeated: DataFrame, keys: Sequence[str], null_safe: bool, **options) -> DataFrame:
+    """As :func:`one_per_key`, for few repeated keys: rows of all others are neither sorted nor shuffled."""
+    unique = without_keys(rows, repeated, keys, True, null_safe).withColumn(COPIES, F.lit(1).cast("bigint"))
+    return unique.unionByName(one_per_key(with_keys(rows, repeated, keys, True, null_safe), keys, **options))
 
 
 def key_bytes(schema: T.StructType, keys: Sequence[str]) -> Column:
@@ -75,17 +91,21 @@ def join_counted(
     hot = per_key.filter(F.col(COPIES) > cut)
     cold = per_key.filter(F.col(COPIES) <= cut)
     joined = _with_key_row(rows, F.broadcast(hot), keys, null_safe)
-    return joined.unionByName(_with_key_row(rows, cold, keys, null_safe))
+    cold_rows = without_keys(rows, hot, keys, True, null_safe)
+    return joined.unionByName(_with_key_row(cold_rows, cold, keys, null_safe))
 
 
 def without_keys(rows: DataFrame, listed: DataFrame, keys: Sequence[str], small: bool, null_safe: bool = True) -> DataFrame:
     """Rows whose key is not listed.
 
     Null keys compare equal where ``null_safe``; say False only if no listed
-    key holds a null. Plain equality can use the rows' bucketing.
+    key holds a null. Plain equality can use the rows' bucketing; rows with a
+    null key then match nothing and are not shuffled.
     """
     listed, on = _renamed(listed.select(*keys), keys, null_safe)
-    return rows.join(F.broadcast(listed) if small else listed, on, "left_anti")
+    if small or null_safe:
+        return rows.join(F.broadcast(listed) if small else listed, on, "left_anti")
+    return rows.where(~any_null(keys)).join(listed, on, "left_anti").unionByName(rows.where(any_null(keys)))
 
 
 def with_keys(rows: DataFrame, listed: DataFrame, keys: Sequence[str], small: bool, null_safe: bool = True) -> DataFrame:

@@ -21,18 +21,12 @@ def align_by_position(df: DataFrame, target) -> DataFrame:
     return df.toDF(*target.names)
 
 
-def rows_equal(left: Sequence[Column], right: Sequence[Column]) -> Column:
-    """Whether two lists of columns hold the same values; null equals null, binary goes by content."""
-    if len(left) != len(right):
-        return F.lit(False)
-    return reduce(and_, [a.eqNullSafe(b) for a, b in zip(left, right)], F.lit(True))
-
-
 def row_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows the two frames do not share, with how many more copies one side holds.
 
     One shuffle: both sides are counted together, so equal rows cancel out and
-    a row repeated any number of times reaches a reducer once per task.
+    a row repeated any number of times reaches a reducer once per task. Null
+    equals null, binary goes by content, and doubles by value: -0.0 is 0.0.
     """
     names = left.columns
     if len(right.columns) != len(names):

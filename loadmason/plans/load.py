@@ -1,10 +1,10 @@
 """Loading checked rows into a target, with rejects set aside and a fault limit.
 
 Nothing reaches the target before every fault is known. Where rows cannot
-fault they are written straight through. Otherwise they are staged once as
-Parquet in the shared folder, with their faults; the counts, the choice of one
-row per key and the rejects are then read from the stage, so the source is
-evaluated once and a lost executor changes nothing.
+fault and have no keys they are written straight through. Otherwise they are
+staged once as Parquet in the shared folder, with their faults; the counts, the
+choice of one row per key and the rejects are then read from the stage, so the
+source is evaluated once and a lost executor changes nothing.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..errors import LoadAborted
 from ..functions.parsing import pattern_or_default
 from ..functions.types import DEFAULT_SEPARATOR, Target
-from ..operators.checked import FAULT, ON_ERROR, REJECT_SEPARATOR, ROW, ROW_TEXT, Checked, convert_frame, row_text
+from ..operators.checked import ARRIVAL, FAULT, REJECT_SEPARATOR, ROW, ROW_TEXT, Checked, convert_frame, row_text
 from ..operators.faults import effective_limit
 from ..operators.keys import (
     BROADCAST_BYTES,
@@ -28,16 +28,19 @@ from ..operators.keys import (
     join_counted,
     key_bytes,
     one_per_key,
+    one_per_repeated_key,
+    repeated_keys,
     with_keys,
     without_keys,
 )
 from ..session import drop_path, new_path
 from ..sources.delimited import check_lines, read_lines
-from .sinks import JdbcSink, TableSink
+from .sinks import KEEP_VERSIONS, JdbcSink, TableSink, effective_batch_size
 
 REPEATED = "repeated key"
 PRESENT = "key already in target"
 HIT = "__hit"
+LOAD_ON_ERROR = ("fail", "reject")
 
 
 @dataclass(frozen=True)
@@ -63,14 +66,23 @@ def load(
     exact_decimals: bool = False,
     reject_path: str | None = None,
     max_records_per_file: int | None = None,
+    batch_size: int | str | None = None,
+    keep_versions: int = KEEP_VERSIONS,
 ) -> LoadReport:
     """Loads a frame into a catalog table, matching columns by position.
 
     ``append`` with ``keys`` rejects rows whose key is in the target already
     and all but the first of a repeated key; ``upsert`` keeps the last of a
-    repeated key and replaces the target's row.
+    repeated key and replaces the target's row. First and last are by
+    ``order_by``, then by the other columns: a frame's rows have no order.
+
+    ``batch_size``, where given, bounds the rows of a file, and values that are
+    not above zero mean the default of 300; ``max_records_per_file`` is the
+    same without a default.
     """
-    sink = TableSink(df.sparkSession, table, max_records_per_file)
+    if batch_size is not None:
+        max_records_per_file = effective_batch_size(batch_size)
+    sink = TableSink(df.sparkSession, table, max_records_per_file, keep_versions)
     checked = convert_frame(df, sink.target, coerce, date_format, exact_decimals)
     return run_load(df.sparkSession, checked, sink, mode, keys, order_by, on_error, max_errors, reject_path, date_format)
 
@@ -118,10 +130,16 @@ def load_file(
     max_errors: int | None = None,
     reject_path: str | None = None,
     max_records_per_file: int | None = None,
+    recursive: bool = False,
+    keep_versions: int = KEEP_VERSIONS,
 ) -> LoadReport:
-    """Loads delimited text into a catalog table."""
-    sink = TableSink(spark, table, max_records_per_file)
-    checked = check_lines(read_lines(spark, paths), sink.target, sep, date_format)
+    """Loads delimited text into a catalog table.
+
+    Of lines with the same key and ``order_by`` the first (or with upsert the
+    last) in the file counts; files are taken in the order of their names.
+    """
+    sink = TableSink(spark, table, max_records_per_file, keep_versions)
+    checked = check_lines(read_lines(spark, paths, recursive, arrival=bool(keys)), sink.target, sep, date_format)
     return run_load(spark, checked, sink, mode, keys, order_by, on_error, max_errors, reject_path, date_format)
 
 
@@ -140,8 +158,8 @@ def run_load(
     limit = effective_limit(max_errors)
     if mode not in ("append", "upsert"):
         raise ValueError(f"mode must be append or upsert, not {mode!r}")
-    if on_error not in ON_ERROR:
-        raise ValueError(f"on_error must be one of {ON_ERROR}, not {on_error!r}")
+    if on_error not in LOAD_ON_ERROR:
+        raise ValueError(f"on_error must be one of {LOAD_ON_ERROR}, not {on_error!r}")
     if mode == "upsert" and not keys:
         raise ValueError("upsert needs key columns")
     unknown = [c for c in [*keys, *order_by] if c not in checked.names]
@@ -154,13 +172,11 @@ def run_load(
     stage = new_path(spark, "load")
     try:
         batch = _Batch(spark, stage, sink, list(keys), list(order_by), pattern_or_default(date_format))
-        if mode == "upsert" and not rejecting:
-            batch.rows = checked.failing()
-        else:
-            batch.stage_rows(checked, rejecting, numbered=mode == "append" and bool(keys))
+        batch.stage_rows(checked, rejecting, numbered=bool(keys) and (mode == "append" or checked.arrives))
         if batch.faults < limit and keys:
             batch.pick(last=mode == "upsert")
             if mode == "append":
+                batch.rejects_keys = True
                 batch.find_present()
         report = batch.report(limit, reject_path)
         if report.rejected >= limit:
@@ -189,34 +205,48 @@ class _Batch:
         self.picked: DataFrame | None = None  # one row per key
         self.present: DataFrame | None = None  # keys the target has already
         self.read = self.faults = self.n_keys = self.n_present = 0
-        self.broadcast_keys, self.null_safe = 1, True
+        self.broadcast_keys, self.null_safe, self.arrives = 1, True, False
+        self.rejects_keys = False
 
     def stage_rows(self, checked: Checked, rejecting: bool, numbered: bool) -> None:
-        rows = checked.flagged() if rejecting else checked.failing()
+        self.arrives = checked.arrives
+        rows = checked.flagged(numbered) if rejecting else checked.failing(numbered)
         if numbered:
             # written out, the numbers are fixed; they tell equal rows apart
-            rows = rows.withColumn(ROW, F.monotonically_increasing_id())
+            number = F.col(ARRIVAL) if self.arrives else F.monotonically_increasing_id()
+            rows = rows.withColumn(ROW, number).drop(ARRIVAL)
         staged = self._park(rows, "rows")
         faulty = F.col(FAULT).isNotNull() if rejecting else F.lit(False)
-        self.read, self.faults = staged.agg(F.count(F.lit(1)), F.count_if(faulty)).head()
+        found = [F.count(F.lit(1)), F.count_if(faulty)]
+        if self.keys:
+            found += [F.max(key_bytes(staged.schema, self.keys)), F.count_if(any_null(self.keys))]
+        self.read, self.faults, *of_keys = staged.agg(*found).head()
         self.rows = staged.filter(~faulty).drop(FAULT, ROW_TEXT)
+        if self.keys:
+            widest, null_keys = of_keys
+            self.null_safe = null_keys > 0
+            self.broadcast_keys = max(1, BROADCAST_BYTES // (widest or BROADCAST_BYTES))
         if self.faults:
             self.faulty = staged.filter(faulty).select(F.col(FAULT).alias("cause"), F.col(ROW_TEXT).alias("row_text"))
 
     def pick(self, last: bool) -> None:
-        extra = [] if last else [ROW]
-        self.picked = self._park(one_per_key(self.rows, self.keys, self.order_by, last, extra), "picked")
-        self.n_keys, total, widest, null_keys = self.picked.agg(
-            F.count(F.lit(1)), F.sum(COPIES), F.max(key_bytes(self.picked.schema, self.keys)), F.count_if(any_null(self.keys))
-        ).head()
-        self.null_safe = null_keys > 0
-        self.read = self.faults + (total or 0)
-        self.broadcast_keys = max(1, BROADCAST_BYTES // (widest or BROADCAST_BYTES))
+        """One row of each key. Where no key repeats that is every row, as it was staged."""
+        extra = [c for c in self.rows.columns if c == ROW]
+        repeated = self._park(repeated_keys(self.rows, self.keys), "repeated")
+        n_repeated, held = repeated.agg(F.count(F.lit(1)), F.sum(COPIES)).head()
+        options = {"order_by": self.order_by, "last": last, "extra": extra, "extra_first": self.arrives}
+        if not n_repeated:
+            self.picked = self.rows.withColumn(COPIES, F.lit(1).cast("bigint"))
+        elif n_repeated <= self.broadcast_keys:
+            self.picked = self._park(one_per_repeated_key(self.rows, repeated, self.keys, self.null_safe, **options), "picked")
+        else:
+            self.picked = self._park(one_per_key(self.rows, self.keys, **options), "picked")
+        self.n_keys = self.read - self.faults - (held or 0) + n_repeated
 
     def find_present(self) -> None:
-        held = self.sink.rows().select(*self.keys)
-        if not self.n_keys or held.isEmpty():
+        if not self.n_keys:
             return
+        held = self.sink.rows_beside(self.picked, self.keys, self.stage).select(*self.keys)
         if self.n_keys <= self.broadcast_keys:
             hits = with_keys(held, self.picked, self.keys, True, self.null_safe).distinct()
         else:
@@ -259,7 +289,7 @@ class _Batch:
         return rejected.select(cause.alias("cause"), text.alias("row_text"))
 
     def report(self, limit: int, reject_path: str | None) -> LoadReport:
-        by_key = self.read - self.faults - self.loaded if self.picked is not None and ROW in self.picked.columns else 0
+        by_key = self.read - self.faults - self.loaded if self.rejects_keys else 0
         rejected = self.faults + by_key
         if not rejected:
             return LoadReport(self.sink.name, self.read, self.read, 0, limit)
@@ -274,7 +304,7 @@ class _Batch:
             self.sink.append(self.accepted())
         else:
             small = self.n_keys <= self.broadcast_keys
-            self.sink.upsert(self.picked.drop(COPIES), self.keys, small, self.null_safe)
+            self.sink.upsert(self.picked.drop(COPIES, ROW), self.keys, small, self.null_safe)
 
     def _park(self, rows: DataFrame, name: str) -> DataFrame:
         path = f"{self.stage}/{name}"

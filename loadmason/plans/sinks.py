@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
-from contextlib import contextmanager
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import TargetMissing
 from ..functions.types import Target
-from ..operators.keys import without_keys
+from ..operators.keys import BROADCAST_BYTES, any_null, key_bytes, with_keys, without_keys
 from ..operators.schema import check_target
-from ..session import drop_path, new_path
+from ..session import by_age, drop_path, new_path, own_session
 
 DEFAULT_BATCH_SIZE = 300
 MERGING_FORMATS = ("delta", "iceberg", "hudi")
-# Partition filters beyond this many values cost more to plan than they save.
-MAX_TOUCHED = 1000
+# Versions kept of a table without partitions that upserts replace as a whole, the current one included.
+KEEP_VERSIONS = 2
+VERSION = "__v_"
+ROWS = "__rows"
+# Partitions named in one statement that drops them.
+DROP_BATCH = 200
 
 
 def effective_batch_size(batch_size: int | str | None) -> int:
@@ -29,36 +31,26 @@ def effective_batch_size(batch_size: int | str | None) -> int:
     return size if size > 0 else DEFAULT_BATCH_SIZE
 
 
-@contextmanager
-def settings(spark: SparkSession, **conf):
-    """Runs a block with other session settings."""
-    names = {key.replace("__", "."): value for key, value in conf.items() if value is not None}
-    before = {name: spark.conf.get(name, None) for name in names}
-    try:
-        for name, value in names.items():
-            spark.conf.set(name, str(value))
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
-
-
 def counted(rows: DataFrame, seen: Observation | None) -> DataFrame:
     """Counts rows as they are written. This must be the last step: in the stage that
     writes, a task tried again is counted once, before a shuffle it might not be."""
     return rows if seen is None else rows.observe(seen, F.count(F.lit(1)).alias("rows"))
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 class TableSink:
     """A table of the session's catalog."""
 
-    def __init__(self, spark: SparkSession, table: str, max_records_per_file: int | None = None):
+    def __init__(
+        self, spark: SparkSession, table: str, max_records_per_file: int | None = None, keep_versions: int = KEEP_VERSIONS
+    ):
         self.spark = spark
         self.table = table
         self.max_records_per_file = max_records_per_file
+        self.keep_versions = max(1, keep_versions)
         self.target = check_target(spark, table)
 
     @property
@@ -78,12 +70,26 @@ class TableSink:
     def location(self) -> str:
         return self._detail("Location").rstrip("/")
 
+    @property
+    def base_location(self) -> str:
+        """Where the table was made, whatever version it points at."""
+        return re.sub(f"{VERSION}[0-9a-f]{{32}}$", "", self.location)
+
     def default_reject_path(self) -> str:
-        return f"{self.location}_rejects"
+        return f"{self.base_location}_rejects"
 
     def _columns(self, flag: str) -> list[str]:
         return [c.name for c in self.spark.catalog.listColumns(self.table) if getattr(c, flag)]
 
+    @property
+    def provider(self) -> str:
+        return (self._detail("Provider") or "").lower()
+
+    @property
+    def rewritten_whole(self) -> bool:
+        """Whether an upsert writes the whole table anew."""
+        return self.provider not in MERGING_FORMATS and not self._columns("isPartition")
+
     def _gathered(self, rows: DataFrame) -> DataFrame:
         """Rows of one partition or bucket brought together, or every task would
         write a file into each. Adaptive execution splits the large groups and
@@ -96,30 +102,50 @@ class TableSink:
         return rows
 
     def append(self, rows: DataFrame, seen: Observation | None = None) -> None:
-        with settings(self.spark, spark__sql__files__maxRecordsPerFile=self.max_records_per_file):
-            counted(self._gathered(rows), seen).write.insertInto(self.table)
+        rows = counted(self._gathered(rows), seen)
+        if self.max_records_per_file is None:
+            return rows.write.insertInto(self.table)
+        partitions = self._columns("isPartition")
+        if self._columns("isBucket"):
+            stage = new_path(self.spark, "append")
+            rows.write.parquet(stage)
+            own = self._writing_session()
+            self._gathered(own.read.schema(rows.schema).parquet(stage)).write.insertInto(self.table)
+            drop_path(self.spark, stage)
+        else:
+            # a path takes options of its own, which insertInto does not
+            named = rows.toDF(*self.target.names)
+            writer = named.write.format(self.provider).mode("append").option("maxRecordsPerFile", self.max_records_per_file)
+            (writer.partitionBy(*partitions) if partitions else writer).save(self.location)
+            if partitions:
+                self.spark.sql(f"MSCK REPAIR TABLE {self.table} ADD PARTITIONS")
+        self.spark.catalog.refreshTable(self.table)
+
+    def _writing_session(self, **conf: str) -> SparkSession:
+        if self.max_records_per_file is not None:
+            conf["spark__sql__files__maxRecordsPerFile"] = str(self.max_records_per_file)
+        return own_session(self.spark, **conf)
 
     def upsert(self, latest: DataFrame, keys: Sequence[str], small: bool, null_safe: bool) -> None:
         """Puts ``latest`` (one row per key) over the table's rows.
 
-        Formats with MERGE use it. Other files cannot change, so a partitioned
-        table whose partition columns are keys has only the touched partitions
-        written anew; any other table gets a whole new version.
+        Formats with MERGE use it. Other files cannot change, so of a
+        partitioned table the partitions that hold a listed key, or get one,
+        are written anew; any other table gets a whole new version.
         """
-        if (self._detail("Provider") or "").lower() in MERGING_FORMATS:
+        if self.provider in MERGING_FORMATS:
             return self._merge(latest, keys)
         partitions = self._columns("isPartition")
-        with settings(self.spark, spark__sql__files__maxRecordsPerFile=self.max_records_per_file):
-            if partitions:
-                self._rewrite_partitions(latest, keys, partitions, small, null_safe)
-            else:
-                self._new_version(latest, keys, self._columns("isBucket"), small, null_safe)
+        if partitions:
+            self._rewrite_partitions(latest, keys, partitions, small, null_safe)
+        else:
+            self._new_version(latest, keys, self._columns("isBucket"), small, null_safe)
         self.spark.catalog.refreshTable(self.table)
 
     def _merge(self, latest: DataFrame, keys: Sequence[str]) -> None:
         view = f"latest_{uuid.uuid4().hex}"
         latest.createOrReplaceTempView(view)
-        on = " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in keys)
+        on = " AND ".join(f"t.{quoted(k)} <=> s.{quoted(k)}" for k in keys)
         try:
             self.spark.sql(
                 f"MERGE INTO {self.table} AS t USING {view} AS s ON {on} "
@@ -128,43 +154,115 @@ class TableSink:
         finally:
             self.spark.catalog.dropTempView(view)
 
+    def rows_beside(self, listed: DataFrame, keys: Sequence[str], stage: str) -> DataFrame:
+        """The table's rows that may hold a listed key: those of the keys' partitions, where keys tell partitions."""
+        partitions = self._columns("isPartition")
+        if not partitions or not set(partitions) <= set(keys):
+            return self.rows()
+        return self._of_partitions(self._touched(listed.select(*partitions), f"{stage}/beside"), partitions)
+
+    def _touched(self, partitions: DataFrame, path: str) -> DataFrame:
+        """The distinct partitions, written out, so that they are found once."""
+        counted_rows = partitions.groupBy(*partitions.columns).agg(F.count(F.lit(1)).alias(ROWS))
+        counted_rows.write.parquet(path)
+        return self.spark.read.schema(counted_rows.schema).parquet(path)
+
+    def _of_partitions(self, touched: DataFrame, partitions: list[str], rows: DataFrame | None = None) -> DataFrame:
+        """The table's rows (or what was made of them) in these partitions; the scan skips all others.
+
+        Spark takes the partitions to scan from a broadcast side that a
+        comparison has filtered, so one is stated that always holds.
+        """
+        size, widest, nulls = touched.agg(
+            F.count(F.lit(1)), F.max(key_bytes(touched.schema, partitions)), F.count_if(any_null(partitions))
+        ).head()
+        small = size * (widest or 0) <= BROADCAST_BYTES
+        listed = touched.where(F.col(ROWS) >= 1)
+        rows = self.rows() if rows is None else rows
+        found = with_keys(rows, listed.where(~any_null(partitions)), partitions, small, null_safe=False)
+        if nulls:
+            found = found.unionByName(with_keys(rows.where(any_null(partitions)), listed.where(any_null(partitions)), partitions, small))
+        return found
+
     def _rewrite_partitions(self, latest: DataFrame, keys, partitions: list[str], small: bool, null_safe: bool) -> None:
-        current, overwrite = self.rows(), "static"
-        if set(partitions) <= set(keys):
-            # a key never leaves its partition, so each partition can be replaced on its own
-            overwrite = "dynamic"
-            touched = latest.select(*partitions).distinct().limit(MAX_TOUCHED + 1).collect()
-            if len(touched) <= MAX_TOUCHED:
-                one = [reduce(and_, [F.col(p).eqNullSafe(F.lit(row[p])) for p in partitions]) for row in touched]
-                current = current.filter(reduce(or_, one, F.lit(False)))
-        merged = without_keys(current, latest, keys, small, null_safe).unionByName(latest)
-        stage = new_path(self.spark, "merged")
-        merged.write.parquet(stage)
-        with settings(self.spark, spark__sql__sources__partitionOverwriteMode=overwrite):
-            staged = self.spark.read.schema(merged.schema).parquet(stage)
+        """Writes the touched partitions anew, all of them in one commit.
+
+        The merged rows are staged first, as Spark does not overwrite what it
+        reads. If the final write fails the table is as it was. A partition
+        that lost its last row to another one is dropped afterwards; a run
+        cut short before that is completed by repeating the upsert, as the old
+        rows still bear the batch's keys.
+        """
+        moving = not set(partitions) <= set(keys)
+        named = latest.select(*partitions)
+        if moving:
+            held = self.rows().select(*dict.fromkeys([*keys, *partitions]))
+            named = named.unionByName(with_keys(held, latest, keys, small, null_safe).select(*partitions))
+        stage = new_path(self.spark, "upsert")
+        try:
+            touched = self._touched(named, f"{stage}/touched")
+            current = self._of_partitions(touched, partitions)
+            merged = without_keys(current, latest, keys, small, null_safe).unionByName(latest)
+            merged.write.parquet(f"{stage}/merged")
+            own = self._writing_session(spark__sql__sources__partitionOverwriteMode="dynamic")
+            staged = own.read.schema(merged.schema).parquet(f"{stage}/merged")
             self._gathered(staged).write.mode("overwrite").insertInto(self.table)
-        drop_path(self.spark, stage)
+            self.spark.catalog.refreshTable(self.table)
+            if moving:
+                filled = self.spark.read.schema(merged.schema).parquet(f"{stage}/merged").select(*partitions).distinct()
+                self._drop_partitions(without_keys(touched, filled, partitions, False), partitions)
+        finally:
+            drop_path(self.spark, stage)
+
+    def _drop_partitions(self, emptied: DataFrame, partitions: list[str]) -> None:
+        """Takes partitions out of the catalog and removes their folders."""
+        listed = emptied.select(*partitions).collect()  # names of partitions, which the catalog holds as well
+        if not listed:
+            return
+        placed = self.rows().select(*partitions, F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"))
+        folders = [r.folder for r in self._of_partitions(emptied, partitions, placed).select("folder").distinct().collect()]
+        for start in range(0, len(listed), DROP_BATCH):
+            specs = [", ".join(f"{quoted(p)} = {_literal(row[p])}" for p in partitions) for row in listed[start : start + DROP_BATCH]]
+            self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS {', '.join(f'PARTITION ({s})' for s in specs)}")
+        for folder in folders:
+            drop_path(self.spark, folder, encoded=True)
 
     def _new_version(self, latest: DataFrame, keys, buckets: list[str], small: bool, null_safe: bool) -> None:
         """Writes the merged rows beside the table and points the table at them.
 
-        The old version stays for readers that have it open; removing it is
-        the owner's business. A table bucketed on the keys is merged without
-        shuffling its rows, and stays bucketed.
+        The last ``keep_versions`` versions stay, for readers that have them
+        open; older ones are removed once the table points at the new one. A
+        table bucketed on the keys is merged without shuffling its rows, and
+        stays bucketed.
         """
         kept = without_keys(self.rows(), latest, keys, small, null_safe)
-        path = f"{self.location.split('__v_')[0]}__v_{uuid.uuid4().hex}"
+        base = self.base_location
+        path = f"{base}{VERSION}{uuid.uuid4().hex}"
+        options = {} if self.max_records_per_file is None else {"maxRecordsPerFile": self.max_records_per_file}
         if buckets:
             count = int(self._detail("Num Buckets"))
-            # one row per key, so no bucket of these is large
-            merged = kept.unionByName(latest.repartition(count, *buckets))
+            if set(keys) <= set(buckets):
+                # one row per key, so no bucket of these is large
+                dealt = latest.repartition(count, *buckets)
+            else:
+                dealt = latest.hint("rebalance", count, *buckets)
             copy = f"{self.table}_{uuid.uuid4().hex}"
-            writer = merged.write.format(self._detail("Provider")).option("path", path)
+            writer = kept.unionByName(dealt).write.format(self.provider).options(**options).option("path", path)
             writer.bucketBy(count, *buckets).sortBy(*buckets).saveAsTable(copy)
             self.spark.sql(f"DROP TABLE {copy}")
         else:
-            kept.unionByName(latest).write.format(self._detail("Provider")).save(path)
+            kept.unionByName(latest).write.format(self.provider).options(**options).save(path)
         self.spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{path}'")
+        versions = [path, *[p for p in by_age(self.spark, f"{base}{VERSION}*") if not p.endswith(path.rsplit("/", 1)[1])]]
+        stale = [p for p in [*versions, base][self.keep_versions :] if re.search(f"{VERSION}[0-9a-f]{{32}}$", p) or p == base]
+        for old in stale:
+            drop_path(self.spark, old)
+
+
+def _literal(value) -> str:
+    if value is None:
+        return "null"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 class JdbcSink:
@@ -183,6 +281,9 @@ class JdbcSink:
     def name(self) -> str:
         return self.table
 
+    def rows_beside(self, listed: DataFrame, keys: Sequence[str], stage: str) -> DataFrame:
+        return self.rows()
+
     def rows(self) -> DataFrame:
         return self.spark.read.format("jdbc").options(**self.options).load()
 
@@ -208,10 +309,10 @@ def create_table(
 ) -> Target:
     """Creates an empty table with the target's columns."""
     target = Target.of(target)
-    columns = ", ".join(f"`{c.name}` {c.spark_type.simpleString()}" for c in target.columns)
-    parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    columns = ", ".join(f"{quoted(c.name)} {c.spark_type.simpleString()}" for c in target.columns)
+    parts = f" PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
     if bucket_by:
-        parts += f" CLUSTERED BY ({', '.join(bucket_by)}) INTO {int(buckets)} BUCKETS"
+        parts += f" CLUSTERED BY ({', '.join(map(quoted, bucket_by))}) INTO {int(buckets)} BUCKETS"
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE {table} ({columns}) USING {provider}{parts}{where}")
     return Target.of(spark.table(table).schema)

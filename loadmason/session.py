@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import uuid
@@ -55,7 +56,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get("loadmason.work.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.match(r"local($|\[)", spark.conf.get("spark.master", "")):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="loadmason-")
     spark.conf.set("loadmason.work.dir", folder)
@@ -67,14 +68,49 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/loadmason/{label}-{uuid.uuid4().hex}"
 
 
+def own_session(spark: SparkSession, **conf: str) -> SparkSession:
+    """A session with the caller's settings and some of its own, so that the caller's never change."""
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            other.conf.set(key, value)
+    for key, value in conf.items():
+        other.conf.set(key.replace("__", "."), value)
+    other.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    return other
+
+
 def ship() -> None:
     """Has this package's code sent along with what Python workers run, so that it
     need not be installed on them."""
     cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Removes a work folder this library wrote, on whatever file system holds it."""
+def _hadoop(spark: SparkSession, path: str, encoded: bool = False):
     jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path) if encoded else path)
+    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def drop_path(spark: SparkSession, path: str, encoded: bool = False) -> None:
+    """Removes a folder this library wrote, on whatever file system holds it; ``encoded`` if its name is a URI."""
+    hadoop_path, files = _hadoop(spark, path, encoded)
+    files.delete(hadoop_path, True)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Makes an empty file."""
+    hadoop_path, files = _hadoop(spark, path)
+    files.create(hadoop_path, True).close()
+
+
+def is_marked(spark: SparkSession, path: str) -> bool:
+    hadoop_path, files = _hadoop(spark, path)
+    return files.exists(hadoop_path)
+
+
+def by_age(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match a pattern, the newest first."""
+    hadoop_path, files = _hadoop(spark, pattern)
+    found = sorted(files.globStatus(hadoop_path) or [], key=lambda f: (-f.getModificationTime(), f.getPath().toString()))
+    return [f.getPath().toString() for f in found]

@@ -12,13 +12,27 @@ from pyspark.sql import functions as F
 from ..functions.parsing import UNICODE_SPACE, pattern_or_default
 from ..functions.text_cells import parse_field
 from ..functions.types import DEFAULT_SEPARATOR, Target
-from ..operators.checked import Checked, Field, row_text
+from ..operators.checked import ARRIVAL, Checked, Field, row_text
 from ..operators.schema import check_arity
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """The lines of a file, a folder or several of them."""
-    return spark.read.text(paths if isinstance(paths, str) else list(paths))
+def read_lines(spark: SparkSession, paths: str | Sequence[str], recursive: bool = False, arrival: bool = False) -> DataFrame:
+    """The lines of a file, a folder or several of them.
+
+    Sub-folders named like ``dt=1`` are read as well, any others with
+    ``recursive``. With ``arrival`` each line has its place: file, where its
+    stretch of the file starts, and a number that rises within the stretch.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true") if recursive else spark.read
+    lines = reader.text(paths if isinstance(paths, str) else list(paths))
+    if not arrival:
+        return lines.select("value")
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("number"),
+    )
+    return lines.select("value", place.alias(ARRIVAL))
 
 
 def split_pattern(sep: str) -> str:
@@ -60,7 +74,10 @@ def quote_replacement(sep: str) -> str:
 def check_lines(
     lines: DataFrame, target, sep: str | None = DEFAULT_SEPARATOR, date_format: str | None = None
 ) -> Checked:
-    """Splits each line of a one-column frame and reads field *i* as target column *i*."""
+    """Splits each line of a one-column frame and reads field *i* as target column *i*.
+
+    The frame may also hold each line's place in its source.
+    """
     target = Target.of(target)
     check_arity(len(target), target)
     date_format = pattern_or_default(date_format)
@@ -77,16 +94,19 @@ def check_lines(
     arity = F.size("parts")
     wrong = arity != len(target)
     mismatch = F.concat(F.lit(f"mismatched field counts: expected {len(target)}, actual "), arity.cast("string"))
-    given = lines.toDF("line").select("line", parts.alias("parts"))
-    reporting = given.select("line", F.when(wrong, mismatch).alias("bad_row"), *trimmed)
+    arrival = [c for c in lines.columns if c == ARRIVAL]
+    text = next(c for c in lines.columns if c != ARRIVAL)
+    given = lines.withColumnRenamed(text, "line").select("line", parts.alias("parts"), *arrival)
+    reporting = given.select("line", F.when(wrong, mismatch).alias("bad_row"), *trimmed, *arrival)
     # ending the job is part of every field, so it holds for whichever are read
-    guarded = given.select(F.when(wrong, F.raise_error(mismatch)).otherwise(F.col("parts")).alias("parts"))
+    guarded = given.select(F.when(wrong, F.raise_error(mismatch)).otherwise(F.col("parts")).alias("parts"), *arrival)
     return Checked(
-        reporting.select("line", "bad_row", *sources, *values),
+        reporting.select("line", "bad_row", *sources, *values, *arrival),
         fields,
         "bad_row",
         F.col("line"),
-        guarded.select(*trimmed).select(*sources, *values),
+        guarded.select(*trimmed, *arrival).select(*sources, *values, *arrival),
+        bool(arrival),
     )
 
 
@@ -101,9 +121,10 @@ def scan_delimited(
     sep: str | None = DEFAULT_SEPARATOR,
     date_format: str | None = None,
     on_error: str = "fail",
+    recursive: bool = False,
 ):
     """A typed frame from text files; with ``on_error="reject"`` accepted rows and rejects."""
-    return parse_lines(read_lines(spark, paths), target, sep, date_format, on_error)
+    return parse_lines(read_lines(spark, paths, recursive), target, sep, date_format, on_error)
 
 
 def render(

@@ -2,37 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.schema import check, check_target
 from ..plans.load import load
+from ..plans.sinks import TableSink
+from ..session import is_marked, mark
 
 DEFAULT_INTERVAL = "10 seconds"
 
 
+def batch_loader(spark: SparkSession, table: str, checkpoint: str, **options) -> Callable[[DataFrame, int], None]:
+    """Loads a batch unless one of its number has been loaded."""
+
+    def load_batch(batch: DataFrame, batch_id: int) -> None:
+        done = f"{checkpoint.rstrip('/')}_loaded/{batch_id}"
+        if is_marked(spark, done):
+            return
+        load(batch, table, **options)
+        mark(spark, done)
+        # batches run in a session of their own; let the caller's see the new files
+        spark.catalog.refreshTable(table)
+
+    return load_batch
+
+
 def load_stream(
     stream: DataFrame,
     table: str,
     checkpoint: str,
     every: str | None = DEFAULT_INTERVAL,
+    rewrite_whole: bool = False,
     **options,
 ) -> StreamingQuery:
     """Starts loading a stream into a table; takes the options of :func:`load`.
 
     ``every`` is the trigger interval; None loads what there is and stops. The
-    schema is checked before the stream starts. A batch cut short between the
-    write and the checkpoint runs again: with ``mode="upsert"`` that changes
-    nothing, a plain append may then hold the batch's rows twice.
+    schema is checked before the stream starts. Each batch leaves a mark beside
+    the checkpoint once it is loaded, and a batch that runs again adds nothing.
+    Only a driver lost between the write and the mark may append a batch twice;
+    an upsert is the same either way.
+
+    An upsert into a table that has to be written anew as a whole, every batch,
+    is refused unless ``rewrite_whole`` says that this is wanted.
     """
     spark = stream.sparkSession
     check(stream.schema, check_target(spark, table), options.get("coerce", "strict"))
-
-    def load_batch(batch: DataFrame, _batch_id: int) -> None:
-        load(batch, table, **options)
-        # batches run in a session of their own; let the caller's see the new files
-        spark.catalog.refreshTable(table)
-
+    if options.get("mode") == "upsert" and not rewrite_whole and TableSink(spark, table).rewritten_whole:
+        raise ValueError(f"every batch would write all of {table} anew: partition it, use a format with MERGE, or set rewrite_whole")
+    load_batch = batch_loader(spark, table, checkpoint, **options)
     writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
     return writer.start()
