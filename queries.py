@@ -7,6 +7,7 @@ binary values as hex text, so both sides compare alike.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,6 @@ import loadmason as lm
 from loadmason.functions.digests import md5_base64, md5_bytes, md5_uuid
 from loadmason.operators.rows import fingerprint
 from loadmason.session import new_path, tune
-from loadmason.sources.writer import FORMAT, register
 
 QUERIES = {}
 SQL = {}
@@ -145,17 +145,46 @@ def scan_bad_arity(spark, folder):
     return lm.fault_by_cause(rejects)
 
 
-@query(
-    """SELECT doc_id, lang, source FROM documents"""
-)
+@query("SELECT doc_id, lang, source, rtrim(split_part('.' || text, chr(10), 1)) AS text FROM documents")
 def scan_newline_rows(spark, folder):
     """Rows whose last field holds newlines, written as text: their first line is a
     row, the lines after it are rejects."""
     documents = read(spark, folder, "documents").select("doc_id", "lang", "source", F.concat(F.lit("."), "text"))
     path = new_path(spark, "documents-tsv")
     lm.write_delimited(documents, path)
-    accepted = lm.scan_delimited(spark, path, "doc_id BIGINT, lang STRING, source STRING, text STRING", on_error="reject").accepted
-    return accepted.drop("text")
+    return lm.scan_delimited(spark, path, "doc_id BIGINT, lang STRING, source STRING, text STRING", on_error="reject").accepted
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, l_partkey,
+              CASE WHEN l_linenumber % 3 <> 0 THEN l_linenumber::tinyint END AS tiny,
+              CASE WHEN l_linenumber % 3 <> 1 THEN (l_partkey % 30000 - 15000)::smallint END AS small,
+              CASE WHEN l_linenumber % 3 <> 2 THEN (l_extendedprice::decimal(18,2))::decimal(38,12) END AS dec
+       FROM lineitem"""
+)
+def scan_small_numbers(spark, folder):
+    """Tiny and small whole numbers and decimals, nulls among them, rendered and read back."""
+    kind = F.col("l_linenumber") % 3
+    numbers = read(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        F.when(kind != 0, F.col("l_linenumber").cast("tinyint")).alias("tiny"),
+        F.when(kind != 1, (F.col("l_partkey") % 30000 - 15000).cast("smallint")).alias("small"),
+        F.when(kind != 2, F.col("l_extendedprice").cast("decimal(18,2)").cast("decimal(38,12)")).alias("dec"),
+    )
+    path = new_path(spark, "numbers-tsv")
+    lm.write_delimited(numbers, path)
+    return lm.scan_delimited(spark, path, numbers.schema)
+
+
+@query("SELECT * FROM lineitem")
+def scan_partitioned_folder(spark, folder):
+    """Lines in a folder with sub-folders named after a value."""
+    lineitem = read(spark, folder, "lineitem")
+    path = new_path(spark, "lineitem-by-flag")
+    lines = lm.render(lineitem)
+    by_flag = lines.withColumn("flag", F.substring_index(F.substring_index("value", "\t", 9), "\t", -1))
+    by_flag.write.partitionBy("flag").text(path)
+    return plain(lm.scan_delimited(spark, path, lineitem.schema))
 
 
 @query(
@@ -640,23 +669,51 @@ def float_widening(spark, folder):
     return lm.coerce(events, "event_id BIGINT, wide FLOAT")
 
 
-@query("SELECT event_id, date_trunc('millisecond', ts) AS ts, user_id, event_type, value, props FROM events")
+@query(
+    """SELECT l_linenumber::tinyint AS a, (l_suppkey % 30000)::smallint AS b, l_partkey::integer AS c, l_orderkey AS d,
+              l_quantity::double AS e, (l_extendedprice::decimal(18,2))::decimal(38,12) AS f, l_returnflag AS g,
+              hex(l_linestatus) AS h, l_shipdate::timestamp AS i FROM lineitem"""
+)
 def exact_insert(spark, folder):
-    events = read(spark, folder, "events")
-    table = fresh_table(spark, "exact", events.schema)
-    lm.insert_exact(events, table)
+    """All nine types of target column from fields of just these types."""
+    source = read(spark, folder, "lineitem").select(
+        F.col("l_linenumber").cast("tinyint").alias("a"),
+        (F.col("l_suppkey") % 30000).cast("smallint").alias("b"),
+        F.col("l_partkey").cast("int").alias("c"),
+        F.col("l_orderkey").cast("bigint").alias("d"),
+        F.col("l_quantity").cast("double").alias("e"),
+        F.col("l_extendedprice").cast("decimal(18,2)").cast("decimal(26,12)").alias("f"),
+        F.col("l_returnflag").alias("g"),
+        F.encode("l_linestatus", "UTF-8").alias("h"),
+        F.col("l_shipdate").cast("timestamp").alias("i"),
+    )
+    target = "a TINYINT, b SMALLINT, c INTEGER, d BIGINT, e FLOAT, f DECIMAL, g STRING, h VARBINARY, i TIMESTAMP"
+    table = fresh_table(spark, "exact", target)
+    lm.insert_exact(source, table)
     return plain(spark.table(table))
 
 
 @query("SELECT event_id, date_trunc('millisecond', ts) AS ts, user_id, event_type, value, props FROM events")
 def store_format(spark, folder):
-    """The write-only data source."""
+    """Any frame stored into a table whose columns it fits strictly."""
     events = read(spark, folder, "events")
-    register(spark)
-    path = new_path(spark, "format")
-    columns = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value FLOAT, props STRING"
-    events.write.format(FORMAT).option("path", path).option("columns", columns).mode("append").save()
-    return plain(spark.read.schema(events.schema).parquet(path))
+    table = fresh_table(spark, "stored", events.schema)
+    lm.store(events, table)
+    return plain(spark.table(table))
+
+
+@query(
+    """SELECT rows_in_file, count(*) AS n_files FROM (
+         SELECT count(*) AS rows_in_file FROM (SELECT (row_number() OVER () - 1) // 300 AS file FROM orders) GROUP BY file)
+       GROUP BY rows_in_file"""
+)
+def batch_size(spark, folder):
+    """Rows stored in batches of the default size, from one task."""
+    orders = read(spark, folder, "orders")
+    table = fresh_table(spark, "batches", orders.schema)
+    lm.store(orders.coalesce(1), table, batch_size=0)
+    files = spark.table(table).groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("rows_in_file"))
+    return files.groupBy("rows_in_file").agg(F.count(F.lit(1)).alias("n_files"))
 
 
 @query("SELECT * FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT * FROM orders WHERE o_orderkey % 2 = 1")
@@ -752,6 +809,66 @@ def upsert_partitioned(spark, folder):
     return plain(spark.table(table).select(*lineitem.columns))
 
 
+@query(
+    """SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 OR o_orderstatus = 'F' THEN 'M' ELSE o_orderstatus END AS o_orderstatus)
+       FROM orders"""
+)
+def upsert_moved_partition(spark, folder):
+    """Rows that move to another partition, which their key does not name; one partition loses all its rows."""
+    orders = read(spark, folder, "orders")
+    last = orders.select(*[c for c in orders.columns if c != "o_orderstatus"], "o_orderstatus")
+    table = fresh_table(spark, "moved", last.schema, partition_by=["o_orderstatus"])
+    lm.load(last, table, mode="upsert", keys=["o_orderkey"])
+    moved = last.filter("o_orderkey % 3 = 0 OR o_orderstatus = 'F'").withColumn("o_orderstatus", F.lit("M"))
+    lm.load(moved, table, mode="upsert", keys=["o_orderkey"])
+    return plain(spark.table(table).select(*orders.columns))
+
+
+@query(
+    """SELECT user_id, event_type, event_id FROM (
+         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events) WHERE n = 1"""
+)
+def upsert_file_order(spark, folder):
+    """A file whose keys repeat: the last line of a key stays, though it need not be the greatest."""
+    events = read(spark, folder, "events")
+    path = new_path(spark, "events-in-order")
+    lines = lm.render(events.orderBy("event_id").select("user_id", "event_type", "event_id"))
+    lines.coalesce(1).write.text(path)
+    table = fresh_table(spark, "ordered", "user_id BIGINT, event_type STRING, event_id BIGINT")
+    lm.load_file(spark, path, table, mode="upsert", keys=["user_id"])
+    return spark.table(table)
+
+
+@query(
+    """SELECT 'repeated key' AS cause, user_id || '|' || event_type || '|' || event_id AS row_text FROM (
+         SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS n FROM events) WHERE n > 1
+       UNION ALL
+       SELECT 'key already in target', user_id || '|' || event_type || '|' || event_id FROM events
+       UNION ALL
+       SELECT 'user_id: not a valid INTEGER', event_id || chr(9) || event_type FROM events WHERE event_id % 10 = 0"""
+)
+def reject_rows(spark, folder):
+    """Every rejected row with its text: repeated keys, keys the target holds, and lines that cannot be read."""
+    events = read(spark, folder, "events")
+    keyed = events.select("user_id", "event_type", "event_id")
+    table = fresh_table(spark, "rejecting", keyed.schema)
+    rejects = [new_path(spark, "rejects") for _ in range(3)]
+    for path in rejects[:2]:
+        lm.load(keyed, table, keys=["user_id", "event_type"], order_by=["event_id"], max_errors=WHATEVER, reject_path=path)
+    lines = events.select(
+        F.concat_ws(
+            "\t",
+            F.col("event_id").cast("string"),
+            F.when(F.col("event_id") % 10 == 0, F.col("event_type")).otherwise(F.col("user_id").cast("string")),
+        )
+    )
+    source = new_path(spark, "bad-events")
+    lines.write.text(source)
+    typed = fresh_table(spark, "events", "event_id BIGINT, user_id INTEGER")
+    lm.load_file(spark, source, typed, on_error="reject", max_errors=WHATEVER, reject_path=rejects[2])
+    return reduce(DataFrame.unionByName, [spark.read.parquet(path).select("cause", "row_text") for path in rejects])
+
+
 def events_with_bad_values(spark: SparkSession, folder: str) -> DataFrame:
     """Lines with a word where a number belongs (1 in 10), a field too many (1 in 10) and good ones."""
     kind = F.col("event_id") % 10
@@ -789,7 +906,7 @@ def load_with_rejects(spark, folder):
     """A load over its limit leaves the table empty; the same load under it fills the table."""
     path = new_path(spark, "bad-events")
     events_with_bad_values(spark, folder).write.text(path)
-    results = []
+    kept = []
     for limit in (1, WHATEVER):
         table, rejects = fresh_table(spark, "events", BAD_EVENTS), new_path(spark, "rejects")
         outcome = "loaded"
@@ -797,10 +914,23 @@ def load_with_rejects(spark, folder):
             lm.load_file(spark, path, table, on_error="reject", max_errors=limit, reject_path=rejects)
         except lm.LoadAborted:
             outcome = "aborted"
-        loaded = spark.table(table).agg(F.count(F.lit(1)).alias("n_loaded"))
-        rejected = spark.read.parquet(rejects).agg(F.count(F.lit(1)).alias("n_rejected"))
-        results.append(loaded.select(F.lit(outcome).alias("outcome"), "n_loaded").crossJoin(rejected))
-    return results[0].unionByName(results[1])
+        for rows, loaded in ((spark.table(table), 1), (spark.read.parquet(rejects), 0)):
+            kept.append(rows.select(F.lit(outcome).alias("outcome"), F.lit(loaded).alias("loaded")))
+    return reduce(DataFrame.unionByName, kept).groupBy("outcome").agg(
+        F.sum("loaded").alias("n_loaded"), F.sum(1 - F.col("loaded")).alias("n_rejected")
+    )
+
+
+@query(
+    """SELECT least(25, n) AS n_rows, least(25, n) AS n_known FROM (
+         SELECT count(*) FILTER (event_id % 10 IN (0, 1)) AS n FROM events)"""
+)
+def fault_sample(spark, folder):
+    """As many rejects as the limit allows, all of them among the rejects."""
+    rejects = lm.parse_lines(events_with_bad_values(spark, folder), BAD_EVENTS, on_error="reject").rejects
+    known = rejects.distinct().withColumn("known", F.lit(1))
+    sample = lm.fault_sample(rejects, 25)
+    return sample.join(known, ["cause", "row_text"], "left").agg(F.count(F.lit(1)).alias("n_rows"), F.count("known").alias("n_known"))
 
 
 @query(
@@ -836,3 +966,24 @@ def micro_batch_load(spark, folder):
     running = lm.load_stream(stream, table, new_path(spark, "stream-checkpoint"), every=None)
     running.awaitTermination()
     return plain(spark.table(table))
+
+
+@query(
+    """SELECT event_id, user_id, value, event_type FROM (
+         SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS n FROM events) WHERE n = 1"""
+)
+def micro_batch_upsert(spark, folder):
+    """The events as a stream, upserted into a table partitioned by a key column."""
+    schema = read(spark, folder, "events").schema
+    given = T.StructType([
+        T.StructField(f.name, T.TimestampNTZType() if isinstance(f.dataType, T.TimestampType) else f.dataType) for f in schema
+    ])
+    stream = spark.readStream.schema(given).option("pathGlobFilter", "events.parquet").parquet(folder)
+    wanted = stream.select("event_id", "user_id", "value", "event_type")
+    table = fresh_table(spark, "stream", wanted.schema, partition_by=["event_type"])
+    running = lm.load_stream(
+        wanted, table, new_path(spark, "stream-checkpoint"), every=None,
+        mode="upsert", keys=["user_id", "event_type"], order_by=["event_id"],
+    )
+    running.awaitTermination()
+    return spark.table(table)
