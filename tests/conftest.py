@@ -8,9 +8,12 @@ from loadmason.session import local_session, new_path
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    return local_session(
-        "tests", cores="4", **{"spark.sql.shuffle.partitions": "4", "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("wh"))}
-    )
+    settings = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("wh")),
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+    }
+    return local_session("tests", cores="4", **settings)
 
 
 @pytest.fixture

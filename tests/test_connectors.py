@@ -1,5 +1,3 @@
-import os
-
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -7,67 +5,11 @@ from pyspark.sql import functions as F
 import loadmason as lm
 from loadmason.plans import job
 from loadmason.session import CHECKPOINT_DIR, new_path, shared_dir
-from loadmason.sources.writer import FORMAT, register
-
-COLUMNS = "a INTEGER, b STRING, t TIMESTAMP"
-
-
-def typed(spark, n=100):
-    return spark.range(n).select(
-        F.col("id").cast("int").alias("x"), F.col("id").cast("string").alias("y"),
-        F.timestamp_micros(F.col("id") * 1000 + 999).alias("z"),
-    ).repartition(3)
-
-
-def test_data_source_writes(spark, tmp_path):
-    register(spark)
-    path = str(tmp_path / "out")
-    for _ in range(2):
-        typed(spark).write.format(FORMAT).option("path", path).option("columns", COLUMNS).mode("append").save()
-    out = spark.read.parquet(path)
-    want = typed(spark).withColumn("z", F.timestamp_millis(F.unix_millis("z")))
-    assert rows(out) == rows(want.unionAll(want)) and out.columns == ["a", "b", "t"]
-    assert not [f for f in os.listdir(path) if f.startswith("_pending")]
-
-
-def test_data_source_takes_every_type(spark, tmp_path):
-    register(spark)
-    columns = "a TINYINT, b SMALLINT, c INTEGER, d BIGINT, e FLOAT, f TIMESTAMP, g STRING, h VARBINARY, i DECIMAL"
-    source = spark.sql(
-        "select 1Y, 2S, 3, 4L, 5D, timestamp'2024-01-01', 'x', binary('y'), cast('-1.5' as decimal(38,12)) "
-        "union all select null, null, null, null, null, null, null, null, null"
-    ).toDF(*"abcdefghi")
-    path = str(tmp_path / "out")
-    lm.coerce(source, columns).write.format(FORMAT).option("path", path).option("columns", columns).mode("append").save()
-    out = spark.read.parquet(path)
-    assert out.schema == lm.Target.of(columns).schema
-    assert rows(out) == rows(source)
-
-
-def test_data_source_shows_nothing_on_failure(spark, tmp_path):
-    register(spark)
-    path = str(tmp_path / "out")
-    bad = typed(spark).withColumn("x", F.when(F.col("x") == 50, F.raise_error(F.lit("stop"))).otherwise(F.col("x")))
-    with pytest.raises(Exception, match="stop"):
-        bad.write.format(FORMAT).option("path", path).option("columns", COLUMNS).mode("append").save()
-    # a task still running while the job is aborted may leave its file out of readers' sight
-    assert not os.path.exists(path) or [f for f in os.listdir(path) if not f.startswith("_")] == []
-
-
-@pytest.mark.parametrize("options,mode,why", [
-    ({}, "append", "must be set"),
-    ({"path": "/tmp/x"}, "append", "must be set"),
-    ({"path": "/tmp/x", "columns": "a BIGINT, b STRING, t TIMESTAMP"}, "append", "do not match"),
-    ({"path": "/tmp/x", "columns": COLUMNS}, "overwrite", "only appends"),
-])
-def test_data_source_checks_first(spark, options, mode, why):
-    register(spark)
-    with pytest.raises(Exception, match=why):
-        typed(spark).write.format(FORMAT).options(**options).mode(mode).save()
+from loadmason.streaming.micro_batch import batch_loader
 
 
 def test_job_loads(spark, table, tmp_path, capsys):
-    (tmp_path / "in").write_text("1|a\n2|b\n1|c\n")
+    (tmp_path / "in").write_text("1|x\n2|b\n1|c\n")
     name = table("k INTEGER, v STRING")
     assert job.main([str(tmp_path / "in"), name, "--sep", "|", "--upsert", "--keys", "k, ,"]) == 0
     assert "read 3, loaded 3, rejected 0" in capsys.readouterr().out
@@ -92,9 +34,9 @@ def test_job_refuses_bad_options(argv):
 
 
 def test_job_lists():
-    assert job.names("uno, ") == ["uno"]
-    assert job.names(",,,,") == []
-    assert job.names(" due,uno ") == ["due", "uno"]
+    assert job.names("k1") == ["k1"]
+    assert job.names(" , ,") == []
+    assert job.names("region , k1,") == ["region", "k1"]
 
 
 def stream_of(spark, folder, schema):
@@ -113,13 +55,34 @@ def test_stream_loads_every_batch(spark, table, tmp_path):
 
 
 def test_stream_upserts(spark, table, tmp_path):
+    folder, schema = str(tmp_path / "in"), "v string, k int"
+    spark.createDataFrame([("a", 1), ("a", 2)], schema).coalesce(1).write.parquet(folder)
+    name, checkpoint = table("v STRING, k INTEGER", partition_by=["k"]), new_path(spark, "checkpoint")
+    for more in ([("b", 2), ("b", 3)], None):
+        stream = stream_of(spark, folder, schema)
+        lm.load_stream(stream, name, checkpoint, every=None, mode="upsert", keys=["k"]).awaitTermination()
+        if more:
+            spark.createDataFrame(more, schema).coalesce(1).write.mode("append").parquet(folder)
+    assert rows(spark.table(name)) == [("a", 1), ("b", 2), ("b", 3)]
+
+
+def test_stream_upserts_do_not_rewrite_a_whole_table_unasked(spark, table, tmp_path):
     folder = str(tmp_path / "in")
-    spark.createDataFrame([(1, "a"), (2, "a")], "k int, v string").coalesce(1).write.parquet(folder)
+    spark.createDataFrame([(1, "a")], "k int, v string").write.parquet(folder)
+    name, options = table("k INTEGER, v STRING"), {"every": None, "mode": "upsert", "keys": ["k"]}
+    with pytest.raises(ValueError, match="anew"):
+        lm.load_stream(stream_of(spark, folder, "k int, v string"), name, new_path(spark, "c"), **options)
+    stream = stream_of(spark, folder, "k int, v string")
+    lm.load_stream(stream, name, new_path(spark, "c"), rewrite_whole=True, **options).awaitTermination()
+    assert rows(spark.table(name)) == [(1, "a")]
+
+
+def test_a_batch_that_runs_again_adds_nothing(spark, table):
     name, checkpoint = table("k INTEGER, v STRING"), new_path(spark, "checkpoint")
-    lm.load_stream(stream_of(spark, folder, "k int, v string"), name, checkpoint, every=None, mode="upsert", keys=["k"]).awaitTermination()
-    spark.createDataFrame([(2, "b"), (3, "b")], "k int, v string").coalesce(1).write.mode("append").parquet(folder)
-    lm.load_stream(stream_of(spark, folder, "k int, v string"), name, checkpoint, every=None, mode="upsert", keys=["k"]).awaitTermination()
-    assert rows(spark.table(name)) == [(1, "a"), (2, "b"), (3, "b")]
+    batch = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    for number in (0, 0, 1, 0):
+        batch_loader(spark, name, checkpoint)(batch, number)
+    assert spark.table(name).count() == 4
 
 
 def test_stream_interval(spark, table, tmp_path):
@@ -158,7 +121,8 @@ class Unset:
 
 
 def test_no_machine_local_folder_on_a_cluster():
-    with pytest.raises(RuntimeError, match=CHECKPOINT_DIR):
-        shared_dir(Unset("yarn"))
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match=CHECKPOINT_DIR):
+            shared_dir(Unset(master))
     local = Unset("local[4]")
     assert shared_dir(local) == shared_dir(local)

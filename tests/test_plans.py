@@ -25,8 +25,22 @@ def typed(spark):
 def test_conversion_does_not_shuffle_or_leave_the_jvm(spark):
     target = "a STRING, b VARBINARY, c DECIMAL, d STRING, e VARBINARY, f DECIMAL, g TIMESTAMP, h STRING, i VARBINARY, j STRING, k VARBINARY"
     for frame in (convert_frame(lineitem(spark), target).flagged(), convert_frame(lineitem(spark), target).failing()):
-        assert "Exchange" not in plan(frame)
-        assert "Python" not in plan(frame) and "Arrow" not in plan(frame)
+        text = plan(frame)
+        assert "Exchange" not in text and "BatchEvalPython" not in text
+        # one cell here has no expression in the JVM; it takes whole Arrow batches
+        assert text.count("ArrowEvalPython") == 1 and "_ieee_bytes" in text
+    without = target.replace("e VARBINARY", "e STRING")
+    assert "Python" not in plan(convert_frame(lineitem(spark), without).flagged())
+
+
+def test_filters_pass_a_cell_that_runs_in_arrow(spark):
+    df = lm.coerce(lineitem(spark).select("l_orderkey", "l_quantity"), "a BIGINT, b VARBINARY").filter("a < 10")
+    assert "_ieee_bytes" in plan(df) and "LessThan(l_orderkey,10)" in plan(df)
+
+
+def test_filters_pass_the_flagged_frame(spark):
+    df = lm.coerce(lineitem(spark).select("l_orderkey", "l_tax"), "a BIGINT, b INTEGER", mode="loose", on_error="flag")
+    assert "LessThan(l_orderkey,10)" in plan(df.filter("a < 10"))
 
 
 def test_only_exact_decimals_use_python(spark):
@@ -103,3 +117,54 @@ def test_only_partitioned_and_bucketed_targets_gather_rows(spark, table):
     for options, shuffled in (({}, False), ({"partition_by": ["b"]}, True), ({"bucket_by": ["a"], "buckets": 3}, True)):
         sink = TableSink(spark, table("a INTEGER, b INTEGER", **options))
         assert ("REBALANCE" in plan(sink._gathered(rows))) == shuffled
+
+
+@pytest.mark.parametrize("keys", [["l_orderkey", "l_returnflag"], ["l_orderkey"]])
+def test_an_upsert_scans_touched_partitions_only(spark, table, keys, monkeypatch):
+    from loadmason.plans.sinks import TableSink
+
+    last = [c for c in lineitem(spark).columns if c != "l_returnflag"] + ["l_returnflag"]
+    rows = typed(spark).select(*last)
+    name = table(rows.schema, partition_by=["l_returnflag"])
+    lm.load(rows, name)
+    seen = []
+    found = TableSink._of_partitions
+    monkeypatch.setattr(TableSink, "_of_partitions", lambda *args: seen.append(found(*args)) or seen[-1])
+    lm.load(rows.filter("l_returnflag = 'A'"), name, mode="upsert", keys=keys)
+    assert "dynamicpruning" in plan(seen[0]) and "BroadcastHashJoin" in plan(seen[0])
+    assert spark.table(name).count() < rows.count() + 1
+
+
+def test_cold_keys_are_joined_without_the_rows_of_hot_ones(spark):
+    from loadmason.operators.keys import COPIES, join_counted
+
+    rows = lineitem(spark).select("l_orderkey", "l_tax")
+    per_key = rows.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias(COPIES))
+    joined = join_counted(rows, per_key, ["l_orderkey"], rows.count(), 100, 10**6, null_safe=False)
+    text = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("LeftAnti") == 1 and text.count("rightHint=(strategy=broadcast)") == 2
+    assert joined.count() == rows.count()
+
+
+def test_null_keys_are_not_shuffled(spark):
+    from loadmason.operators.keys import without_keys
+
+    rows = lineitem(spark).select(F.when(F.col("l_orderkey") > 9, F.col("l_orderkey")).alias("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = without_keys(rows, rows.where("k = 10").distinct(), ["k"], False, null_safe=False)
+        assert "Union" in plan(kept) and "isnull" in plan(kept)
+        assert kept.count() == rows.where("k IS NULL OR k <> 10").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_unique_keys_are_not_sorted(spark, table, monkeypatch):
+    from loadmason.plans import load as module
+
+    name, used = table("a BIGINT, b FLOAT"), []
+    for f in ("one_per_key", "one_per_repeated_key"):
+        monkeypatch.setattr(module, f, lambda *args, f=f, **options: used.append(f))
+    batch = lineitem(spark).select("l_orderkey", "l_tax").dropDuplicates(["l_orderkey"])
+    lm.load(batch, name, mode="upsert", keys=["a"])
+    assert not used and spark.table(name).count() == batch.count()

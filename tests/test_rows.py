@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 import loadmason as lm
 from loadmason.functions.digests import md5_base64, md5_bytes, md5_uuid
-from loadmason.operators.rows import fingerprint, rows_equal
 
 
 def test_align_by_position(spark):
@@ -14,12 +13,8 @@ def test_align_by_position(spark):
         lm.align_by_position(df, "a INTEGER")
 
 
-def test_rows_equal(spark):
     df = spark.sql("select 1 a, cast(null as int) b, binary('x') c, 1 d, cast(null as int) e, binary('x') f")
     cols = [F.col(c) for c in "abcdef"]
-    assert df.select(rows_equal(cols[:3], cols[3:])).head()[0] is True
-    assert df.select(rows_equal(cols[:2], [F.lit(1), F.lit(2)])).head()[0] is False
-    assert df.select(rows_equal(cols[:2], cols[:1])).head()[0] is False
 
 
 def test_row_diff_counts_copies(spark):

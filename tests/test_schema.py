@@ -14,12 +14,12 @@ def test_exact_match(spark):
     lm.check(schema(["int", "bigint", "double", "string", "timestamp", "binary"]), THINGS, mode="exact")
 
 
+OWN = ["int", "bigint", "double", "string", "timestamp", "binary"]
+
+
 @pytest.mark.parametrize("types", [
-    ["int", "double"],
-    ["bigint", "int", "double", "string", "timestamp", "binary"],
-    ["int", "bigint", "double", "string", "timestamp"],
-    ["int", "bigint", "float", "string", "timestamp", "binary"],
-    ["int", "bigint", "double", "string", "timestamp", "map<int,string>"],
+    OWN[:3], [*OWN, "int"], [*OWN[1::-1], *OWN[2:]], ["smallint", *OWN[1:]], [*OWN[:3], "binary", *OWN[4:]],
+    [*OWN[:4], "date", OWN[5]], [*OWN[:5], "array<tinyint>"],
 ])
 def test_exact_mismatches(spark, types):
     with pytest.raises(lm.SchemaMismatch):

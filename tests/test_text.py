@@ -9,28 +9,26 @@ import loadmason as lm
 from loadmason.functions.parsing import UNICODE_SPACE
 
 THINGS = "fi INTEGER, fl BIGINT, fd FLOAT, fs STRING, ft TIMESTAMP, fb VARBINARY"
-AT = datetime(2014, 11, 6, 1, 0, 5, 123000)
-D, X = "2014-11-06 01:00:05.123", "6279746573"
+AT = datetime(1999, 12, 31, 23, 58, 7, 40000)
+D, X = "1999-12-31 23:58:07.040", "00ff10"
 
+# One line for each rule of a field: plain, empty, null token, padded, unusual.
 GOOD = [
-    (f"1\t23\t33.4\thello kitty\t{D}\t{X}", (1, 23, 33.4, "hello kitty", AT, b"bytes")),
-    (f"2\t23\t33.4\t\t{D}\t{X}", (2, 23, 33.4, "", AT, b"bytes")),
-    (f"3\t23\t33.4\t\\N\t{D}\t{X}", (3, 23, 33.4, None, AT, b"bytes")),
-    (f"4\t\\N\t33.4\t\\N\t{D}\t{X}", (4, None, 33.4, None, AT, b"bytes")),
-    (f"5\t\t46.4\t\\N\t{D}\t}}", (5, None, 46.4, None, AT, b"")),
-    (f"6\t\t46.4\t\\N\t{D}\t\\N", (6, None, 46.4, None, AT, None)),
+    (f"-17\t9000000000\t0.125\tgrey heron\t{D}\t{X}", (-17, 9000000000, 0.125, "grey heron", AT, b"\x00\xff\x10")),
+    (f"0\t\\N\t-2e3\t\t\t{X.upper()}", (0, None, -2000.0, "", None, b"\x00\xff\x10")),
+    ("\t\t\t\\N\t\\N\t\\N", (None, None, None, None, None, None)),
+    (f" 8 \t+6\t 1.5 \t  two  words \t {D} \t", (8, 6, 1.5, "two  words", AT, b"")),
+    (f"2147483647\t-1\t7.\t{{}}\t{D}\t}}", (2147483647, -1, 7.0, "{}", AT, b"")),
 ]
 BAD = [
-    (f"1\t23\t33.4\thello kitty\t{D}\t{X}\tanother", "mismatched field counts: expected 6, actual 7"),
-    (f"2\t23\t33.4\thello kitty\t{D}\t{X}\t\\N", "mismatched field counts: expected 6, actual 7"),
-    (f"3\t23\t33.4\thello kitty\t{D}\t{X}\t", "mismatched field counts: expected 6, actual 7"),
-    (f"1\t23\thello kitty\t33.4\t{D}\t{X}", "fd: not a valid FLOAT"),
-    (f"1\t23\t33.4\thello kitty\tnot-a-date\t{X}", "ft: not a valid TIMESTAMP"),
-    ("\t" * 1024, "mismatched field counts: expected 6, actual 1025"),
-    ("1\t23", "mismatched field counts: expected 6, actual 2"),
+    ("5\t6", "mismatched field counts: expected 6, actual 2"),
     ("", "mismatched field counts: expected 6, actual 1"),
-    (f"1\t23\t33.4\ts\t{D}\txyzw", "fb: not a valid VARBINARY"),
-    (f"1.5\t1L\tinf\ts\t{D}\t", "fi: not a valid INTEGER; fl: not a valid BIGINT; fd: not a valid FLOAT"),
+    (f"5\t6\t7\tx\t{D}\t{X}\t", "mismatched field counts: expected 6, actual 7"),
+    ("\t" * 300, "mismatched field counts: expected 6, actual 301"),
+    (f"5\t6\tx\t7\t{D}\t{X}", "fd: not a valid FLOAT"),
+    (f"5\t6\t7\tx\tyesterday\t{X}", "ft: not a valid TIMESTAMP"),
+    (f"5\t6\t7\tx\t{D}\t0g", "fb: not a valid VARBINARY"),
+    (f"5.0\tsix\tInf\tx\t{D}\t", "fi: not a valid INTEGER; fl: not a valid BIGINT; fd: not a valid FLOAT"),
 ]
 
 
@@ -56,8 +54,8 @@ def test_bad_lines_fail_by_default(spark, line, cause):
 
 
 def test_unread_columns_are_not_tested(spark):
-    bad = lines(spark, [f"1\t23\thello\ts\t{D}\t{X}"])
-    assert rows(lm.parse_lines(bad, THINGS).select("fi")) == [(1,)]
+    bad = lines(spark, [f"5\t6\tx\ty\t{D}\t{X}"])
+    assert rows(lm.parse_lines(bad, THINGS).select("fi")) == [(5,)]
 
 
 def test_files_and_folders(spark, tmp_path):
@@ -68,11 +66,30 @@ def test_files_and_folders(spark, tmp_path):
     assert rows(lm.scan_delimited(spark, [str(tmp_path / "a"), str(tmp_path / "b")], THINGS)) == want
 
 
+def test_folders_named_after_a_value(spark, tmp_path):
+    for number, (line, _) in enumerate(GOOD):
+        folder = tmp_path / f"dt={number % 2}" / ("deep" if number == 3 else "")
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"f{number}").write_text(line + "\n")
+    all_rows = sorted([row for _, row in GOOD], key=repr)
+    assert rows(lm.scan_delimited(spark, str(tmp_path), THINGS, recursive=True)) == all_rows
+    (tmp_path / "dt=1" / "deep" / "f3").unlink()
+    (tmp_path / "dt=1" / "deep").rmdir()
+    assert rows(lm.scan_delimited(spark, str(tmp_path), THINGS)) == sorted([GOOD[i][1] for i in (0, 1, 2, 4)], key=repr)
+
+
+def test_one_flagged_frame(spark):
+    flagged = lm.parse_lines(lines(spark, [line for line, _ in GOOD + BAD]), THINGS, on_error="flag")
+    assert flagged.count() == len(GOOD) + len(BAD)
+    faulty = flagged.where("__fault IS NOT NULL").select("__fault", "__row_text")
+    assert rows(faulty) == sorted([(cause, line) for line, cause in BAD], key=repr)
+
+
 def test_render(spark):
     df = spark.createDataFrame([row for _, row in GOOD], "a int, b bigint, c double, d string, e timestamp, f binary")
     want = [
-        f"1\t23\t33.4\thello kitty\t{D}\t{X}", f"2\t23\t33.4\t\t{D}\t{X}", f"3\t23\t33.4\t\\N\t{D}\t{X}",
-        f"4\t\t33.4\t\\N\t{D}\t{X}", f"5\t\t46.4\t\\N\t{D}\t", f"6\t\t46.4\t\\N\t{D}\t\\N",
+        f"-17\t9000000000\t0.125\tgrey heron\t{D}\t00ff10", "0\t\t-2000.0\t\t\t00ff10", "\t\t\t\\N\t\t\\N",
+        f"8\t6\t1.5\ttwo  words\t{D}\t", f"2147483647\t-1\t7.0\t{{}}\t{D}\t",
     ]
     assert rows(lm.render(df)) == sorted([(w,) for w in want], key=repr)
 
@@ -130,8 +147,8 @@ def test_decimals_and_hex(spark):
 
 
 def test_custom_date_format(spark):
-    out = lm.parse_lines(lines(spark, ["06/11/2014 01:00"]), "a TIMESTAMP", date_format="dd/MM/yyyy HH:mm")
-    assert rows(out) == [(datetime(2014, 11, 6, 1, 0),)]
+    out = lm.parse_lines(lines(spark, ["17.03.2021 18h30"]), "a TIMESTAMP", date_format="dd.MM.yyyy HH'h'mm")
+    assert rows(out) == [(datetime(2021, 3, 17, 18, 30),)]
 
 
 def test_separator_and_newline_do_not_survive(spark, tmp_path):
