@@ -124,7 +124,7 @@ class ByteBpe:
 
 
 def codec(path: str, pattern: str) -> ByteBpe:
-    """A worker keeps one codec for all its tasks."""
+    """One codec for each task, or for a worker that has the package installed."""
     if (path, pattern) not in _CODECS:
         _CODECS[path, pattern] = ByteBpe(path, pattern)
     return _CODECS[path, pattern]

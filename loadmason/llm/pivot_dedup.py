@@ -11,9 +11,9 @@ once. The number of pivots grows with the square root of the number of
 vectors, so that lists grow with it too and not with the number itself; it is
 bounded, as the pivots are sent to every task (``MAX_PIVOTS``).
 
-Vectors that are null, zero, of another length than the pivots, or that hold
-null or non-finite components are linked with nothing. Equal vectors are
-compared once. Rows that share an id are one vector with the links of all of
+Vectors that are null or zero, or that hold null or non-finite components, are
+linked with nothing, and vectors of different lengths not with each other.
+Equal vectors are compared once. Rows that share an id are one vector with the links of all of
 them; a row without an id is left alone. Other columns are not read, so labels play no part.
 """
 
@@ -81,11 +81,12 @@ def link_vectors(
     grouped = hashed.where(F.col("h1").isNotNull()).groupBy("h1", "h2")
     found = grouped.agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"), F.any_value("vector").alias("vector"))
     classes = park(found, "vectors")
-    sizes = classes.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").head()
+    # vectors of different lengths have no cosine; each length is a space of its own
     linked = spark.createDataFrame([], "id long, links long, root long")
-    if sizes is not None:
-        of_size = classes.where(F.size("vector") == sizes["size"])
-        linked = park(_compared(of_size, draw_pivots(of_size, sizes["count"]), cosine, nearest, shared), "links")
+    for row in classes.groupBy(F.size("vector").alias("size")).count().where("count > 1").orderBy("size").collect():
+        of_size = classes.where(F.size("vector") == row["size"])
+        found = _compared(of_size, draw_pivots(of_size, row["count"]), cosine, nearest, shared)
+        linked = linked.unionByName(park(found, "links"))
 
     labels = components(linked.select("id", "root"))
     links = linked.groupBy("id").agg(F.sum("links").alias("links"))

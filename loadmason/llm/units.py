@@ -141,7 +141,7 @@ _STORES: dict[str, PieceStore] = {}
 
 
 def tokenizer_store(path: str) -> PieceStore:
-    """The store of a tokenizer's pieces; a worker keeps one for all its tasks."""
+    """The store of a tokenizer's pieces; there is one for each task, or for a worker that has the package installed."""
     if path not in _STORES:
         # Spark already runs a task on every core
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -1,0 +1,81 @@
+"""Every stage of the pipeline against a plain version, over the columns of documents."""
+
+import sys
+from pathlib import Path
+
+import pytest
+
+from loadmason.llm import language_id, quality
+from loadmason.llm.common import table
+
+from . import plain
+
+sys.path.insert(0, str(Path(__file__).parents[2]))
+
+import __spark_entry__  # noqa: E402
+import corpus_pipeline  # noqa: E402
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """Each stage's input and output, written and read again."""
+    docs, out = table(spark, FOLDER, "documents"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        path = str(tmp_path_factory.mktemp("stages") / name)
+        stage(spark, docs, FOLDER).write.parquet(path)
+        out[name] = (docs, spark.read.parquet(path))
+        docs = out[name][1]
+    return out
+
+
+def texts(docs):
+    return {r.doc_id: r.text for r in docs.collect()}
+
+
+def test_stages_are_in_order(stages):
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_classifier", "language_id", "line_dedup", "ngram_jaccard_join", "packing"]
+    for name, (before, after) in list(stages.items())[:-1]:
+        assert after.columns == before.columns, name
+        assert after.dtypes == before.dtypes, name
+
+
+def test_rejected_documents_go(spark, stages):
+    before, after = stages["quality_classifier"]
+    scored = quality.score_documents(before, table(spark, FOLDER, "labels"))
+    assert texts(after).keys() == {r.doc_id for r in scored.where("predicted = 1").collect()}
+    good = {r.doc_id for r in table(spark, FOLDER, "labels").where("quality = 1").collect()}
+    assert len(good & texts(after).keys()) >= 0.98 * len(good & texts(before).keys())
+    before, after = stages["language_id"]
+    known = language_id.identify(before).where(f"lang_pred <> 'und' AND score >= {language_id.MIN_SCORE}")
+    assert texts(after).keys() == {r.doc_id for r in known.collect()}
+
+
+def test_repeated_lines_go(stages):
+    before, after = stages["line_dedup"]
+    want = {d: text for d, (text, _) in plain.line_runs(texts(before), 5).items()}
+    assert texts(after) == want
+    assert all(r.n_chars == len(r.text) for r in after.collect())
+
+
+def test_one_of_each_group_stays(stages):
+    before, after = stages["ngram_jaccard_join"]
+    found = plain.jaccard(texts(before), 5, 4, 5)
+    assert texts(after) == {i: t for i, t in texts(before).items() if found[i][1] == i}
+
+
+def test_run_packs_what_is_left(spark, stages):
+    kept, _ = stages["packing"]
+    rows = corpus_pipeline.run(spark, FOLDER).collect()
+    assert {r.doc_id for r in rows} == texts(kept).keys()
+    lengths = {}
+    for r in rows:
+        lengths[r.doc_id] = lengths.get(r.doc_id, 0) + r.length
+    assert all(lengths[r.doc_id] == r.doc_tokens for r in rows)
+
+
+def test_queries_are_registered():
+    names = __spark_entry__.queries()
+    assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 11)] == [1] * 10
+    assert names["pipeline"] is corpus_pipeline.run
