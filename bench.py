@@ -20,8 +20,16 @@ HEADLINE = [
     "string_to_all", "bytes_cells", "date_to_all", "md5_forms", "row_diff", "key_diff", "row_fingerprint", "pig_row",
     "exact_insert", "load_append", "append_key_rejects", "append_reject_causes", "load_upsert", "upsert_bucketed",
     "upsert_partitioned", "load_with_rejects", "fault_by_cause", "stage_roundtrip", "store_format", "micro_batch_load",
+    "upsert_moved_partition", "upsert_file_order", "scan_small_numbers", "scan_partitioned_folder",
 ]
 
+# The table whose rows each of these takes through once, for rows a second.
+INPUTS = {
+    "scan_tsv_typed": "lineitem", "scan_tsv_flagship": "lineitem", "render_tsv": "orders", "widen_ints": "lineitem",
+    "decimal_exact_ints": "lineitem", "string_to_all": "part", "bytes_cells": "lineitem", "load_append": "orders",
+    "load_upsert": "lineitem", "upsert_partitioned": "lineitem",
+}
+
 
 def main(names: list[str]) -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -39,6 +47,11 @@ def main(names: list[str]) -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "rows_per_sec": {
+                    name: round(spark.read.parquet(f"{folder}/{table}.parquet").count() / seconds[name])
+                    for name, table in INPUTS.items()
+                    if name in seconds
+                },
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
             }
         )
