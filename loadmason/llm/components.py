@@ -14,15 +14,16 @@ def components(edges: DataFrame) -> DataFrame:
     ``edges`` has two long columns, in either order; nulls and loops are left
     out. Rounds alternate two steps until nothing changes: every id hands its
     smallest neighbour to its larger neighbours, then its smaller neighbours
-    to the smallest of them. Minima are combined before they are shuffled, so
-    an id with very many edges is no burden, and each round is written out.
+    to the smallest of them. Minima are combined before they are shuffled, and
+    written out, so that both sides of the join that follows are plain shuffles
+    of which Spark can split the part of an id with very many edges.
     """
     first, second = (F.col(c) for c in edges.columns)
     pairs = edges.where(first != second).select(F.greatest(first, second).alias("u"), F.least(first, second).alias("v"))
     current = park(pairs.distinct(), "edges")
     before = _content(current)
     while True:
-        current = park(_to_smallest(_to_larger(current)), "edges")
+        current = park(_to_smallest(park(_to_larger(current), "edges")), "edges")
         after = _content(current)
         if after == before:
             return current.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
@@ -34,12 +35,13 @@ def components(edges: DataFrame) -> DataFrame:
 def _to_larger(pairs: DataFrame) -> DataFrame:
     both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
     lowest = both.groupBy("u").agg(F.min("v").alias("low")).select(F.col("u").alias("w"), F.least("u", "low").alias("low"))
+    lowest = park(lowest, "lowest")
     joined = both.join(lowest, both["u"] == lowest["w"]).where(F.col("v") > F.col("u"))
     return joined.select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
 
 
 def _to_smallest(pairs: DataFrame) -> DataFrame:
-    lowest = pairs.groupBy("u").agg(F.min("v").alias("low"))
+    lowest = park(pairs.groupBy("u").agg(F.min("v").alias("low")), "lowest")
     renamed = lowest.withColumnRenamed("u", "w")
     moved = pairs.join(renamed, pairs["u"] == renamed["w"]).where(F.col("v") != F.col("low"))
     moved = moved.select(F.col("v").alias("u"), F.col("low").alias("v"))

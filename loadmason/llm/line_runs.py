@@ -56,9 +56,13 @@ def _position(line: str = "line") -> Column:
 
 
 def _repeated(positions: DataFrame, keys: list[str]) -> DataFrame:
-    """The positions whose key comes up at another position too, with the earliest one as ``rank``."""
+    """The positions whose key comes up at another position too, with the earliest one as ``rank``.
+
+    The keys are written out first, so that the join has plain shuffles on
+    both sides, of which Spark can split the part of a very common line.
+    """
     grouped = positions.groupBy(*keys).agg(F.min(_position()).alias("rank"), F.max(_position()).alias("last"))
-    several = grouped.where("rank != last").select(*[F.col(k).alias(f"__{k}") for k in keys], "rank")
+    several = park(grouped.where("rank != last").select(*[F.col(k).alias(f"__{k}") for k in keys], "rank"), "several")
     on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{k}") for k in keys])
     return positions.join(several, on)
 

@@ -68,7 +68,120 @@ QUERIES = {f.__name__: f for f in (op1_pivot_dedup, op2_rule_ledger, op3_line_ru
 
 _RULE_BITS = " + ".join(f"CASE WHEN {test} THEN {1 << bit} ELSE 0 END" for bit, (_, test) in enumerate(rule_ledger.RULES))
 
+_WORD = r"[^\x20\x09-\x0D]+"
+_LONGEST = line_runs.MIN_WORDS
+
+# The shortest run with enough words from a line on, and up to a line: its length in lines.
+_RUN_LENGTH = {
+    move: "CASE "
+    + " ".join(
+        f"WHEN {' + '.join(['words', *(f'{move}(words, {k}) OVER by_line' for k in range(1, m))])} >= {line_runs.MIN_WORDS} THEN {m}"
+        for m in range(1, _LONGEST + 1)
+    )
+    + " END"
+    for move in ("lead", "lag")
+}
+
+# The smallest id that links lead to, from a table of pairs in both directions.
+_REACH = """
+    reach AS (
+        SELECT id, id AS other FROM nodes
+        UNION
+        SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other
+    ),
+    found AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+"""
+
 SQL: dict[str, str] = {
+    "op1_pivot_dedup": f"""
+        WITH RECURSIVE
+        nodes AS (SELECT DISTINCT vec_id AS id FROM embeddings WHERE vec_id IS NOT NULL),
+        usable AS (
+            SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ),
+        links AS (
+            SELECT a.id AS a, b.id AS b FROM usable a JOIN usable b
+            ON a.id <> b.id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= {pivot_dedup.COSINE}
+        ),
+        {_REACH},
+        counts AS (SELECT a AS id, count(*) AS n_links FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings JOIN found f ON f.id = vec_id LEFT JOIN counts c ON c.id = vec_id
+    """,
+    "op3_line_runs": f"""
+        WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+        lines AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS place FROM split),
+        worded AS (
+            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS i,
+                   len(regexp_extract_all(line, '{_WORD}')) AS words
+            FROM lines WHERE regexp_matches(line, '{_WORD}')
+        ),
+        lengths AS (
+            SELECT doc_id, i, {_RUN_LENGTH["lead"]} AS ahead, {_RUN_LENGTH["lag"]} AS back
+            FROM worded WINDOW by_line AS (PARTITION BY doc_id ORDER BY i)
+        ),
+        runs AS (
+            SELECT doc_id, i AS start, ahead AS length FROM lengths WHERE ahead IS NOT NULL
+            UNION
+            SELECT doc_id, i - back + 1, back FROM lengths WHERE back IS NOT NULL
+        ),
+        contents AS (
+            SELECT r.doc_id, r.start, r.length, string_agg(w.line, chr(10) ORDER BY w.i) AS content
+            FROM runs r JOIN worded w ON w.doc_id = r.doc_id AND w.i BETWEEN r.start AND r.start + r.length - 1
+            GROUP BY r.doc_id, r.start, r.length
+        ),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY length, content ORDER BY doc_id, start) AS n FROM contents),
+        gone AS (
+            SELECT DISTINCT w.doc_id, w.place, w.i FROM ranked r
+            JOIN worded w ON w.doc_id = r.doc_id AND w.i BETWEEN r.start AND r.start + r.length - 1
+            WHERE n > 1
+        ),
+        stretches AS (
+            SELECT doc_id, max(n) AS longest_run, sum(n)::BIGINT AS n_deleted FROM (
+                SELECT doc_id, count(*) AS n FROM (
+                    SELECT doc_id, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS stretch FROM gone)
+                GROUP BY doc_id, stretch)
+            GROUP BY doc_id
+        ),
+        kept AS (
+            SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.place) AS text
+            FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.place = l.place WHERE g.place IS NULL GROUP BY l.doc_id
+        ),
+        counts AS (SELECT doc_id, count(*) AS n_lines FROM worded GROUP BY doc_id)
+        SELECT s.doc_id, CASE WHEN s.text IS NOT NULL THEN coalesce(k.text, '') END AS text,
+               coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_deleted, coalesce(longest_run, 0) AS longest_run
+        FROM split s LEFT JOIN kept k USING (doc_id) LEFT JOIN counts c USING (doc_id) LEFT JOIN stretches x USING (doc_id)
+    """,
+    "op4_ngram_join": f"""
+        WITH RECURSIVE
+        nodes AS (SELECT DISTINCT doc_id AS id FROM documents),
+        words AS (
+            SELECT doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '{_WORD}') AS w
+            FROM documents WHERE text IS NOT NULL
+        ),
+        shingles AS (
+            SELECT DISTINCT id, shingle FROM (
+                SELECT id, unnest(CASE WHEN len(w) < {ngram_join.SIZE} THEN [array_to_string(w, ' ')] ELSE
+                    list_transform(range(1, len(w) - {ngram_join.SIZE} + 2), lambda i: array_to_string(w[i : i + {ngram_join.SIZE} - 1], ' ')) END) AS shingle
+                FROM words WHERE len(w) > 0)
+        ),
+        sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY id),
+        shared AS (
+            SELECT a.id AS a, b.id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.id <> b.id
+            GROUP BY a.id, b.id
+        ),
+        links AS (
+            SELECT a, b FROM shared s JOIN sizes x ON x.id = s.a JOIN sizes y ON y.id = s.b
+            WHERE {ngram_join.DEN} * s.n >= {ngram_join.NUM} * (x.n + y.n - s.n)
+        ),
+        {_REACH},
+        counts AS (SELECT a AS id, count(*) AS n_links FROM links GROUP BY a)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
+        FROM documents JOIN found f ON f.id = doc_id LEFT JOIN sizes s ON s.id = doc_id LEFT JOIN counts c ON c.id = doc_id
+    """,
     "op6_chat_rotation": rf"""
         WITH turns AS (
             SELECT conv_id, turn, CASE WHEN trim(role) <> '' THEN role END AS role,
