@@ -111,7 +111,12 @@ def load_jdbc(
     reject_path: str | None = None,
     **options: str,
 ) -> LoadReport:
-    """Appends a frame to a table behind JDBC, ``batch_size`` rows per insert."""
+    """Appends a frame to a table behind JDBC, ``batch_size`` rows per insert.
+
+    Other options are Spark's. With ``keys`` the table's keys are read, over one
+    connection unless the options ``partitionColumn``, ``lowerBound``,
+    ``upperBound`` and ``numPartitions`` split that read.
+    """
     sink = JdbcSink(df.sparkSession, url, table, batch_size, **options)
     checked = convert_frame(df, sink.target, coerce, date_format)
     return run_load(df.sparkSession, checked, sink, "append", keys, order_by, on_error, max_errors, reject_path, date_format)
