@@ -34,7 +34,7 @@ RULES = (
     ("short_words", "word_chars < 2 * n_words"),
     ("long_words", "word_chars > 20 * n_words"),
     ("symbols", "10 * n_symbols > n_words"),
-    ("repeated_lines", "10 * n_dup_lines > 3 * n_lines"),
+    ("repeated_lines", "2 * n_dup_lines > n_lines"),
 )
 
 # Versions of the policy. A published version never changes.
