@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loadmason.llm import language_id, line_runs, ngram_join, packing, quality
-from loadmason.llm.common import park, table
+from loadmason.llm.common import park, small_batches, table
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,21 +20,25 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in which no language is recognised."""
+    small_batches(spark)
     return language_id.keep_identified(docs)
 
 
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Deletes the later copies of repeated runs of lines."""
+    small_batches(spark)
     return line_runs.delete_copies(docs)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group that shares 0.8 of its five-word shingles."""
+    small_batches(spark)
     return ngram_join.keep_one(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the documents into sequences."""
+    small_batches(spark)
     return packing.pack_documents(docs)
 
 
