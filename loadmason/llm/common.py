@@ -14,8 +14,19 @@ from ..session import new_path
 SLICE_BYTES = 1 << 20
 
 
+# Rows of a batch that goes to Python. Texts are long: Spark's default of 10,000
+# rows makes batches of tens of megabytes, several of which a task holds at once.
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Sets the session's batches to a size fit for texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def park(df: DataFrame, label: str) -> DataFrame:
