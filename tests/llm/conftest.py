@@ -9,6 +9,12 @@ def sentence(rng, n, vocabulary=400):
     return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(n))
 
 
+@pytest.fixture(scope="session", autouse=True)
+def tiny_batches(spark):
+    """Batches so small that documents and tasks go over their ends."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "9")
+
+
 @pytest.fixture(scope="session")
 def odd_texts():
     """Texts of every kind: empty, blank, very short, very long, repeated, unusual characters."""
