@@ -1,6 +1,7 @@
 """Jaccard self-join of documents over word shingles, exact.
 
 1. Documents with equal shingle sets become one class, whatever their number.
+   A class goes by a number of its own, as one ``doc_id`` may hold several texts.
 2. Size bands and hashed parts find candidates. Two sets whose smaller one has
    ``a`` shingles and whose similarity reaches ``num / den`` differ in at most
    ``a * (den - num) / num`` shingles. Cut by hash into more parts than that,
@@ -20,8 +21,8 @@ with more empty parts than that gives keys for its empty ones.
 
 Null and empty texts, and texts of white space, have no shingles and are linked
 with nothing. A text with fewer words than a shingle is one shingle. Rows with
-the same ``doc_id`` count as one document that has the links of all of them;
-rows whose ``doc_id`` is null get a size and nothing else. Other columns are
+the same ``doc_id`` count as one document that has the links of all of them,
+also where their texts differ (each has its own size); rows whose ``doc_id`` is null get a size and nothing else. Other columns are
 not read.
 """
 
@@ -32,9 +33,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .classes import grouped, groups_of_rows
 from .common import park, text_slices
 from .components import components
 from .text_arrays import TextArrays, mix
@@ -125,7 +127,7 @@ def _key(band: np.ndarray, part: np.ndarray, sums: np.ndarray) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """``doc_id``, ``n_shingles``, a 128-bit hash of the set (null if empty) and the keys of its parts."""
+    """``doc_id``, a 128-bit hash of the text, ``n_shingles``, one of the set (null if empty) and the keys of its parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches):
@@ -135,15 +137,19 @@ def shingle_sets(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
             offsets = np.searchsorted(owners[order], np.arange(len(texts) + 1)).astype(np.int32)
             empty = np.diff(bounds) == 0
             arrays = [
-                batch.column("doc_id"),
+                *[batch.column(name) for name in ("doc_id", "t1", "t2")],
                 pa.array(np.diff(bounds), pa.int64()),
                 *[pa.array(h.view(np.int64), pa.int64(), mask=empty) for h in _set_hashes(sets, bounds)],
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[order].view(np.int64))),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "h1", "h2", "keys"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "t1", "t2", "n_shingles", "h1", "h2", "keys"])
 
-    schema = "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    schema = "doc_id long, t1 long, t2 long, n_shingles long, h1 long, h2 long, keys array<long>"
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_text_hashes()).mapInArrow(run, schema)
+
+
+def _text_hashes() -> list[Column]:
+    return [F.xxhash64(F.lit(salt), "text").alias(f"t{salt}") for salt in (1, 2)]
 
 
 def _set_hashes(sets: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
@@ -159,30 +165,33 @@ def jaccard_join(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int = D
 
     Two documents link when ``den * intersection >= num * union`` of their shingle sets.
     """
-    sets = park(shingle_sets(docs, size, num, den), "shingle-sets")
+    sets, by_class = _linked_classes(docs, size, num, den)
+    by_class = park(by_class.select("h1", "h2", F.col("first.doc_id").alias("component_id"), "n_links"), "classes-found")
+    rows = sets.select(F.col("doc_id").alias("id"), "n_shingles", "h1", "h2")
+    return groups_of_rows(rows, by_class).select(
+        F.col("id").alias("doc_id"), "n_shingles",
+        F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"),
+        "n_links",
+    )
+
+
+def _linked_classes(docs: DataFrame, size: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """The sets, and their classes (``h1``, ``h2``) with ``n_links`` and ``first``: the smallest document that links lead to, by its id and the hash of its text."""
+    sets = shingle_sets(docs, size, num, den).withColumn("row", F.monotonically_increasing_id())
+    sets = park(sets, "shingle-sets")
     known = sets.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
+    # a class is numbered by its first row, as ids may repeat with other texts
     classes = known.groupBy("n_shingles", "h1", "h2")
-    keyed = classes.agg(F.min("doc_id").alias("id"), F.any_value("keys").alias("keys"))
+    keyed = classes.agg(F.min("row").alias("id"), F.any_value("keys").alias("keys"))
     # a group is connected through its smallest member; its pairs are never written
     held = keyed.select("id", F.explode("keys").alias("key"))
     lowest = held.selectExpr("id", "min(id) OVER (PARTITION BY key) AS low")
     candidates = components(lowest.where("low < id").distinct())
 
-    sized = park(classes.agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("weight")), "classes")
+    least = F.min(F.struct("doc_id", "t1", "t2")).alias("least")
+    sized = park(classes.agg(F.min("row").alias("id"), F.count(F.lit(1)).alias("weight"), least), "classes")
     linked = park(_compared(docs, sized, candidates, size, num, den), "links")
-    labels = components(linked.select("id", "root"))
-    links = linked.groupBy("id").agg(F.sum("links").alias("links"))
-    found = sized.join(labels, "id", "left").join(links, "id", "left").select(
-        "n_shingles", "h1", "h2",
-        F.coalesce("component", "id").alias("component_id"),
-        (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-    )
-    by_class = park(found, "classes-found")
-    return sets.select("doc_id", "n_shingles", "h1", "h2").join(by_class, ["n_shingles", "h1", "h2"], "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-    )
+    return sets, grouped(sized, linked)
 
 
 def _compared(docs: DataFrame, sized: DataFrame, candidates: DataFrame, size: int, num: int, den: int) -> DataFrame:
@@ -190,11 +199,12 @@ def _compared(docs: DataFrame, sized: DataFrame, candidates: DataFrame, size: in
     # sizes of linked sets are at most one band of this ratio apart
     band = F.floor(F.log(F.col("n_shingles").cast("double")) / math.log(den / num * 1.000001)).cast("int")
     members = candidates.join(sized, "id").select(
-        "id", F.col("component").alias("grp"), band.alias("band"), (8 * F.col("n_shingles")).alias("bytes"), "weight", "h1"
+        "id", F.col("component").alias("grp"), band.alias("band"), (8 * F.col("n_shingles")).alias("bytes"), "weight", "h1", "least"
     )
-    tasks = tile_tasks(members).select(F.col("id").alias("__id"), "weight", "h1", "tasks")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    chosen = texts.join(tasks.hint("shuffle_hash"), texts["id"] == tasks["__id"]).select("id", "text", "weight", "h1", "tasks")
+    tasks = tile_tasks(members).select("id", "weight", "h1", "tasks", "least.*")
+    # the text of a class is that of its smallest document, which is in no other class
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_text_hashes())
+    chosen = texts.join(tasks.hint("shuffle_hash"), ["doc_id", "t1", "t2"]).select("id", "text", "weight", "h1", "tasks")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches):
@@ -205,7 +215,7 @@ def _compared(docs: DataFrame, sized: DataFrame, candidates: DataFrame, size: in
             yield pa.RecordBatch.from_arrays(columns, names=["id", "weight", "payload", "tasks"]).filter(pa.array(same))
 
     schema = "id long, weight long, payload binary, tasks array<struct<task: string, side: int>>"
-    # an id that is repeated with another text is left out by its hash, with the same text by this
+    # the rows of one document that is repeated with the same text are one member in each tile
     rows = chosen.mapInArrow(sets, schema)
 
     def link(_: str, left: list[bytes], right: list[bytes] | None) -> np.ndarray:

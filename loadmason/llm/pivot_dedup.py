@@ -13,8 +13,9 @@ bounded, as the pivots are sent to every task (``MAX_PIVOTS``).
 
 Vectors that are null or zero, or that hold null or non-finite components, are
 linked with nothing, and vectors of different lengths not with each other.
-Equal vectors are compared once. Rows that share an id are one vector with the links of all of
-them; a row without an id is left alone. Other columns are not read, so labels play no part.
+Equal vectors are compared once, as a class with a number of its own. Rows that share an id are
+one vector with the links of all of them, also where they hold different vectors; a row without
+an id is left alone. Other columns are not read, so labels play no part.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .classes import grouped, groups_of_rows
 from .common import park
-from .components import components
 from .tiles import tile_links, tile_tasks
 
 COSINE = 0.95
@@ -47,12 +48,12 @@ def usable(column: str) -> F.Column:
 
 
 def draw_pivots(vectors: DataFrame, count: int) -> np.ndarray:
-    """At most ``MAX_PIVOTS`` unit vectors from the data: those whose ids have the smallest hashes."""
+    """At most ``MAX_PIVOTS`` unit vectors from the data: those with the smallest hashes."""
     wanted = min(MAX_PIVOTS, max(MIN_PIVOTS, math.ceil(PIVOT_FACTOR * math.sqrt(count))))
     # only about twice as many as are wanted are sorted
     share = min(1.0, 2.0 * wanted / max(count, 1))
-    chance = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.lit(math.ceil(share * (1 << 30)))
-    rows = vectors.where(chance).orderBy(F.xxhash64("id"), "id").limit(wanted).select("vector").collect()
+    chance = F.pmod("h1", F.lit(1 << 30)) < F.lit(math.ceil(share * (1 << 30)))
+    rows = vectors.where(chance).orderBy("h1", "h2").limit(wanted).select("vector").collect()
     found = np.array([r.vector for r in rows], np.float64)
     return spread_out(found / np.linalg.norm(found, axis=1, keepdims=True))
 
@@ -78,9 +79,9 @@ def link_vectors(
     fit = F.col("id").isNotNull() & usable("vector")
     hashes = [F.when(fit, F.xxhash64(F.lit(salt), "vector")).alias(f"h{salt}") for salt in (1, 2)]
     hashed = named.select("id", "vector", *hashes)
-    grouped = hashed.where(F.col("h1").isNotNull()).groupBy("h1", "h2")
-    found = grouped.agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"), F.any_value("vector").alias("vector"))
-    classes = park(found, "vectors")
+    same = hashed.where(F.col("h1").isNotNull()).groupBy("h1", "h2")
+    found = same.agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("weight"), F.any_value("vector").alias("vector"))
+    classes = park(found.withColumn("id", F.monotonically_increasing_id()), "vectors")
     # vectors of different lengths have no cosine; each length is a space of its own
     linked = spark.createDataFrame([], "id long, links long, root long")
     for row in classes.groupBy(F.size("vector").alias("size")).count().where("count > 1").orderBy("size").collect():
@@ -88,21 +89,14 @@ def link_vectors(
         found = _compared(of_size, draw_pivots(of_size, row["count"]), cosine, nearest, shared)
         linked = linked.unionByName(park(found, "links"))
 
-    labels = components(linked.select("id", "root"))
-    links = linked.groupBy("id").agg(F.sum("links").alias("links"))
-    found = classes.join(labels, "id", "left").join(links, "id", "left").select(
-        "h1", "h2",
-        F.coalesce("component", "id").alias("component_id"),
-        (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-    )
-    by_class = park(found, "vector-classes")
-    joined = hashed.select("id", "h1", "h2").join(by_class, ["h1", "h2"], "left")
-    component = F.coalesce("component_id", "id")
+    found = grouped(classes.select("id", "h1", "h2", "weight", "least"), linked)
+    by_class = park(found.withColumnRenamed("first", "component_id"), "vector-classes")
+    joined = groups_of_rows(hashed.select("id", "h1", "h2"), by_class)
     return joined.select(
         F.col("id").alias("vec_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        component.alias("component_id"),
-        F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),
+        "n_links",
+        "component_id",
+        F.coalesce(F.col("component_id") == F.col("id"), F.lit(True)).alias("kept"),
     )
 
 

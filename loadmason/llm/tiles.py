@@ -96,7 +96,7 @@ def _tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
 def _linked(task: list[pa.RecordBatch], link: Callable) -> tuple[np.ndarray, ...] | None:
     rows = pa.Table.from_batches(task)
     ids, side = rows.column("id").to_numpy(), rows.column("side").to_numpy()
-    # a member that came twice counts once
+    # a class whose row is repeated came more than once, and counts once
     new = np.concatenate([[True], (ids[1:] != ids[:-1]) | (side[1:] != side[:-1])])
     rows = rows.filter(pa.array(new))
     side = rows.column("side").to_numpy()

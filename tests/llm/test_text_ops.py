@@ -144,6 +144,22 @@ def test_jaccard_join_of_odd_rows(spark, no_docs):
     assert kept == sorted([(8, text), (None, text), (5, None)], key=repr)
 
 
+@pytest.mark.parametrize("block_rows", [512, 2])
+def test_jaccard_join_of_an_id_with_several_texts(spark, monkeypatch, block_rows):
+    tiles = ngram_join.tile_tasks
+    monkeypatch.setattr(ngram_join, "tile_tasks", lambda members: tiles(members, rows=block_rows))
+    rng = random.Random(3)
+    texts = [sentence(rng, 60) for _ in range(6)]
+    # one id with six unlike texts and none, each text with a near copy; the smallest id is linked with one of them only
+    rows = [(5, t) for t in [*texts, None]] + [(10 + i, f"{t} more") for i, t in enumerate(texts)]
+    rows += [(2, texts[3]), (11, sentence(rng, 60)), (40, sentence(rng, 60))]
+    found = ngram_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert len(found) == len(rows)
+    got = {(r.doc_id, r.component_id, r.n_links) for r in found}
+    # text 3 is there twice: one link more for either row, and for its near copy
+    assert got == {(5, 2, 7), (2, 2, 2), (13, 2, 2), (40, 40, 0)} | {(10 + i, 2, 1) for i in range(6) if i != 3}
+
+
 def test_every_near_pair_shares_a_key():
     rng = np.random.default_rng(3)
     for num, den in ((9, 10), (4, 5), (1, 2)):

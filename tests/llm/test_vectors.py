@@ -86,6 +86,17 @@ def test_rows_that_repeat_and_empty_tables(spark):
     assert link_vectors(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_an_id_with_several_vectors(spark):
+    rng = np.random.default_rng(4)
+    unlike = np.eye(6, 16)
+    rows = [(5, v.tolist()) for v in unlike] + [(10 + i, (v + rng.normal(size=16) * 0.01).tolist()) for i, v in enumerate(unlike)]
+    rows += [(5, None), (2, unlike[3].tolist()), (40, np.eye(16)[9].tolist())]
+    found = link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)).collect()
+    assert len(found) == len(rows)
+    got = {(r.vec_id, r.n_links, r.component_id, r.kept) for r in found}
+    assert got == {(5, 7, 2, False), (2, 2, 2, True), (13, 2, 2, False), (40, 0, 40, True)} | {(10 + i, 1, 2, False) for i in range(6) if i != 3}
+
+
 def test_pivots():
     rng = np.random.default_rng(8)
     unit = rng.normal(size=(200, 5))
