@@ -265,13 +265,22 @@ def _shared(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
 def keep_one(docs: DataFrame, size: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """The documents with one of each group of linked ones: the smallest id. All columns stay.
 
-    Rows that repeat an id are one document; where they are equal in every column one row stays.
+    Rows that repeat an id are each judged by their own text: only those whose set is equal to or
+    linked with that of a row that stays are deleted. Where such rows have the smallest id too, the
+    text with the smallest hash stays. Of rows that are equal in every column one stays.
     """
-    found = park(jaccard_join(docs, size, num, den), "groups")
-    gone = found.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == F.col("__gone"), "left_anti")
-    repeated = found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__again"))
+    sets, by_class = _linked_classes(docs, size, num, den)
+    classed = sets.where(F.col("doc_id").isNotNull()).join(park(by_class.select("h1", "h2", "first"), "groups"), ["h1", "h2"])
+    later = classed.where(F.struct("doc_id", "t1", "t2") != F.col("first"))
+    names = {"__id": F.col("doc_id").cast("long"), "__t1": _text_hashes()[0], "__t2": _text_hashes()[1]}
+    gone = later.select(F.col("doc_id").alias("__id"), F.col("t1").alias("__t1"), F.col("t2").alias("__t2")).distinct()
+    kept = docs.withColumns(names).join(gone.hint("shuffle_hash"), list(names), "left_anti")
+    repeated = sets.groupBy("doc_id", "t1", "t2").count().where("count > 1").select(
+        F.col("doc_id").alias("__again"), F.col("t1").alias("__again1"), F.col("t2").alias("__again2")
+    )
+    repeated = park(repeated, "repeated-texts")
     if repeated.isEmpty():
-        return kept
-    again = kept["doc_id"].eqNullSafe(F.col("__again"))
-    return kept.join(repeated, again, "left_anti").unionByName(kept.join(repeated, again, "left_semi").distinct())
+        return kept.drop(*names)
+    again = F.col("__id").eqNullSafe(F.col("__again")) & (F.col("__t1") == F.col("__again1")) & (F.col("__t2") == F.col("__again2"))
+    once = kept.join(repeated, again, "left_semi").drop(*names).distinct()
+    return kept.join(repeated, again, "left_anti").drop(*names).unionByName(once)
