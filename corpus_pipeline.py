@@ -2,7 +2,7 @@
 
 Every stage takes what the one before it kept, as Parquet, and works on all of
 it. The first four give documents with the columns of ``documents``; the last
-gives the pieces of packed sequences.
+gives the pieces of packed sequences with their ids.
 """
 
 from __future__ import annotations

@@ -13,11 +13,9 @@ drawn from a row number, not from the id, so no id can fill a group.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,11 +29,11 @@ END_ID = 2
 LENGTH = 4096
 GROUP_PIECES = 8192
 
-_PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+_PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long"
 
 
 def cut_pieces(docs: DataFrame, path: str | None = None, end_id: int = END_ID, length: int = LENGTH) -> DataFrame:
-    """The pieces of each document's ids: where they start, how many, and their checksum.
+    """The pieces of each document's ids: where they start, how many, and the ids themselves.
 
     Documents are encoded whole; the pieces are cut from their ids.
     """
@@ -51,27 +49,30 @@ def cut_pieces(docs: DataFrame, path: str | None = None, end_id: int = END_ID, l
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for start in range(0, len(ids), length):
                     piece = ids[start : start + length]
-                    rows.append((doc, start, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
+                    rows.append((doc, start, len(piece), piece.tobytes(), len(ids)))
+            kinds = [pa.binary() if name == "ids" else pa.int64() for name in names]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _PIECES)
 
 
-def first_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bin and offset of each piece; the pieces come in decreasing order of length."""
-    leaves = 1
-    while leaves < max(1, len(lengths)):
-        leaves *= 2
-    room = [capacity] * (2 * leaves)
-    bins = np.empty(len(lengths), "i8")
-    offsets = np.empty(len(lengths), "i8")
-    for i, size in enumerate(lengths.tolist()):
-        node = 1
-        while node < leaves:
+class Bins:
+    """Bins of equal capacity, as many as are needed; each piece goes into the first that has room."""
+
+    def __init__(self, capacity: int, leaves: int = 1):
+        self.capacity, self.leaves = capacity, leaves
+        self.room = [capacity] * (2 * leaves)
+
+    def place(self, size: int) -> tuple[int, int]:
+        """Bin and offset of a piece."""
+        while self.room[1] < size:
+            self._grow()
+        room, node = self.room, 1
+        while node < self.leaves:
             node *= 2
             if room[node] < size:
                 node += 1
-        bins[i], offsets[i] = node - leaves, capacity - room[node]
+        found = node - self.leaves, self.capacity - room[node]
         room[node] -= size
         while node > 1:
             node //= 2
@@ -79,23 +80,57 @@ def first_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarra
             if room[node] == best:
                 break
             room[node] = best
-    return bins, offsets
+        return found
+
+    def _grow(self) -> None:
+        """Twice as many bins: the tree becomes the left half of a larger one."""
+        room = [self.capacity] * (4 * self.leaves)
+        width = 1
+        while width <= self.leaves:
+            room[2 * width : 3 * width] = self.room[width : 2 * width]
+            width *= 2
+        self.room, self.leaves = room, 2 * self.leaves
+
+
+def first_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bin and offset of each piece; the pieces come in decreasing order of length."""
+    bins = Bins(capacity)
+    places = np.array([bins.place(size) for size in lengths.tolist()], "i8").reshape(-1, 2)
+    return places[:, 0], places[:, 1]
 
 
 def pack(pieces: DataFrame, length: int = LENGTH, group_pieces: int = GROUP_PIECES, seed: int = 7) -> DataFrame:
-    """The pieces with ``sequence_id`` and their ``offset`` in it."""
+    """The pieces and their ids with ``sequence_id``, their ``offset`` in it, and ``ids_crc32`` of the ids given out."""
     numbered = park(pieces.withColumn("__row", F.monotonically_increasing_id()), "pieces")
     groups = max(1, -(-numbered.count() // group_pieces))
     dealt = numbered.withColumn("__group", F.pmod(F.xxhash64(F.lit(seed), "__row"), F.lit(groups)))
-
-    def fill(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["length", "__row"], ascending=[False, True], ignore_index=True)
-        bins, offsets = first_fit(frame["length"].to_numpy(), length)
-        frame["sequence_id"] = (frame["__group"].to_numpy() << 32) + bins
-        frame["offset"] = offsets
-        return frame.drop(columns=["__row", "__group"])
-
-    return dealt.groupBy("__group").applyInPandas(fill, f"{_PIECES}, sequence_id long, offset long")
+    # the longest piece of a group first, so that each finds its place when it comes
+    in_order = dealt.repartition("__group").sortWithinPartitions("__group", F.desc("length"), "__row")
+    kept = pieces.columns
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bins, current = Bins(length), None
+        for batch in batches:
+            sequences, offsets = [], []
+            for group, size in zip(batch.column("__group").to_pylist(), batch.column("length").to_pylist(), strict=True):
+                if group != current:
+                    bins, current = Bins(length), group
+                number, offset = bins.place(size)
+                sequences.append((group << 32) + number)
+                offsets.append(offset)
+            places = [pa.array(sequences, pa.int64()), pa.array(offsets, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *places], names=[*kept, "sequence_id", "offset"])
+
+    placed = in_order.mapInArrow(fill, f"{_PIECES}, sequence_id long, offset long")
+    return placed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "ids")
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """The packed sequences: ``sequence_id``, their ``ids`` one after another, and the ``offsets`` and ``doc_ids`` of the pieces."""
+    piece = F.struct("offset", "doc_id", F.hex("ids").alias("ids"))
+    held = packed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
+    ids = F.unhex(F.array_join("pieces.ids", ""))
+    return held.select("sequence_id", ids.alias("ids"), F.col("pieces.offset").alias("offsets"), F.col("pieces.doc_id").alias("doc_ids"))
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, end_id: int = END_ID, length: int = LENGTH) -> DataFrame:

@@ -43,8 +43,9 @@ def op6_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_ffd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Packs all documents into sequences of at most 4096 ids."""
-    return packing.pack_documents(table(spark, sf_dir, "documents"))
+    """Packs all documents into sequences of at most 4096 ids; digests of the packed ids."""
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def op8_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:

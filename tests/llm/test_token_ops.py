@@ -178,3 +178,20 @@ def test_packing_keeps_repeated_rows(spark):
     rows = packing.pack_documents(docs).collect()
     assert len(rows) == 4
     assert len({(r.sequence_id, r.offset) for r in rows}) == 4
+
+
+def test_packing_gives_out_the_ids(odd_docs, odd_texts):
+    packed = packing.pack(packing.cut_pieces(odd_docs, length=64), length=64, group_pieces=100).cache()
+    rows = packed.collect()
+    held = {r.sequence_id: r for r in packing.sequences(packed).collect()}
+    want = {i: [*tokenizer(packing.TOKENIZER).encode(t or "", add_special_tokens=False).ids, 2] for i, t in enumerate(odd_texts)}
+    got = {}
+    for r in rows:
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        whole = np.frombuffer(held[r.sequence_id].ids, "<u4").tolist()
+        assert whole[r.offset : r.offset + r.length] == ids == want[r.doc_id][r.start : r.start + r.length]
+        assert r.ids_crc32 == crc(ids)
+        got[r.doc_id] = got.get(r.doc_id, 0) + len(ids)
+    assert got == {i: len(ids) for i, ids in want.items()}
+    assert sum(len(r.ids) for r in held.values()) == 4 * sum(got.values())
+    packed.unpersist()
