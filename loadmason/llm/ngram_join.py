@@ -185,7 +185,10 @@ def _linked_classes(docs: DataFrame, size: int, num: int, den: int) -> tuple[Dat
     keyed = classes.agg(F.min("row").alias("id"), F.any_value("keys").alias("keys"))
     # a group is connected through its smallest member; its pairs are never written
     held = keyed.select("id", F.explode("keys").alias("key"))
-    lowest = held.selectExpr("id", "min(id) OVER (PARTITION BY key) AS low")
+    # the keys of several classes are written out, so that Spark can split the part of a hot one in the join
+    shared = held.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("last")).where("low < last")
+    shared = park(shared.select(F.col("key").alias("__key"), "low"), "shared-keys")
+    lowest = held.join(shared, F.col("key") == F.col("__key")).select("id", "low")
     candidates = components(lowest.where("low < id").distinct())
 
     least = F.min(F.struct("doc_id", "t1", "t2")).alias("least")

@@ -160,6 +160,22 @@ def test_jaccard_join_of_an_id_with_several_texts(spark, monkeypatch, block_rows
     assert got == {(5, 2, 7), (2, 2, 2), (13, 2, 2), (40, 40, 0)} | {(10 + i, 2, 1) for i in range(6) if i != 3}
 
 
+def test_candidates_need_no_window(spark, monkeypatch):
+    """A key that very many classes share is aggregated and joined, never one task's window."""
+    plans, find = [], ngram_join.components
+
+    def seen(edges):
+        plans.append(edges._jdf.queryExecution().toString())
+        return find(edges)
+
+    monkeypatch.setattr(ngram_join, "components", seen)
+    text = sentence(random.Random(6), 60)
+    docs = spark.createDataFrame([(i, f"{text} w{i}") for i in range(8)], "doc_id long, text string")
+    found = ngram_join.jaccard_join(docs).collect()
+    assert {(r.component_id, r.n_links) for r in found} == {(0, 7)}
+    assert plans and not any("Window" in plan for plan in plans)
+
+
 def test_one_stays_of_rows_that_share_an_id(spark):
     rng = random.Random(8)
     a, b, c, d = (sentence(rng, 60) for _ in range(4))
