@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
-from . import byte_bpe, chat_rotation, language_id, line_runs, ngram_join, packing, pivot_dedup, quality, rule_ledger, token_files
+from . import (
+    byte_bpe, chat_rotation, importance, language_id, line_runs, ngram_join, packing, pivot_dedup, prefix_trie, quality, rule_ledger,
+    substring_dedup, token_files,
+)
 from .common import table
 
 
@@ -65,7 +68,27 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pivot_dedup, op2_rule_ledger, op3_line_runs, op4_ngram_join, op5_language_id, op6_chat_rotation, op7_ffd_packing, op8_quality_qda, op9_token_files, op10_byte_bpe)}
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Takes from all documents the passages of 13 words and more that an earlier one holds; digests of what stays."""
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all rebuilt conversations; digests of the ids that end at each node."""
+    return prefix_trie.trie_digests(table(spark, sf_dir, "conversations"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighs all documents by their likeness to the benchmark and draws a tenth of them."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_ALL = (
+    op1_pivot_dedup, op2_rule_ledger, op3_line_runs, op4_ngram_join, op5_language_id, op6_chat_rotation, op7_ffd_packing, op8_quality_qda,
+    op9_token_files, op10_byte_bpe, op11_substring_dedup, op12_prefix_trie, op13_importance_resampling,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 
 _RULE_BITS = " + ".join(f"CASE WHEN {test} THEN {1 << bit} ELSE 0 END" for bit, (_, test) in enumerate(rule_ledger.RULES))
 
@@ -93,6 +116,25 @@ _REACH = """
     found AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
 """
 
+# CRC-32 from its polynomial: a table of 256 remainders, and the remainder of a text byte by byte.
+_CRC_TABLE = """
+    crc_table AS (
+        SELECT list(v ORDER BY i) AS remainders FROM (
+            SELECT i, list_reduce(range(8), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i) AS v
+            FROM range(256) r(i))
+    )
+"""
+
+
+def _crc32(text: str) -> str:
+    codes = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)"
+    step = "lambda a, b: xor(a >> 8, remainders[(xor(a, b) & 255) + 1])"
+    return f"xor(list_reduce({codes}, {step}, 4294967295), 4294967295)"
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 SQL: dict[str, str] = {
     "op1_pivot_dedup": f"""
         WITH RECURSIVE
@@ -255,4 +297,95 @@ SQL: dict[str, str] = {
                failed & {rule_ledger.mask(rule_ledger.BASE) | rule_ledger.mask(rule_ledger.CURRENT)} = 0 AS kept
         FROM entries
     """,
+    "op11_substring_dedup": f"""
+        WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+        windows AS (
+            SELECT doc_id, i, array_to_string(w[i : i + {substring_dedup.WINDOW - 1}], ' ') AS words
+            FROM texts, unnest(range(1, len(w) - {substring_dedup.WINDOW - 2})) t(i)
+        ),
+        firsts AS (SELECT words, min(doc_id) AS first FROM windows GROUP BY words),
+        gone AS (
+            SELECT DISTINCT doc_id, i + k AS i FROM windows JOIN firsts USING (words), range({substring_dedup.WINDOW}) r(k)
+            WHERE doc_id > first
+        ),
+        words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM texts),
+        kept AS (
+            SELECT doc_id, count(g.i) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (g.i IS NULL) AS kept
+            FROM words LEFT JOIN gone g USING (doc_id, i) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM texts LEFT JOIN kept USING (doc_id)
+    """,
+    "op12_prefix_trie": f"""
+        WITH {_CRC_TABLE},
+        turns AS (
+            SELECT conv_id, turn, coalesce(text, '') AS text,
+                   md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        convs AS (
+            SELECT conv_id, list({{'digest': digest, 'bytes': octet_length(encode(text))}} ORDER BY turn NULLS FIRST, digest) AS turns
+            FROM turns GROUP BY conv_id
+        ),
+        hashed AS (
+            SELECT conv_id, turns, {_crc32("conv_id::VARCHAR")} % {prefix_trie.SHARED} AS h FROM convs, crc_table
+        ),
+        rebuilt AS (
+            SELECT a.conv_id, list_concat(coalesce(b.turns, [])[: a.h], a.turns[a.h + 1 :]) AS turns
+            FROM hashed a LEFT JOIN convs b ON b.conv_id = a.conv_id - a.conv_id % {prefix_trie.GROUP}
+        ),
+        prefixes AS (
+            SELECT conv_id, d AS depth, len(turns) AS n, coalesce(turns[d].bytes, 0) AS bytes,
+                   array_to_string(list_transform(turns[: d], lambda t: t.digest), '') AS prefix
+            FROM rebuilt, unnest(range(0, len(turns) + 1)) r(d)
+        ),
+        nodes AS (
+            SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+                   string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth) AS ends
+            FROM prefixes GROUP BY prefix, depth
+        ),
+        children AS (SELECT left(prefix, 32 * (depth - 1)) AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+        whole AS (SELECT *, coalesce(n_children, 0) AS kids FROM nodes LEFT JOIN children USING (prefix)),
+        sums AS (
+            SELECT left(prefix, 32 * a) AS prefix, count(*) FILTER (kids = 0) AS n_leaves, sum((n_convs - 1) * bytes)::BIGINT AS saved_tokens
+            FROM whole, unnest(range(0, depth + 1)) r(a) GROUP BY 1
+        )
+        SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.kids AS n_children, n_leaves, saved_tokens,
+               sha256(coalesce(w.ends, '')) AS ends_sha256
+        FROM whole w JOIN sums USING (prefix) LEFT JOIN nodes p ON p.depth = w.depth - 1 AND p.prefix = left(w.prefix, 32 * p.depth)
+    """,
+    "op13_importance_resampling": f"""
+        WITH {_CRC_TABLE},
+        found AS (
+            SELECT doc_id, true AS ours, unnest(regexp_extract_all({_LOWER}, '{_ALNUM}')) AS word FROM documents WHERE text IS NOT NULL
+            UNION ALL
+            SELECT item_id, false, unnest(regexp_extract_all({_LOWER}, '{_ALNUM}')) FROM benchmark WHERE text IS NOT NULL
+        ),
+        buckets AS (SELECT word, {_crc32("word")} % {importance.BUCKETS} AS bucket FROM (SELECT DISTINCT word FROM found), crc_table),
+        counts AS (
+            SELECT bucket, count(*) FILTER (ours) AS s, count(*) FILTER (NOT ours) AS t FROM found JOIN buckets USING (word) GROUP BY bucket
+        ),
+        sums AS (SELECT sum(s) AS big_s, sum(t) AS big_t FROM counts),
+        gains AS (
+            SELECT bucket, floor(1000 * ln(((t + 1) * (big_s + {importance.BUCKETS}))::DOUBLE / ((s + 1) * (big_t + {importance.BUCKETS}))::DOUBLE))::BIGINT AS gain
+            FROM counts, sums
+        ),
+        weighed AS (
+            SELECT doc_id, count(*) AS n_features, sum(gain)::BIGINT AS gain
+            FROM found JOIN buckets USING (word) JOIN gains USING (bucket) WHERE ours GROUP BY doc_id
+        ),
+        scored AS (
+            SELECT doc_id, coalesce(n_features, 0) AS n_features,
+                   coalesce((gain - ((gain % n_features) + n_features) % n_features) // n_features, 0) AS weight,
+                   floor(-1000 * ln(-ln((('0x' || left(sha256('{importance.SEED}:' || doc_id), 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS noise
+            FROM documents LEFT JOIN weighed USING (doc_id)
+        ),
+        drawn AS (
+            SELECT doc_id, row_number() OVER (ORDER BY weight + noise DESC, doc_id) AS rank,
+                   count(*) OVER () * {importance.PERCENT} // 100 AS n
+            FROM scored WHERE n_features >= {importance.MIN_WORDS}
+        )
+        SELECT s.doc_id, n_features, weight, weight + noise AS score, CASE WHEN rank <= n THEN rank END AS rank
+        FROM scored s LEFT JOIN drawn d ON d.doc_id = s.doc_id
+    """,
 }
