@@ -1,6 +1,6 @@
 """Typed bulk loading on Spark: scan, convert, check, load, render, stage."""
 
-from .errors import LoadAborted, SchemaMismatch, SignatureMismatch, TargetMissing
+from .errors import CommitConflict, LoadAborted, SchemaMismatch, SignatureMismatch, TargetMissing
 from .functions.types import Target
 from .operators.checked import coerce, convert_columns
 from .operators.faults import fault_by_cause, fault_limit, fault_sample, reached_limit
@@ -14,7 +14,7 @@ from .sources.staged import read_staged, write_staged
 from .streaming.micro_batch import load_stream
 
 __all__ = [
-    "LoadAborted", "LoadReport", "SchemaMismatch", "SignatureMismatch", "Target", "TargetMissing",
+    "CommitConflict", "LoadAborted", "LoadReport", "SchemaMismatch", "SignatureMismatch", "Target", "TargetMissing",
     "align_by_position", "check", "check_target", "coerce", "convert_columns", "create_table", "fault_by_cause",
     "fault_limit", "fault_sample", "insert_exact", "key_diff", "load", "load_file", "load_jdbc",
     "load_stream", "parse_lines", "reached_limit", "read_lines", "read_staged", "render", "row_diff",

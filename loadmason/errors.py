@@ -23,3 +23,7 @@ class LoadAborted(RuntimeError):
             f"limit {report.max_errors}, faults {report.rejected}; "
             f"rejected rows are in {report.reject_path}"
         )
+
+
+class CommitConflict(RuntimeError):
+    """Another load changed the table first, again and again."""

@@ -56,12 +56,6 @@ def repeated_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(COPIES)).where(F.col(COPIES) > 1)
 
 
-def one_per_repeated_key(rows: DataFrame, repeated: DataFrame, keys: Sequence[str], null_safe: bool, **options) -> DataFrame:
-    """As :func:`one_per_key`, for few repeated keys: rows of all others are neither sorted nor shuffled."""
-    unique = without_keys(rows, repeated, keys, True, null_safe).withColumn(COPIES, F.lit(1).cast("bigint"))
-    return unique.unionByName(one_per_key(with_keys(rows, repeated, keys, True, null_safe), keys, **options))
-
-
 def key_bytes(schema: T.StructType, keys: Sequence[str]) -> Column:
     """An upper estimate of one key's size in memory, with what is kept beside it."""
     size = F.lit(16 * (len(keys) + 4)).cast("bigint")

@@ -26,6 +26,7 @@ def parse(argv=None) -> argparse.Namespace:
     parser.add_argument("--order-by", default="", help="comma-separated columns that order rows of one key")
     parser.add_argument("--on-error", choices=("fail", "reject"), default="fail")
     parser.add_argument("--max-errors", type=int, default=DEFAULT_MAX_ERRORS)
+    parser.add_argument("--once", action="store_true", help="leave out files this table has loaded before")
     parser.add_argument("--reject-path", help="folder for rejected rows")
     return parser.parse_args(argv)
 
@@ -51,6 +52,7 @@ def main(argv=None) -> int:
             on_error=options.on_error,
             max_errors=options.max_errors,
             reject_path=options.reject_path,
+            once=options.once,
         )
     except Exception as error:
         print(f"load of {options.file} into {options.table} failed: {error}", file=sys.stderr)

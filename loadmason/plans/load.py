@@ -13,10 +13,10 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import LoadAborted
+from ..errors import CommitConflict, LoadAborted
 from ..functions.parsing import pattern_or_default
 from ..functions.types import DEFAULT_SEPARATOR, Target
 from ..operators.checked import ARRIVAL, FAULT, REJECT_SEPARATOR, ROW, ROW_TEXT, Checked, convert_frame, row_text
@@ -28,18 +28,25 @@ from ..operators.keys import (
     join_counted,
     key_bytes,
     one_per_key,
-    one_per_repeated_key,
     repeated_keys,
     with_keys,
     without_keys,
 )
 from ..session import drop_path, new_path
-from ..sources.delimited import check_lines, read_lines
+from ..sources.delimited import check_lines, listed_files, new_files, read_lines
+from .commits import retried
 from .sinks import KEEP_VERSIONS, JdbcSink, TableSink, effective_batch_size
 
 REPEATED = "repeated key"
 PRESENT = "key already in target"
 HIT = "__hit"
+# A task that alone finds this many faults more than the limit ends the load. As many are kept of them at most.
+EARLY_FAULTS = 1000
+# From this share of rows with repeated keys on, one aggregation of all rows costs less than setting those apart.
+REPEATED_SHARE = 0.5
+# Files of the first wave of a load from files, at least; each wave is four times the one before.
+FIRST_WAVE = 32
+WAVE_GROWTH = 4
 LOAD_ON_ERROR = ("fail", "reject")
 
 
@@ -51,6 +58,7 @@ class LoadReport:
     rejected: int
     max_errors: int
     reject_path: str | None = None
+    whole: bool = True  # False where the limit was reached before everything was read; the counts are of what was
 
 
 def load(
@@ -68,6 +76,7 @@ def load(
     max_records_per_file: int | None = None,
     batch_size: int | str | None = None,
     keep_versions: int = KEEP_VERSIONS,
+    batch: tuple[str, int] | None = None,
 ) -> LoadReport:
     """Loads a frame into a catalog table, matching columns by position.
 
@@ -79,10 +88,14 @@ def load(
     ``batch_size``, where given, bounds the rows of a file, and values that are
     not above zero mean the default of 300; ``max_records_per_file`` is the
     same without a default.
+
+    ``batch`` names a stream and the number of its batch, which the commit
+    notes together with the rows; :func:`load_stream` uses it.
     """
     if batch_size is not None:
         max_records_per_file = effective_batch_size(batch_size)
     sink = TableSink(df.sparkSession, table, max_records_per_file, keep_versions)
+    sink.batch = batch
     checked = convert_frame(df, sink.target, coerce, date_format, exact_decimals)
     return run_load(df.sparkSession, checked, sink, mode, keys, order_by, on_error, max_errors, reject_path, date_format)
 
@@ -137,20 +150,62 @@ def load_file(
     max_records_per_file: int | None = None,
     recursive: bool = False,
     keep_versions: int = KEEP_VERSIONS,
+    once: bool = False,
 ) -> LoadReport:
     """Loads delimited text into a catalog table.
 
     Of lines with the same key and ``order_by`` the first (or with upsert the
     last) in the file counts; files are taken in the order of their names.
+
+    Where lines may be rejected the files are read in growing waves, and a
+    wave that reaches the fault limit is the last. With ``once`` files are left
+    out that this table's commit log lists with the same path, size and time:
+    a load that is repeated adds nothing, one that was cut short goes on.
     """
     sink = TableSink(spark, table, max_records_per_file, keep_versions)
-    checked = check_lines(read_lines(spark, paths, recursive, arrival=bool(keys)), sink.target, sep, date_format)
-    return run_load(spark, checked, sink, mode, keys, order_by, on_error, max_errors, reject_path, date_format)
+    stage = new_path(spark, "files")
+    if once:
+        if not sink.layout.owned:
+            raise ValueError(f"{table}: this format has no commit log to list files in")
+        listed = new_files(spark, listed_files(spark, paths, recursive), sink.ledgers())
+        listed.write.parquet(stage)
+        sink.ledger = spark.read.schema(listed.schema).parquet(stage)
+        # names of files only, which Spark holds for a scan as well
+        names = [r.path for r in sink.ledger.select("path").collect()]
+    else:
+        # few files are one wave, whatever they are called
+        many = on_error == "reject" and len(read_lines(spark, paths, recursive).inputFiles()) > first_wave(spark)
+        names = [r.path for r in listed_files(spark, paths, recursive).select("path").collect()] if many else []
+    try:
+        if once and not names:
+            return LoadReport(table, 0, 0, 0, effective_limit(max_errors))
+        parts = waves(spark, names) if on_error == "reject" else [names]
+        if not once and len(parts) < 2:
+            parts = [None]
+        lines = [read_lines(spark, paths, recursive, bool(keys), part) for part in parts]
+        checked = [check_lines(part, sink.target, sep, date_format) for part in lines]
+        return run_load(spark, checked, sink, mode, keys, order_by, on_error, max_errors, reject_path, date_format)
+    finally:
+        if once:
+            drop_path(spark, stage)
+
+
+def first_wave(spark: SparkSession) -> int:
+    return max(FIRST_WAVE, spark.sparkContext.defaultParallelism)
+
+
+def waves(spark: SparkSession, names: Sequence[str]) -> list[list[str]]:
+    """The files in growing groups, each at least as many as can be read at a time."""
+    names, out, size = sorted(names), [], first_wave(spark)
+    while names:
+        out.append(names[:size])
+        names, size = names[size:], size * WAVE_GROWTH
+    return out
 
 
 def run_load(
     spark: SparkSession,
-    checked: Checked,
+    checked: Checked | Sequence[Checked],
     sink,
     mode: str,
     keys: Sequence[str],
@@ -160,6 +215,9 @@ def run_load(
     reject_path: str | None,
     date_format: str | None = None,
 ) -> LoadReport:
+    """Loads checked rows; several of them are waves of one load, staged one after another."""
+    waves = [checked] if isinstance(checked, Checked) else list(checked)
+    first = waves[0]
     limit = effective_limit(max_errors)
     if mode not in ("append", "upsert"):
         raise ValueError(f"mode must be append or upsert, not {mode!r}")
@@ -167,27 +225,18 @@ def run_load(
         raise ValueError(f"on_error must be one of {LOAD_ON_ERROR}, not {on_error!r}")
     if mode == "upsert" and not keys:
         raise ValueError("upsert needs key columns")
-    unknown = [c for c in [*keys, *order_by] if c not in checked.names]
+    unknown = [c for c in [*keys, *order_by] if c not in first.names]
     if unknown:
         raise ValueError(f"the target has no columns {unknown}")
-    rejecting = on_error == "reject" and checked.can_fault
-    if not keys and not rejecting:
-        return _straight(checked, sink, limit)
+    rejecting = on_error == "reject" and first.can_fault
+    if not keys and not rejecting and len(waves) == 1:
+        return _straight(first, sink, limit)
 
     stage = new_path(spark, "load")
     try:
         batch = _Batch(spark, stage, sink, list(keys), list(order_by), pattern_or_default(date_format))
-        batch.stage_rows(checked, rejecting, numbered=bool(keys) and (mode == "append" or checked.arrives))
-        if batch.faults < limit and keys:
-            batch.pick(last=mode == "upsert")
-            if mode == "append":
-                batch.rejects_keys = True
-                batch.find_present()
-        report = batch.report(limit, reject_path)
-        if report.rejected >= limit:
-            raise LoadAborted(sink.name, report)
-        batch.publish(mode)
-        return report
+        batch.stage_rows(waves, rejecting, bool(keys) and (mode == "append" or first.arrives), limit, reject_path)
+        return retried(lambda: batch.finish(mode, limit, reject_path))
     finally:
         drop_path(spark, stage)
 
@@ -199,6 +248,16 @@ def _straight(checked: Checked, sink, limit: int) -> LoadReport:
     return LoadReport(sink.name, count, count, 0, limit)
 
 
+def stopping(limit: int, token: str) -> Column:
+    """The fault, unless this task alone has seen clearly more than the limit: then the job ends.
+
+    The number counts only the rows it is asked for, which are the faulty ones.
+    """
+    nth = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    fault = F.col(FAULT)
+    return F.when(fault.isNull(), fault).when(nth >= limit + EARLY_FAULTS, F.raise_error(F.lit(token)).cast("string")).otherwise(fault)
+
+
 class _Batch:
     """The staged rows of one load and what has been found out about them."""
 
@@ -208,62 +267,119 @@ class _Batch:
         self.rows: DataFrame | None = None  # accepted so far
         self.faulty: DataFrame | None = None
         self.picked: DataFrame | None = None  # one row per key
+        self.several: DataFrame | None = None  # the rows picked of repeated keys
         self.present: DataFrame | None = None  # keys the target has already
-        self.read = self.faults = self.n_keys = self.n_present = 0
+        self.read = self.faults = self.n_keys = self.n_repeated = self.n_present = 0
         self.broadcast_keys, self.null_safe, self.arrives = 1, True, False
         self.rejects_keys = False
 
-    def stage_rows(self, checked: Checked, rejecting: bool, numbered: bool) -> None:
-        self.arrives = checked.arrives
-        rows = checked.flagged(numbered) if rejecting else checked.failing(numbered)
-        if numbered:
-            # written out, the numbers are fixed; they tell equal rows apart
-            number = F.col(ARRIVAL) if self.arrives else F.monotonically_increasing_id()
-            rows = rows.withColumn(ROW, number).drop(ARRIVAL)
-        staged = self._park(rows, "rows")
-        faulty = F.col(FAULT).isNotNull() if rejecting else F.lit(False)
-        found = [F.count(F.lit(1)), F.count_if(faulty)]
-        if self.keys:
-            found += [F.max(key_bytes(staged.schema, self.keys)), F.count_if(any_null(self.keys))]
-        self.read, self.faults, *of_keys = staged.agg(*found).head()
-        self.rows = staged.filter(~faulty).drop(FAULT, ROW_TEXT)
+    def stage_rows(self, waves: list[Checked], rejecting: bool, numbered: bool, limit: int, reject_path: str | None) -> None:
+        """Writes the rows out, counting in the same pass; stops after the wave that reaches the limit."""
+        self.arrives = waves[0].arrives
+        token, paths, widest, null_keys, schema = uuid.uuid4().hex, [], 0, 0, None
+        for number, checked in enumerate(waves):
+            rows = checked.flagged(numbered) if rejecting else checked.failing(numbered)
+            if rejecting:
+                rows = rows.withColumn(FAULT, stopping(limit, token))
+            if numbered:
+                # written out, the numbers are fixed; they tell equal rows apart
+                row = F.col(ARRIVAL) if self.arrives else F.monotonically_increasing_id()
+                rows = rows.withColumn(ROW, row).drop(ARRIVAL)
+            faulty = F.col(FAULT).isNotNull() if rejecting else F.lit(False)
+            found = {"read": F.count(F.lit(1)), "faults": F.count_if(faulty)}
+            if self.keys:
+                found |= {"widest": F.max(key_bytes(rows.schema, self.keys)), "null_keys": F.count_if(any_null(self.keys))}
+            seen, schema = Observation(), rows.schema
+            paths.append(f"{self.stage}/rows/{number}")
+            try:
+                rows.observe(seen, *[c.alias(name) for name, c in found.items()]).write.parquet(paths[-1])
+            except Exception as error:
+                if token not in str(error):
+                    raise
+                self._stop(checked, limit, reject_path)
+            counts = seen.get
+            self.read, self.faults = self.read + counts["read"], self.faults + counts["faults"]
+            if self.keys:
+                widest, null_keys = max(widest, counts["widest"] or 0), null_keys + counts["null_keys"]
+            if self.faults >= limit:
+                break
+        self.whole = number + 1 == len(waves)
+        staged = self.spark.read.schema(schema).parquet(*paths)
+        faulty = F.col(FAULT).isNotNull()
+        self.rows = staged.filter(~faulty).drop(FAULT, ROW_TEXT) if rejecting else staged
         if self.keys:
-            widest, null_keys = of_keys
             self.null_safe = null_keys > 0
             self.broadcast_keys = max(1, BROADCAST_BYTES // (widest or BROADCAST_BYTES))
         if self.faults:
             self.faulty = staged.filter(faulty).select(F.col(FAULT).alias("cause"), F.col(ROW_TEXT).alias("row_text"))
 
+    def _stop(self, checked: Checked, limit: int, reject_path: str | None) -> None:
+        """Ends a load one of whose tasks found too many faults; the first ones, looked for in few tasks, are kept."""
+        rejects = checked.flagged().filter(F.col(FAULT).isNotNull()).select(F.col(FAULT).alias("cause"), F.col(ROW_TEXT).alias("row_text"))
+        shown = rejects.take(min(limit, EARLY_FAULTS))
+        path = reject_path or self.sink.default_reject_path()
+        kept = self.spark.createDataFrame(shown, "cause string, row_text string")
+        kept.coalesce(1).write.parquet(f"{path}/load_id={uuid.uuid4().hex}")
+        seen = max(limit, len(shown))
+        raise LoadAborted(self.sink.name, LoadReport(self.sink.name, self.read + seen, 0, self.faults + seen, limit, path, False)) from None
+
     def pick(self, last: bool) -> None:
-        """One row of each key. Where no key repeats that is every row, as it was staged."""
+        """One row of each key. Rows of keys that do not repeat stay as they were staged."""
         extra = [c for c in self.rows.columns if c == ROW]
-        repeated = self._park(repeated_keys(self.rows, self.keys), "repeated")
-        n_repeated, held = repeated.agg(F.count(F.lit(1)), F.sum(COPIES)).head()
+        repeated, found = self._park(repeated_keys(self.rows, self.keys), "repeated", n=F.count(F.lit(1)), held=F.sum(COPIES))
+        self.n_repeated, held = found["n"], found["held"] or 0
         options = {"order_by": self.order_by, "last": last, "extra": extra, "extra_first": self.arrives}
-        if not n_repeated:
-            self.picked = self.rows.withColumn(COPIES, F.lit(1).cast("bigint"))
-        elif n_repeated <= self.broadcast_keys:
-            self.picked = self._park(one_per_repeated_key(self.rows, repeated, self.keys, self.null_safe, **options), "picked")
+        once = F.lit(1).cast("bigint")
+        accepted = self.read - self.faults
+        self.n_keys = accepted - held + self.n_repeated
+        if not self.n_repeated:
+            self.picked = self.rows.withColumn(COPIES, once)
+        elif self.n_repeated <= self.broadcast_keys and held < REPEATED_SHARE * accepted:
+            rows = with_keys(self.rows, repeated, self.keys, True, self.null_safe)
+            self.several, _ = self._park(one_per_key(rows, self.keys, **options), "several")
+            unique = without_keys(self.rows, repeated, self.keys, True, self.null_safe).withColumn(COPIES, once)
+            self.picked = unique.unionByName(self.several)
         else:
-            self.picked = self._park(one_per_key(self.rows, self.keys, **options), "picked")
-        self.n_keys = self.read - self.faults - (held or 0) + n_repeated
+            self.picked, _ = self._park(one_per_key(self.rows, self.keys, **options), "picked")
+            self.several = self.picked.where(F.col(COPIES) > 1)
 
     def find_present(self) -> None:
+        self.rejects_keys, self.n_present = True, 0
         if not self.n_keys:
             return
-        held = self.sink.rows_beside(self.picked, self.keys, self.stage).select(*self.keys)
-        if self.n_keys <= self.broadcast_keys:
-            hits = with_keys(held, self.picked, self.keys, True, self.null_safe).distinct()
-        else:
-            # distinct first, so a key held many times shrinks before it is joined
-            hits = with_keys(held.distinct(), self.picked, self.keys, False, self.null_safe)
-        self.present = self._park(hits, "present")
-        self.n_present = self.present.count()
+        # a broadcast side is all rows, which need no picking; they are few enough by the same measure
+        small = self.read - self.faults <= self.broadcast_keys
+        listed = self.rows if small else self.picked
+        held = self.sink.rows_beside(listed, self.keys).select(*self.keys)
+        # distinct first where both sides are shuffled, so a key held many times shrinks before it is joined
+        hits = with_keys(held if small else held.distinct(), listed, self.keys, small, self.null_safe)
+        self.present, found = self._park(hits.distinct() if small else hits, f"present-{uuid.uuid4().hex}", n=F.count(F.lit(1)))
+        self.n_present = found["n"]
 
     @property
     def loaded(self) -> int:
         return self.n_keys - self.n_present
 
+    def finish(self, mode: str, limit: int, reject_path: str | None) -> LoadReport:
+        """Decides on keys by what the target holds, keeps the rejects and publishes the rest, or nothing of it."""
+        version, _ = self.sink.begin()
+        if self.faults < limit and self.keys:
+            if self.picked is None:
+                self.pick(last=mode == "upsert")
+            if mode == "append":
+                self.find_present()
+        report, kept = self.report(limit, reject_path)
+        if report.rejected >= limit:
+            raise LoadAborted(self.sink.name, report)
+        try:
+            self.publish(mode, version)
+        except CommitConflict:
+            # the target holds other keys now, so these rejects may be others too
+            if kept is not None:
+                drop_path(self.spark, kept)
+            raise
+        return report
+
     def accepted(self) -> DataFrame:
         if self.picked is None:
             return self.rows
@@ -272,19 +388,27 @@ class _Batch:
             rows = without_keys(rows, self.present, self.keys, self.n_present <= self.broadcast_keys, self.null_safe)
         return rows
 
+    def _troubled(self) -> DataFrame:
+        """Repeated keys with the row chosen of each, and keys of the target, as few as these are."""
+        chosen = None
+        if self.n_repeated:
+            chosen = self.several.select(*self.keys, COPIES, F.col(ROW).alias("__chosen"))
+            if not self.n_present:
+                return chosen.withColumn(HIT, F.lit(False))
+        small = max(self.n_present, self.n_repeated) <= self.broadcast_keys
+        hit = self.present.withColumns({COPIES: F.lit(1).cast("bigint"), "__chosen": F.lit(None).cast(self.rows.schema[ROW].dataType), HIT: F.lit(True)})
+        if chosen is None:
+            return hit
+        held = with_keys(chosen, self.present, self.keys, small, self.null_safe).withColumn(HIT, F.lit(True))
+        new = without_keys(chosen, self.present, self.keys, small, self.null_safe).withColumn(HIT, F.lit(False))
+        single = without_keys(hit, chosen, self.keys, small, self.null_safe)
+        return held.unionByName(new).unionByName(single)
+
     def _key_rejects(self) -> DataFrame:
         """Every row of a present key, and all but the chosen row of a repeated one."""
-        flagged = self.picked.select(*self.keys, COPIES, F.col(ROW).alias("__chosen"), F.lit(False).alias(HIT))
-        if self.n_present:
-            small = self.n_present <= self.broadcast_keys
-            chosen = flagged.drop(HIT)
-            held = with_keys(chosen, self.present, self.keys, small, self.null_safe)
-            new = without_keys(chosen, self.present, self.keys, small, self.null_safe)
-            flagged = held.withColumn(HIT, F.lit(True)).unionByName(new.withColumn(HIT, F.lit(False)))
-        troubled = flagged.filter(F.col(HIT) | (F.col(COPIES) > 1))
-        n_troubled = troubled.count()
+        n_troubled = self.n_present + self.n_repeated
         joined = join_counted(
-            self.rows, troubled, self.keys, self.read, self.broadcast_keys, n_troubled, self.null_safe
+            self.rows, self._troubled(), self.keys, self.read, self.broadcast_keys, n_troubled, self.null_safe
         )
         rejected = joined.filter(F.col(HIT) | (F.col(ROW) != F.col("__chosen")))
         columns = [c for c in self.rows.columns if c != ROW]
@@ -293,25 +417,30 @@ class _Batch:
         cause = F.when(F.col(HIT), F.lit(PRESENT)).otherwise(F.lit(REPEATED))
         return rejected.select(cause.alias("cause"), text.alias("row_text"))
 
-    def report(self, limit: int, reject_path: str | None) -> LoadReport:
+    def report(self, limit: int, reject_path: str | None) -> tuple[LoadReport, str | None]:
         by_key = self.read - self.faults - self.loaded if self.rejects_keys else 0
         rejected = self.faults + by_key
         if not rejected:
-            return LoadReport(self.sink.name, self.read, self.read, 0, limit)
+            return LoadReport(self.sink.name, self.read, self.read, 0, limit), None
         path = reject_path or self.sink.default_reject_path()
         kinds = ([self.faulty] if self.faults else []) + ([self._key_rejects()] if by_key else [])
         rejects = kinds[0] if len(kinds) == 1 else kinds[0].unionByName(kinds[1])
-        rejects.write.parquet(f"{path}/load_id={uuid.uuid4().hex}")
-        return LoadReport(self.sink.name, self.read, self.read - rejected, rejected, limit, path)
+        kept = f"{path}/load_id={uuid.uuid4().hex}"
+        rejects.write.parquet(kept)
+        return LoadReport(self.sink.name, self.read, self.read - rejected, rejected, limit, path, self.whole), kept
 
-    def publish(self, mode: str) -> None:
+    def publish(self, mode: str, version: int) -> None:
         if mode == "append":
-            self.sink.append(self.accepted())
+            # rows without keys come behind whatever another load did
+            guard = {"after": version} if self.keys and isinstance(self.sink, TableSink) else {}
+            self.sink.append(self.accepted(), **guard)
         else:
             small = self.n_keys <= self.broadcast_keys
             self.sink.upsert(self.picked.drop(COPIES, ROW), self.keys, small, self.null_safe)
 
-    def _park(self, rows: DataFrame, name: str) -> DataFrame:
-        path = f"{self.stage}/{name}"
-        rows.write.parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
+    def _park(self, rows: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict]:
+        """Writes rows out, with counts taken in the stage that writes."""
+        path, seen = f"{self.stage}/{name}", Observation()
+        counted_rows = rows.observe(seen, *[c.alias(n) for n, c in counts.items()]) if counts else rows
+        counted_rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path), seen.get if counts else {}

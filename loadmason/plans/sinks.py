@@ -5,15 +5,20 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import TargetMissing
+from ..errors import CommitConflict, TargetMissing
 from ..functions.types import Target
-from ..operators.keys import BROADCAST_BYTES, any_null, key_bytes, with_keys, without_keys
+from ..operators.keys import any_null, with_keys, without_keys
 from ..operators.schema import check_target
-from ..session import by_age, drop_path, new_path, own_session
+from ..session import drop_empty, drop_file, drop_path, exists, list_files, move_file, new_path
+from .commits import CommitLog, Entry, retried
 
 DEFAULT_BATCH_SIZE = 300
 MERGING_FORMATS = ("delta", "iceberg", "hudi")
@@ -21,8 +26,17 @@ MERGING_FORMATS = ("delta", "iceberg", "hudi")
 KEEP_VERSIONS = 2
 VERSION = "__v_"
 ROWS = "__rows"
-# Partitions named in one statement that drops them.
-DROP_BATCH = 200
+PATH = "__path"
+# Formats whose files Spark writes by path as it does for a table.
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "text")
+# A table without partitions gets a whole new version where at least this share of its files would be written anew.
+WHOLE_SHARE = 0.5
+# Partitions named in one statement.
+STATEMENT_PARTITIONS = 200
+# Files moved at a time.
+MOVERS = 16
+# Ledgers an entry names before they are written as one.
+LEDGERS = 32
 
 
 def effective_batch_size(batch_size: int | str | None) -> int:
@@ -41,8 +55,48 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+@dataclass(frozen=True)
+class Layout:
+    """What the catalog says of a table, read once."""
+
+    location: str
+    provider: str
+    partitions: list[str]
+    buckets: list[str]
+    n_buckets: int
+    plain_options: bool
+
+    @classmethod
+    def of(cls, spark: SparkSession, table: str) -> Layout:
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+        # the lines before the headings are the table's columns, whatever they are called
+        heading = next(i for i, row in enumerate(described) if row.col_name == "# Detailed Table Information")
+        details = {row.col_name: row.data_type for row in reversed(described[heading:])}
+        names = [row.col_name for row in described[:heading]]
+        partitions = names[names.index("# Partition Information") + 2 :] if "# Partition Information" in names else []
+        stored = re.sub(r"[\[\]]|serialization\.format=\d*", "", details.get("Storage Properties") or "")
+        return cls(
+            (details.get("Location") or "").rstrip("/"),
+            (details.get("Provider") or "").lower(),
+            [name for name in partitions if name],
+            [name.replace("``", "`") for name in re.findall("`((?:[^`]|``)+)`", details.get("Bucket Columns") or "")],
+            int(details.get("Num Buckets") or 0),
+            not stored.strip(" ,"),
+        )
+
+    @property
+    def owned(self) -> bool:
+        """Whether files written by path are files of the table."""
+        return bool(self.location) and self.provider in FILE_FORMATS and self.plain_options
+
+
 class TableSink:
-    """A table of the session's catalog."""
+    """A table of the session's catalog.
+
+    Files are written beside the table, entered in its commit log and then
+    moved in, so that a load cut short is either completed by the next one or
+    has never been. Tables of other formats are left to Spark's own writer.
+    """
 
     def __init__(
         self, spark: SparkSession, table: str, max_records_per_file: int | None = None, keep_versions: int = KEEP_VERSIONS
@@ -52,6 +106,10 @@ class TableSink:
         self.max_records_per_file = max_records_per_file
         self.keep_versions = max(1, keep_versions)
         self.target = check_target(spark, table)
+        self.layout = Layout.of(spark, table)
+        # what the next commit says beside its files
+        self.batch: tuple[str, int] | None = None
+        self.ledger: DataFrame | None = None
 
     @property
     def name(self) -> str:
@@ -60,15 +118,9 @@ class TableSink:
     def rows(self) -> DataFrame:
         return self.spark.table(self.table)
 
-    def _detail(self, name: str) -> str | None:
-        """One line of the table's description; the lines before the heading are its columns."""
-        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table}").collect()
-        heading = next(i for i, row in enumerate(described) if row.col_name == "# Detailed Table Information")
-        return next((row.data_type for row in described[heading:] if row.col_name == name), None)
-
     @property
     def location(self) -> str:
-        return self._detail("Location").rstrip("/")
+        return self.layout.location
 
     @property
     def base_location(self) -> str:
@@ -78,69 +130,204 @@ class TableSink:
     def default_reject_path(self) -> str:
         return f"{self.base_location}_rejects"
 
-    def _columns(self, flag: str) -> list[str]:
-        return [c.name for c in self.spark.catalog.listColumns(self.table) if getattr(c, flag)]
-
-    @property
-    def provider(self) -> str:
-        return (self._detail("Provider") or "").lower()
-
     @property
-    def rewritten_whole(self) -> bool:
-        """Whether an upsert writes the whole table anew."""
-        return self.provider not in MERGING_FORMATS and not self._columns("isPartition")
+    def log(self) -> CommitLog:
+        return CommitLog(self.spark, f"{self.base_location}_commits")
+
+    def begin(self) -> tuple[int, Entry | None]:
+        """The last entry of the log. One that was cut short is completed first."""
+        if not self.layout.owned:
+            return 0, None
+        number, entry = self.log.latest()
+        self.layout = Layout.of(self.spark, self.table)
+        if entry is not None and self._unfinished(entry):
+            self._carry_out(entry)
+        return number, entry
+
+    def _unfinished(self, entry: Entry) -> bool:
+        if entry.kind == "version":
+            return self.location != entry.location and bool(entry.versions) and self.location == entry.versions[0]["path"]
+        return entry.loading is not None and exists(self.spark, entry.loading)
+
+    def loaded_batch(self, stream: str) -> int:
+        """The last batch of a stream that reached the table; -1 before the first."""
+        _, entry = self.begin()
+        return -1 if entry is None else entry.batches.get(stream, -1)
+
+    def ledgers(self) -> list[str]:
+        _, entry = self.begin()
+        return [] if entry is None else [f"{self.log.folder}/{name}" for name in entry.ledgers]
 
     def _gathered(self, rows: DataFrame) -> DataFrame:
         """Rows of one partition or bucket brought together, or every task would
         write a file into each. Adaptive execution splits the large groups and
         joins the small ones. Other tables need no shuffle."""
-        partitions, buckets = self._columns("isPartition"), self._columns("isBucket")
-        if partitions:
-            return rows.hint("rebalance", *partitions)
-        if buckets:
-            return rows.hint("rebalance", int(self._detail("Num Buckets")), *buckets)
+        if self.layout.partitions:
+            return rows.hint("rebalance", *self.layout.partitions)
+        if self.layout.buckets:
+            return rows.hint("rebalance", self.layout.n_buckets, *self.layout.buckets)
         return rows
 
-    def append(self, rows: DataFrame, seen: Observation | None = None) -> None:
-        rows = counted(self._gathered(rows), seen)
-        if self.max_records_per_file is None:
-            return rows.write.insertInto(self.table)
-        partitions = self._columns("isPartition")
-        if self._columns("isBucket"):
-            stage = new_path(self.spark, "append")
-            rows.write.parquet(stage)
-            own = self._writing_session()
-            self._gathered(own.read.schema(rows.schema).parquet(stage)).write.insertInto(self.table)
-            drop_path(self.spark, stage)
+    def append(self, rows: DataFrame, seen: Observation | None = None, after: int | None = None) -> None:
+        """Adds the rows; with ``after`` only if that entry is still the log's last."""
+        if not self.layout.owned:
+            if self.max_records_per_file is not None:
+                raise ValueError(f"{self.table}: files of {self.layout.provider or 'this format'} cannot be bounded")
+            return counted(self._gathered(rows), seen).write.insertInto(self.table)
+        loading = f"{self.log.folder}/loading-{uuid.uuid4().hex}"
+        try:
+            self._write(counted(self._gathered(rows), seen), loading)
+            names = list_files(self.spark, loading)
+            if after is None:
+                # whatever came first, these rows come behind it
+                retried(lambda: self._commit("append", loading, names))
+            else:
+                self._commit("append", loading, names, after=after)
+        except BaseException:
+            self._forget(loading)
+            raise
+
+    def _forget(self, loading: str) -> None:
+        """Removes files that no entry has."""
+        _, entry = self.log.latest()
+        if entry is None or entry.loading != loading:
+            drop_path(self.spark, loading)
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        """Files as the table has them, in a folder of their own."""
+        named = rows.toDF(*self.target.names)
+        writer = named.write.format(self.layout.provider)
+        if self.max_records_per_file is not None:
+            writer = writer.option("maxRecordsPerFile", self.max_records_per_file)
+        if self.layout.buckets:
+            # only a table's files carry the number of their bucket; this one is forgotten, its files stay
+            copy = f"{self.table}_{uuid.uuid4().hex}"
+            buckets = self.layout.buckets
+            writer.bucketBy(self.layout.n_buckets, *buckets).sortBy(*buckets).option("path", path).saveAsTable(copy)
+            self.spark.sql(f"DROP TABLE {copy}")
         else:
-            # a path takes options of its own, which insertInto does not
-            named = rows.toDF(*self.target.names)
-            writer = named.write.format(self.provider).mode("append").option("maxRecordsPerFile", self.max_records_per_file)
-            (writer.partitionBy(*partitions) if partitions else writer).save(self.location)
-            if partitions:
-                self.spark.sql(f"MSCK REPAIR TABLE {self.table} ADD PARTITIONS")
+            (writer.partitionBy(*self.layout.partitions) if self.layout.partitions else writer).save(path)
+
+    def _commit(self, kind: str, loading: str | None, add: list[str], after: int | None = None, **changes) -> None:
+        number, last = self.begin()
+        if after is not None and number != after:
+            raise CommitConflict(f"another load has changed {self.table}")
+        last = last or Entry(self.location, "start")
+        batches = {**last.batches, **({self.batch[0]: self.batch[1]} if self.batch else {})}
+        entry = Entry(
+            **{"location": self.location, "versions": last.versions, **changes},
+            kind=kind, loading=loading, add=add, batches=batches, ledgers=self._listed(last.ledgers),
+        )
+        self.log.add(number + 1, entry)
+        self._carry_out(entry)
+
+    def _listed(self, ledgers: list[str]) -> list[str]:
+        """The ledgers with the one of this load; many small ones are written as one."""
+        if self.ledger is None:
+            return ledgers
+        rows, held = self.ledger, ledgers
+        if len(held) >= LEDGERS:
+            rows = rows.unionByName(self.spark.read.schema(rows.schema).parquet(*[f"{self.log.folder}/{name}" for name in held]))
+            held = []
+        name = f"ledger-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.log.folder}/{name}")
+        return [*held, name]
+
+    def _carry_out(self, entry: Entry) -> None:
+        """Makes the table what the entry says; doing it again changes nothing."""
+        if entry.kind == "version":
+            self.spark.sql(f"ALTER TABLE {self.table} SET LOCATION {_literal(entry.location)}")
+            for old in entry.stale:
+                self._drop_version(old)
+        if entry.loading is not None:
+            homes = self._homes({name.rpartition("/")[0] for name in entry.add})
+
+            def move(name: str) -> None:
+                folder, _, file = name.rpartition("/")
+                move_file(self.spark, f"{entry.loading}/{name}", f"{homes[folder]}/{file}")
+
+            with ThreadPoolExecutor(MOVERS) as pool:
+                list(pool.map(move, entry.add))
+                list(pool.map(lambda path: drop_file(self.spark, path, encoded=True), entry.remove))
+            for spec, folder in entry.emptied:
+                if drop_empty(self.spark, folder, encoded=True):
+                    self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION ({spec})")
+            drop_path(self.spark, entry.loading)
+        self.layout = Layout.of(self.spark, self.table)
         self.spark.catalog.refreshTable(self.table)
 
-    def _writing_session(self, **conf: str) -> SparkSession:
-        if self.max_records_per_file is not None:
-            conf["spark__sql__files__maxRecordsPerFile"] = str(self.max_records_per_file)
-        return own_session(self.spark, **conf)
+    def _homes(self, folders: set[str]) -> dict[str, str]:
+        """Where the files of each partition go, which the catalog knows; new partitions are entered."""
+        if not self.layout.partitions:
+            return {folder: self.location for folder in folders}
+        specs = {folder: _spec(folder) for folder in sorted(folders)}
+        places = {folder: self._partition_location(spec) for folder, spec in specs.items()}
+        # only those that are not there, as entering one again may forget its place
+        new = [specs[folder] for folder, place in places.items() if place is None]
+        for start in range(0, len(new), STATEMENT_PARTITIONS):
+            parts = " ".join(f"PARTITION ({spec})" for spec in new[start : start + STATEMENT_PARTITIONS])
+            self.spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS {parts}")
+        return {folder: place or self._partition_location(specs[folder]) for folder, place in places.items()}
+
+    def _partition_location(self, spec: str) -> str | None:
+        try:
+            described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table} PARTITION ({spec})").collect()
+        except AnalysisException as error:
+            if error.getCondition() != "PARTITIONS_NOT_FOUND":
+                raise
+            return None
+        heading = next(i for i, row in enumerate(described) if row.col_name == "# Detailed Partition Information")
+        return next(row.data_type for row in described[heading:] if row.col_name == "Location").rstrip("/")
 
     def upsert(self, latest: DataFrame, keys: Sequence[str], small: bool, null_safe: bool) -> None:
         """Puts ``latest`` (one row per key) over the table's rows.
 
-        Formats with MERGE use it. Other files cannot change, so of a
-        partitioned table the partitions that hold a listed key, or get one,
-        are written anew; any other table gets a whole new version.
+        Formats with MERGE use it. Elsewhere the files that hold a listed key
+        are found by reading nothing but keys, and only those are written anew;
+        where that is most files of a table without partitions, it gets a whole
+        new version. If another load comes first, all of it is done again.
         """
-        if self.provider in MERGING_FORMATS:
+        if self.layout.provider in MERGING_FORMATS:
             return self._merge(latest, keys)
-        partitions = self._columns("isPartition")
-        if partitions:
-            self._rewrite_partitions(latest, keys, partitions, small, null_safe)
-        else:
-            self._new_version(latest, keys, self._columns("isBucket"), small, null_safe)
-        self.spark.catalog.refreshTable(self.table)
+        if not self.layout.owned:
+            raise ValueError(f"{self.table}: rows of this format cannot be replaced")
+        retried(lambda: self._upsert_once(latest, keys, small, null_safe))
+
+    def _upsert_once(self, latest: DataFrame, keys: Sequence[str], small: bool, null_safe: bool) -> None:
+        number, last = self.begin()
+        files = self._files_with(latest, keys, small, null_safe)
+        if not self.layout.partitions and files and len(files) >= WHOLE_SHARE * len(self.rows().inputFiles()):
+            return self._new_version(latest, keys, small, null_safe, number, last)
+        loading = f"{self.log.folder}/loading-{uuid.uuid4().hex}"
+        try:
+            merged = latest
+            if files:
+                held = self.rows().where(F.col("_metadata.file_path").isin([f.path for f in files]))
+                merged = without_keys(held, latest, keys, small, null_safe).unionByName(latest)
+            self._write(self._gathered(merged), loading)
+            names = list_files(self.spark, loading)
+            emptied = []
+            if self.layout.partitions:
+                filled = {_spec(name.rpartition("/")[0]) for name in names}
+                left = {_named(self.layout.partitions, f): f.path.rpartition("/")[0] for f in files}
+                emptied = [[spec, folder] for spec, folder in left.items() if spec not in filled]
+            self._commit("files", loading, names, after=number, remove=[f.path for f in files], emptied=emptied)
+        except BaseException:
+            self._forget(loading)
+            raise
+
+    def _files_with(self, latest: DataFrame, keys: Sequence[str], small: bool, null_safe: bool) -> list[Row]:
+        """The table's files that hold a listed key; as many at most as the table has files."""
+        partitions = self.layout.partitions
+        columns = dict.fromkeys([*keys, *partitions])
+        held = self.rows().select(*columns, F.col("_metadata.file_path").alias(PATH))
+        if set(partitions) <= set(keys) and partitions:
+            # the condition always holds; Spark takes the partitions to scan from a filtered side
+            listed = latest.where(F.xxhash64(*keys).isNotNull())
+            held = self._of_partitions(self._touched(listed, partitions), partitions, held)
+        found = with_keys(held, latest, keys, small, null_safe)
+        named = [F.col(quoted(p)).cast("string").alias(f"p{i}") for i, p in enumerate(partitions)]
+        return found.select(F.col(PATH).alias("path"), *named).distinct().collect()
 
     def _merge(self, latest: DataFrame, keys: Sequence[str]) -> None:
         view = f"latest_{uuid.uuid4().hex}"
@@ -154,109 +341,77 @@ class TableSink:
         finally:
             self.spark.catalog.dropTempView(view)
 
-    def rows_beside(self, listed: DataFrame, keys: Sequence[str], stage: str) -> DataFrame:
+    def rows_beside(self, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
         """The table's rows that may hold a listed key: those of the keys' partitions, where keys tell partitions."""
-        partitions = self._columns("isPartition")
+        partitions = self.layout.partitions
         if not partitions or not set(partitions) <= set(keys):
             return self.rows()
-        return self._of_partitions(self._touched(listed.select(*partitions), f"{stage}/beside"), partitions)
+        return self._of_partitions(self._touched(listed, partitions), partitions, self.rows())
 
-    def _touched(self, partitions: DataFrame, path: str) -> DataFrame:
-        """The distinct partitions, written out, so that they are found once."""
-        counted_rows = partitions.groupBy(*partitions.columns).agg(F.count(F.lit(1)).alias(ROWS))
-        counted_rows.write.parquet(path)
-        return self.spark.read.schema(counted_rows.schema).parquet(path)
+    def _touched(self, listed: DataFrame, partitions: list[str]) -> DataFrame:
+        """The distinct partitions with their number of rows."""
+        return listed.groupBy(*partitions).agg(F.count(F.lit(1)).alias(ROWS))
 
-    def _of_partitions(self, touched: DataFrame, partitions: list[str], rows: DataFrame | None = None) -> DataFrame:
-        """The table's rows (or what was made of them) in these partitions; the scan skips all others.
+    def _of_partitions(self, touched: DataFrame, partitions: list[str], rows: DataFrame) -> DataFrame:
+        """The rows in these partitions; the scan skips all others.
 
         Spark takes the partitions to scan from a broadcast side that a
-        comparison has filtered, so one is stated that always holds.
+        comparison has filtered, so one is stated that always holds. Partitions
+        are as many as the catalog lists at most, and bounded by its names.
         """
-        size, widest, nulls = touched.agg(
-            F.count(F.lit(1)), F.max(key_bytes(touched.schema, partitions)), F.count_if(any_null(partitions))
-        ).head()
-        small = size * (widest or 0) <= BROADCAST_BYTES
         listed = touched.where(F.col(ROWS) >= 1)
-        rows = self.rows() if rows is None else rows
-        found = with_keys(rows, listed.where(~any_null(partitions)), partitions, small, null_safe=False)
-        if nulls:
-            found = found.unionByName(with_keys(rows.where(any_null(partitions)), listed.where(any_null(partitions)), partitions, small))
-        return found
-
-    def _rewrite_partitions(self, latest: DataFrame, keys, partitions: list[str], small: bool, null_safe: bool) -> None:
-        """Writes the touched partitions anew, all of them in one commit.
-
-        The merged rows are staged first, as Spark does not overwrite what it
-        reads. If the final write fails the table is as it was. A partition
-        that lost its last row to another one is dropped afterwards; a run
-        cut short before that is completed by repeating the upsert, as the old
-        rows still bear the batch's keys.
-        """
-        moving = not set(partitions) <= set(keys)
-        named = latest.select(*partitions)
-        if moving:
-            held = self.rows().select(*dict.fromkeys([*keys, *partitions]))
-            named = named.unionByName(with_keys(held, latest, keys, small, null_safe).select(*partitions))
-        stage = new_path(self.spark, "upsert")
-        try:
-            touched = self._touched(named, f"{stage}/touched")
-            current = self._of_partitions(touched, partitions)
-            merged = without_keys(current, latest, keys, small, null_safe).unionByName(latest)
-            merged.write.parquet(f"{stage}/merged")
-            own = self._writing_session(spark__sql__sources__partitionOverwriteMode="dynamic")
-            staged = own.read.schema(merged.schema).parquet(f"{stage}/merged")
-            self._gathered(staged).write.mode("overwrite").insertInto(self.table)
-            self.spark.catalog.refreshTable(self.table)
-            if moving:
-                filled = self.spark.read.schema(merged.schema).parquet(f"{stage}/merged").select(*partitions).distinct()
-                self._drop_partitions(without_keys(touched, filled, partitions, False), partitions)
-        finally:
-            drop_path(self.spark, stage)
-
-    def _drop_partitions(self, emptied: DataFrame, partitions: list[str]) -> None:
-        """Takes partitions out of the catalog and removes their folders."""
-        listed = emptied.select(*partitions).collect()  # names of partitions, which the catalog holds as well
-        if not listed:
-            return
-        placed = self.rows().select(*partitions, F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"))
-        folders = [r.folder for r in self._of_partitions(emptied, partitions, placed).select("folder").distinct().collect()]
-        for start in range(0, len(listed), DROP_BATCH):
-            specs = [", ".join(f"{quoted(p)} = {_literal(row[p])}" for p in partitions) for row in listed[start : start + DROP_BATCH]]
-            self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS {', '.join(f'PARTITION ({s})' for s in specs)}")
-        for folder in folders:
-            drop_path(self.spark, folder, encoded=True)
-
-    def _new_version(self, latest: DataFrame, keys, buckets: list[str], small: bool, null_safe: bool) -> None:
+        filled = with_keys(rows, listed.where(~any_null(partitions)), partitions, True, null_safe=False)
+        nulls = with_keys(rows.where(any_null(partitions)), listed.where(any_null(partitions)), partitions, True)
+        return filled.unionByName(nulls)
+
+    def _new_version(self, latest: DataFrame, keys, small: bool, null_safe: bool, number: int, last: Entry | None) -> None:
         """Writes the merged rows beside the table and points the table at them.
 
         The last ``keep_versions`` versions stay, for readers that have them
-        open; older ones are removed once the table points at the new one. A
-        table bucketed on the keys is merged without shuffling its rows, and
-        stays bucketed.
+        open. Of older ones the files that the table had are removed, and
+        nothing else. A table bucketed on the keys is merged without shuffling
+        its rows, and stays bucketed.
         """
         kept = without_keys(self.rows(), latest, keys, small, null_safe)
-        base = self.base_location
-        path = f"{base}{VERSION}{uuid.uuid4().hex}"
-        options = {} if self.max_records_per_file is None else {"maxRecordsPerFile": self.max_records_per_file}
-        if buckets:
-            count = int(self._detail("Num Buckets"))
-            if set(keys) <= set(buckets):
-                # one row per key, so no bucket of these is large
-                dealt = latest.repartition(count, *buckets)
-            else:
-                dealt = latest.hint("rebalance", count, *buckets)
-            copy = f"{self.table}_{uuid.uuid4().hex}"
-            writer = kept.unionByName(dealt).write.format(self.provider).options(**options).option("path", path)
-            writer.bucketBy(count, *buckets).sortBy(*buckets).saveAsTable(copy)
-            self.spark.sql(f"DROP TABLE {copy}")
-        else:
-            kept.unionByName(latest).write.format(self.provider).options(**options).save(path)
-        self.spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{path}'")
-        versions = [path, *[p for p in by_age(self.spark, f"{base}{VERSION}*") if not p.endswith(path.rsplit("/", 1)[1])]]
-        stale = [p for p in [*versions, base][self.keep_versions :] if re.search(f"{VERSION}[0-9a-f]{{32}}$", p) or p == base]
-        for old in stale:
-            drop_path(self.spark, old)
+        path = f"{self.base_location}{VERSION}{uuid.uuid4().hex}"
+        buckets = self.layout.buckets
+        if buckets and set(keys) <= set(buckets):
+            # one row per key, so no bucket of these is large
+            latest = latest.repartition(self.layout.n_buckets, *buckets)
+        elif buckets:
+            latest = self._gathered(latest)
+        ours = bool(re.search(f"{VERSION}[0-9a-f]{{32}}$", self.location))
+        old = {"path": self.location, "files": None if ours else self.rows().inputFiles()}
+        try:
+            self._write(kept.unionByName(latest), path)
+            versions = [old, *(last.versions if last else [])]
+            here, stale = versions[: self.keep_versions - 1], versions[self.keep_versions - 1 :]
+            # the one before is named as long as the table may still point at it
+            self._commit("version", None, [], after=number, location=path, versions=here or [old], stale=stale)
+        except CommitConflict:
+            drop_path(self.spark, path)
+            raise
+
+    def _drop_version(self, old: dict) -> None:
+        if old["files"] is None:
+            return drop_path(self.spark, old["path"])
+        for file in old["files"]:
+            drop_file(self.spark, file, encoded=True)
+        for name in ("_SUCCESS", "._SUCCESS.crc"):
+            drop_file(self.spark, f"{old['path']}/{name}")
+        drop_empty(self.spark, old["path"])
+
+
+def _spec(folder: str) -> str:
+    """A partition as statements name it, from its folder below the table's."""
+    named = [part.partition("=") for part in folder.split("/")]
+    values = [None if value == "__HIVE_DEFAULT_PARTITION__" else unquote(value) for _, _, value in named]
+    return ", ".join(f"{quoted(unquote(name))} = {_literal(value)}" for (name, _, _), value in zip(named, values, strict=True))
+
+
+def _named(partitions: list[str], row: Row) -> str:
+    """The same from the partition's values as text, ``p0``, ``p1`` and so on."""
+    return ", ".join(f"{quoted(p)} = {_literal(row[f'p{i}'])}" for i, p in enumerate(partitions))
 
 
 def _literal(value) -> str:
@@ -281,7 +436,10 @@ class JdbcSink:
     def name(self) -> str:
         return self.table
 
-    def rows_beside(self, listed: DataFrame, keys: Sequence[str], stage: str) -> DataFrame:
+    def begin(self) -> tuple[int, None]:
+        return 0, None
+
+    def rows_beside(self, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
         return self.rows()
 
     def rows(self) -> DataFrame:
@@ -315,4 +473,8 @@ def create_table(
         parts += f" CLUSTERED BY ({', '.join(map(quoted, bucket_by))}) INTO {int(buckets)} BUCKETS"
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE {table} ({columns}) USING {provider}{parts}{where}")
+    place = Layout.of(spark, table).location
+    if place and not list_files(spark, place):
+        # the log of a table that was here before and is gone
+        drop_path(spark, f"{place}_commits")
     return Target.of(spark.table(table).schema)

@@ -7,6 +7,7 @@ import sys
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
@@ -104,13 +105,95 @@ def mark(spark: SparkSession, path: str) -> None:
     files.create(hadoop_path, True).close()
 
 
-def is_marked(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     hadoop_path, files = _hadoop(spark, path)
     return files.exists(hadoop_path)
 
 
-def by_age(spark: SparkSession, pattern: str) -> list[str]:
-    """The paths that match a pattern, the newest first."""
-    hadoop_path, files = _hadoop(spark, pattern)
-    found = sorted(files.globStatus(hadoop_path) or [], key=lambda f: (-f.getModificationTime(), f.getPath().toString()))
-    return [f.getPath().toString() for f in found]
+def is_marked(spark: SparkSession, path: str) -> bool:
+    return exists(spark, path)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if there is no such folder."""
+    hadoop_path, files = _hadoop(spark, path)
+    if not files.exists(hadoop_path):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(hadoop_path)]
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """All files below a folder that readers see, relative to it."""
+    hadoop_path, files = _hadoop(spark, path)
+    if not files.exists(hadoop_path):
+        return []
+    base, found, out = files.makeQualified(hadoop_path).toString() + "/", files.listFiles(hadoop_path, True), []
+    while found.hasNext():
+        name = found.next().getPath().toString().removeprefix(base)
+        if not any(part.startswith(("_", ".")) and "=" not in part for part in name.split("/")):
+            out.append(name)
+    return out
+
+
+def move_file(spark: SparkSession, source: str, goal: str) -> None:
+    """Moves a file, unless an earlier attempt has."""
+    source_path, files = _hadoop(spark, source)
+    goal_path, _ = _hadoop(spark, goal)
+    if not files.exists(source_path):
+        if not files.exists(goal_path):
+            raise FileNotFoundError(source)
+        return
+    files.mkdirs(goal_path.getParent())
+    if not files.rename(source_path, goal_path) and not files.exists(goal_path):
+        raise OSError(f"{source} could not be moved to {goal}")
+
+
+def drop_file(spark: SparkSession, path: str, encoded: bool = False) -> None:
+    hadoop_path, files = _hadoop(spark, path, encoded)
+    files.delete(hadoop_path, False)
+
+
+def drop_empty(spark: SparkSession, path: str, encoded: bool = False) -> bool:
+    """Removes a folder if nothing but empty folders is in it."""
+    hadoop_path, files = _hadoop(spark, path, encoded)
+    if not files.exists(hadoop_path):
+        return True
+    if files.listFiles(hadoop_path, True).hasNext():
+        return False
+    return files.delete(hadoop_path, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    hadoop_path, files = _hadoop(spark, path)
+    stream = files.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def create_whole(spark: SparkSession, path: str, text: str, draft: str) -> bool:
+    """Makes a file with this text in one step; says False if there is one of that name."""
+    jvm = spark.sparkContext._jvm
+    draft_path, files = _hadoop(spark, draft)
+    stream = files.create(draft_path, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    goal, _ = _hadoop(spark, path)
+    try:
+        if files.getScheme() == "file":
+            # a second name for the file: the only step on a local disk that fails if the name is taken
+            local = [jvm.java.io.File(p.toUri().getPath()).toPath() for p in (goal, draft_path)]
+            jvm.java.nio.file.Files.createLink(*local)
+            return True
+        none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        none[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(goal.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+        context.rename(draft_path, goal, none)
+        return True
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        files.delete(draft_path, False)

@@ -16,15 +16,19 @@ from ..operators.checked import ARRIVAL, Checked, Field, row_text
 from ..operators.schema import check_arity
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str], recursive: bool = False, arrival: bool = False) -> DataFrame:
+def read_lines(
+    spark: SparkSession, paths: str | Sequence[str], recursive: bool = False, arrival: bool = False, files: Sequence[str] | None = None
+) -> DataFrame:
     """The lines of a file, a folder or several of them.
 
     Sub-folders named like ``dt=1`` are read as well, any others with
     ``recursive``. With ``arrival`` each line has its place: file, where its
     stretch of the file starts, and a number that rises within the stretch.
+    With ``files`` only those among them are opened.
     """
-    reader = spark.read.option("recursiveFileLookup", "true") if recursive else spark.read
-    lines = reader.text(paths if isinstance(paths, str) else list(paths))
+    lines = _reader(spark, recursive).text(paths if isinstance(paths, str) else list(paths))
+    if files is not None:
+        lines = lines.where(F.col("_metadata.file_path").isin(list(files)))
     if not arrival:
         return lines.select("value")
     place = F.struct(
@@ -35,6 +39,24 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], recursive: bool
     return lines.select("value", place.alias(ARRIVAL))
 
 
+def listed_files(spark: SparkSession, paths: str | Sequence[str], recursive: bool = False) -> DataFrame:
+    """``path``, ``size`` and ``modified`` of the files that :func:`read_lines` would read; none is opened."""
+    files = _reader(spark, recursive).format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+    names = {"path": "file_path", "size": "file_size", "modified": "file_modification_time"}
+    return files.select(*[F.col(f"_metadata.{name}").alias(short) for short, name in names.items()])
+
+
+def new_files(spark: SparkSession, listed: DataFrame, ledgers: Sequence[str]) -> DataFrame:
+    """The listed files that no ledger has with the same size and time."""
+    if not ledgers:
+        return listed
+    return listed.join(spark.read.schema(listed.schema).parquet(*ledgers), listed.columns, "left_anti")
+
+
+def _reader(spark: SparkSession, recursive: bool):
+    return spark.read.option("recursiveFileLookup", "true") if recursive else spark.read
+
+
 def split_pattern(sep: str) -> str:
     """A regular expression for a literal separator.
 

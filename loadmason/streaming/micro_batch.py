@@ -9,21 +9,29 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.schema import check, check_target
 from ..plans.load import load
-from ..plans.sinks import TableSink
+from ..plans.sinks import MERGING_FORMATS, TableSink
 from ..session import is_marked, mark
 
 DEFAULT_INTERVAL = "10 seconds"
 
 
 def batch_loader(spark: SparkSession, table: str, checkpoint: str, **options) -> Callable[[DataFrame, int], None]:
-    """Loads a batch unless one of its number has been loaded."""
+    """Loads a batch unless one of its number has been loaded.
+
+    The number is part of the commit that adds the rows, so there is no moment
+    between the two. Tables without a commit log get a mark after the load.
+    """
+    stream = checkpoint.rstrip("/")
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        done = f"{checkpoint.rstrip('/')}_loaded/{batch_id}"
-        if is_marked(spark, done):
-            return
-        load(batch, table, **options)
-        mark(spark, done)
+        done = f"{stream}_loaded/{batch_id}"
+        sink = TableSink(batch.sparkSession, table)
+        if sink.layout.owned:
+            if sink.loaded_batch(stream) < batch_id:
+                load(batch, table, batch=(stream, batch_id), **options)
+        elif not is_marked(spark, done):
+            load(batch, table, **options)
+            mark(spark, done)
         # batches run in a session of their own; let the caller's see the new files
         spark.catalog.refreshTable(table)
 
@@ -41,17 +49,18 @@ def load_stream(
     """Starts loading a stream into a table; takes the options of :func:`load`.
 
     ``every`` is the trigger interval; None loads what there is and stops. The
-    schema is checked before the stream starts. Each batch leaves a mark beside
-    the checkpoint once it is loaded, and a batch that runs again adds nothing.
-    Only a driver lost between the write and the mark may append a batch twice;
-    an upsert is the same either way.
+    schema is checked before the stream starts. A batch is committed together
+    with its number, and one that runs again adds nothing, wherever the driver
+    was lost. The stream goes by its checkpoint's name there.
 
-    An upsert into a table that has to be written anew as a whole, every batch,
-    is refused unless ``rewrite_whole`` says that this is wanted.
+    An upsert into a table without partitions is refused unless
+    ``rewrite_whole`` says that it is wanted: batches whose keys lie in most
+    of its files would write all of it anew, each time.
     """
     spark = stream.sparkSession
     check(stream.schema, check_target(spark, table), options.get("coerce", "strict"))
-    if options.get("mode") == "upsert" and not rewrite_whole and TableSink(spark, table).rewritten_whole:
+    layout = TableSink(spark, table).layout
+    if options.get("mode") == "upsert" and not rewrite_whole and layout.provider not in MERGING_FORMATS and not layout.partitions:
         raise ValueError(f"every batch would write all of {table} anew: partition it, use a format with MERGE, or set rewrite_whole")
     load_batch = batch_loader(spark, table, checkpoint, **options)
     writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)

@@ -324,19 +324,6 @@ def test_a_failed_write_leaves_a_partitioned_table_as_it_was(spark, table, monke
     assert rows(spark.table(name)) == [(1, "b", "y"), (2, "a", "y")]
 
 
-def test_an_upsert_cut_short_is_completed_by_repeating_it(spark, table, monkeypatch):
-    name = table("k INTEGER, v STRING, p STRING", partition_by=["p"])
-    lm.load(spark.createDataFrame([(1, "a", "x"), (2, "a", "y")], P), name)
-    batch = spark.createDataFrame([(1, "b", "y")], P)
-    drop = TableSink._drop_partitions
-    monkeypatch.setattr(TableSink, "_drop_partitions", lambda self, *args: 1 / 0)
-    with pytest.raises(ZeroDivisionError):
-        lm.load(batch, name, mode="upsert", keys=["k"])
-    monkeypatch.setattr(TableSink, "_drop_partitions", drop)
-    lm.load(batch, name, mode="upsert", keys=["k"])
-    assert rows(spark.table(name)) == [(1, "b", "y"), (2, "a", "y")]
-
-
 @pytest.mark.parametrize("value", ["it's", "a b:c/d%", "ü", None, "\\"])
 def test_partitions_that_lose_all_rows_are_dropped(spark, table, value):
     name = table("k INTEGER, v STRING, p STRING", partition_by=["p"])
