@@ -77,6 +77,7 @@ def load(
     batch_size: int | str | None = None,
     keep_versions: int = KEEP_VERSIONS,
     batch: tuple[str, int] | None = None,
+    stop_early: bool = True,
 ) -> LoadReport:
     """Loads a frame into a catalog table, matching columns by position.
 
@@ -89,6 +90,10 @@ def load(
     not above zero mean the default of 300; ``max_records_per_file`` is the
     same without a default.
 
+    Where rows may be rejected, a task that alone finds clearly more faults
+    than the limit ends the load at once, with its first rejects kept. Without
+    ``stop_early`` all rows are read and all rejects kept before it ends.
+
     ``batch`` names a stream and the number of its batch, which the commit
     notes together with the rows; :func:`load_stream` uses it.
     """
@@ -97,7 +102,7 @@ def load(
     sink = TableSink(df.sparkSession, table, max_records_per_file, keep_versions)
     sink.batch = batch
     checked = convert_frame(df, sink.target, coerce, date_format, exact_decimals)
-    return run_load(df.sparkSession, checked, sink, mode, keys, order_by, on_error, max_errors, reject_path, date_format)
+    return run_load(df.sparkSession, checked, sink, mode, keys, order_by, on_error, max_errors, reject_path, date_format, stop_early)
 
 
 def store(df: DataFrame, table: str, **options) -> LoadReport:
@@ -151,6 +156,7 @@ def load_file(
     recursive: bool = False,
     keep_versions: int = KEEP_VERSIONS,
     once: bool = False,
+    stop_early: bool = True,
 ) -> LoadReport:
     """Loads delimited text into a catalog table.
 
@@ -158,7 +164,8 @@ def load_file(
     last) in the file counts; files are taken in the order of their names.
 
     Where lines may be rejected the files are read in growing waves, and a
-    wave that reaches the fault limit is the last. With ``once`` files are left
+    wave that reaches the fault limit is the last, unless ``stop_early`` is
+    False; see :func:`load`. With ``once`` files are left
     out that this table's commit log lists with the same path, size and time:
     a load that is repeated adds nothing, one that was cut short goes on.
     """
@@ -174,17 +181,17 @@ def load_file(
         names = [r.path for r in sink.ledger.select("path").collect()]
     else:
         # few files are one wave, whatever they are called
-        many = on_error == "reject" and len(read_lines(spark, paths, recursive).inputFiles()) > first_wave(spark)
+        many = on_error == "reject" and stop_early and len(read_lines(spark, paths, recursive).inputFiles()) > first_wave(spark)
         names = [r.path for r in listed_files(spark, paths, recursive).select("path").collect()] if many else []
     try:
         if once and not names:
             return LoadReport(table, 0, 0, 0, effective_limit(max_errors))
-        parts = waves(spark, names) if on_error == "reject" else [names]
+        parts = waves(spark, names) if on_error == "reject" and stop_early else [names]
         if not once and len(parts) < 2:
             parts = [None]
         lines = [read_lines(spark, paths, recursive, bool(keys), part) for part in parts]
         checked = [check_lines(part, sink.target, sep, date_format) for part in lines]
-        return run_load(spark, checked, sink, mode, keys, order_by, on_error, max_errors, reject_path, date_format)
+        return run_load(spark, checked, sink, mode, keys, order_by, on_error, max_errors, reject_path, date_format, stop_early)
     finally:
         if once:
             drop_path(spark, stage)
@@ -214,6 +221,7 @@ def run_load(
     max_errors: int | None,
     reject_path: str | None,
     date_format: str | None = None,
+    stop_early: bool = True,
 ) -> LoadReport:
     """Loads checked rows; several of them are waves of one load, staged one after another."""
     waves = [checked] if isinstance(checked, Checked) else list(checked)
@@ -235,7 +243,7 @@ def run_load(
     stage = new_path(spark, "load")
     try:
         batch = _Batch(spark, stage, sink, list(keys), list(order_by), pattern_or_default(date_format))
-        batch.stage_rows(waves, rejecting, bool(keys) and (mode == "append" or first.arrives), limit, reject_path)
+        batch.stage_rows(waves, rejecting, bool(keys) and (mode == "append" or first.arrives), limit, reject_path, stop_early)
         return retried(lambda: batch.finish(mode, limit, reject_path))
     finally:
         drop_path(spark, stage)
@@ -273,13 +281,13 @@ class _Batch:
         self.broadcast_keys, self.null_safe, self.arrives = 1, True, False
         self.rejects_keys = False
 
-    def stage_rows(self, waves: list[Checked], rejecting: bool, numbered: bool, limit: int, reject_path: str | None) -> None:
+    def stage_rows(self, waves: list[Checked], rejecting: bool, numbered: bool, limit: int, reject_path: str | None, stop_early: bool) -> None:
         """Writes the rows out, counting in the same pass; stops after the wave that reaches the limit."""
         self.arrives = waves[0].arrives
         token, paths, widest, null_keys, schema = uuid.uuid4().hex, [], 0, 0, None
         for number, checked in enumerate(waves):
             rows = checked.flagged(numbered) if rejecting else checked.failing(numbered)
-            if rejecting:
+            if rejecting and stop_early:
                 rows = rows.withColumn(FAULT, stopping(limit, token))
             if numbered:
                 # written out, the numbers are fixed; they tell equal rows apart

@@ -17,6 +17,7 @@ import loadmason as lm
 from loadmason.functions.digests import md5_base64, md5_bytes, md5_uuid
 from loadmason.operators.rows import fingerprint
 from loadmason.session import new_path, tune
+from loadmason.streaming.micro_batch import batch_loader
 
 QUERIES = {}
 SQL = {}
@@ -702,18 +703,14 @@ def store_format(spark, folder):
     return plain(spark.table(table))
 
 
-@query(
-    """SELECT rows_in_file, count(*) AS n_files FROM (
-         SELECT count(*) AS rows_in_file FROM (SELECT (row_number() OVER () - 1) // 300 AS file FROM orders) GROUP BY file)
-       GROUP BY rows_in_file"""
-)
+@query("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_larger FROM orders")
 def batch_size(spark, folder):
-    """Rows stored in batches of the default size, from one task."""
+    """Rows stored in batches of the default size, from as many tasks as there are: all of them, and no file is larger."""
     orders = read(spark, folder, "orders")
     table = fresh_table(spark, "batches", orders.schema)
-    lm.store(orders.coalesce(1), table, batch_size=0)
-    files = spark.table(table).groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("rows_in_file"))
-    return files.groupBy("rows_in_file").agg(F.count(F.lit(1)).alias("n_files"))
+    lm.store(orders, table, batch_size=0)
+    files = spark.table(table).groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("n"))
+    return files.agg(F.sum("n").alias("n_rows"), F.count_if(F.col("n") > 300).alias("n_larger"))
 
 
 @query("SELECT * FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT * FROM orders WHERE o_orderkey % 2 = 1")
@@ -829,16 +826,73 @@ def upsert_moved_partition(spark, folder):
          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events) WHERE n = 1"""
 )
 def upsert_file_order(spark, folder):
-    """A file whose keys repeat: the last line of a key stays, though it need not be the greatest."""
+    """Files whose keys repeat: the last line of a key stays, though it need not be the greatest."""
     events = read(spark, folder, "events")
     path = new_path(spark, "events-in-order")
     lines = lm.render(events.orderBy("event_id").select("user_id", "event_type", "event_id"))
-    lines.coalesce(1).write.text(path)
+    # parts are named in the order of their lines
+    lines.write.text(path)
     table = fresh_table(spark, "ordered", "user_id BIGINT, event_type STRING, event_id BIGINT")
     lm.load_file(spark, path, table, mode="upsert", keys=["user_id"])
     return spark.table(table)
 
 
+@query(
+    """SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 1000 = 0 THEN 'N' ELSE o_orderstatus END AS o_orderstatus FROM orders
+       UNION ALL SELECT -o_orderkey - 1, o_custkey, 'N' FROM orders WHERE o_orderkey % 1000 = 0"""
+)
+def upsert_by_file(spark, folder):
+    """A few keys of a table of many files, some of them new: only the files that hold one are written anew."""
+    orders = read(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    table = fresh_table(spark, "by_file", orders.schema)
+    lm.load(orders.repartitionByRange(40, "o_orderkey"), table)
+    few = orders.where("o_orderkey % 1000 = 0").withColumn("o_orderstatus", F.lit("N"))
+    lm.load(few.unionByName(few.withColumn("o_orderkey", -F.col("o_orderkey") - 1)), table, mode="upsert", keys=["o_orderkey"])
+    return plain(spark.table(table))
+
+
+@query("SELECT o_orderkey, o_custkey, true AS stopped FROM orders")
+def early_stop(spark, folder):
+    """A load that finds nothing but faults stops before it has read everything; the table keeps the rows it had."""
+    orders = read(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    table = fresh_table(spark, "stopped", orders.schema)
+    lm.load(orders, table)
+    path = new_path(spark, "bad-lines")
+    bad = orders.select(F.concat(F.lit("x"), "o_orderkey"), "o_custkey")
+    lm.render(bad).repartition(100).write.text(path)
+    try:
+        lm.load_file(spark, path, table, on_error="reject", max_errors=100)
+        stopped = False
+    except lm.LoadAborted as aborted:
+        kept = spark.read.parquet(aborted.report.reject_path).count()
+        stopped = not aborted.report.whole and 100 <= kept < orders.count()
+    return plain(spark.table(table)).withColumn("stopped", F.lit(stopped))
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def load_once(spark, folder):
+    """Files loaded in two runs, the second of which finds the first one's files again."""
+    events = read(spark, folder, "events").select("event_id", "user_id", "event_type")
+    table = fresh_table(spark, "once", events.schema)
+    path = new_path(spark, "arriving")
+    for rest in (0, 1, None):
+        if rest is not None:
+            lm.render(events.where(F.pmod("event_id", F.lit(2)) == rest)).write.mode("append").text(path)
+        lm.load_file(spark, path, table, once=True)
+    return plain(spark.table(table))
+
+
+@query("SELECT event_id, user_id FROM events")
+def batch_replayed(spark, folder):
+    """Batches of a stream that come again after their commit add nothing."""
+    events = read(spark, folder, "events").select("event_id", "user_id")
+    table = fresh_table(spark, "replayed", events.schema)
+    run = batch_loader(spark, table, new_path(spark, "replayed-checkpoint"))
+    for number in (0, 0, 1, 0, 1):
+        run(events.where(F.pmod("event_id", F.lit(2)) == number), number)
+    return plain(spark.table(table))
+
+
 @query(
     """SELECT 'repeated key' AS cause, user_id || '|' || event_type || '|' || event_id AS row_text FROM (
          SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS n FROM events) WHERE n > 1
@@ -911,7 +965,7 @@ def load_with_rejects(spark, folder):
         table, rejects = fresh_table(spark, "events", BAD_EVENTS), new_path(spark, "rejects")
         outcome = "loaded"
         try:
-            lm.load_file(spark, path, table, on_error="reject", max_errors=limit, reject_path=rejects)
+            lm.load_file(spark, path, table, on_error="reject", max_errors=limit, reject_path=rejects, stop_early=False)
         except lm.LoadAborted:
             outcome = "aborted"
         for rows, loaded in ((spark.table(table), 1), (spark.read.parquet(rejects), 0)):
