@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,10 @@ from ..functions.types import Target
 from .schema import check_arity
 
 
+# Buckets of keys that a level of digests tells apart.
+DIGEST_BUCKETS = 4096
+
+
 def align_by_position(df: DataFrame, target) -> DataFrame:
     """The same columns under the target's names; source names do not matter."""
     target = Target.of(target)
@@ -42,15 +46,54 @@ def row_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def key_diff(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def differing(left: DataFrame, right: DataFrame, keys: Sequence[str], levels: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Both frames without most rows that they share, told apart by digests of buckets of keys.
+
+    A digest is the number of a bucket's rows and 128 bits of sums of their
+    hashes, so the order of rows plays no part and equal rows count as often as
+    they come. What is shuffled is one row a bucket and task. Only buckets whose
+    digests differ go on to the next level, which cuts each of them into as
+    many again. Two buckets that differ have equal digests once in 2^128 times.
+    """
+    names, keys = left.columns, list(keys)
+    if len(right.columns) != len(names):
+        raise SchemaMismatch(f"mismatched column counts: {len(names)} and {len(right.columns)}")
+    sides = [left, right.toDF(*names)]
+    for level in range(levels):
+        bucket = F.pmod(F.xxhash64(F.lit(level), *keys, *[F.col(k).isNull() for k in keys]), F.lit(DIGEST_BUCKETS))
+        both = _halves(sides[0], bucket, 1).unionAll(_halves(sides[1], bucket, -1))
+        sums = both.groupBy("__bucket").agg(*[F.sum(c).alias(c) for c in both.columns if c != "__bucket"])
+        unequal = reduce(or_, [F.col(c) != 0 for c in sums.columns if c != "__bucket"])
+        # as many as there are buckets at most
+        listed = F.broadcast(sums.where(unequal).select("__bucket"))
+        sides = [side.withColumn("__bucket", bucket).join(listed, "__bucket", "left_semi").select(*names) for side in sides]
+    return sides[0], sides[1]
+
+
+def _halves(rows: DataFrame, bucket: Column, sign: int) -> DataFrame:
+    """The bucket of each row, and its digest in parts whose sums do not overflow."""
+    columns = [F.col(c) for c in rows.columns]
+    nulls = [c.isNull() for c in columns]
+    hashed = rows.select(bucket.alias("__bucket"), *[F.xxhash64(F.lit(salt), *columns, *nulls).alias(f"__h{salt}") for salt in (1, 2)])
+    parts = [part for h in ("__h1", "__h2") for part in (F.shiftright(h, 32), F.col(h).bitwiseAND(F.lit((1 << 32) - 1)))]
+    return hashed.select(
+        "__bucket", F.lit(sign).cast("bigint").alias("__n"), *[(part * sign).cast("bigint").alias(f"__s{i}") for i, part in enumerate(parts)]
+    )
+
+
+def key_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], digest_levels: int = 0) -> DataFrame:
     """Keys whose rows differ: added, removed or changed, and which columns changed.
 
     Rows found on both sides are cancelled out first. ``columns`` is filled
-    where the key has exactly one differing row on each side.
+    where the key has exactly one differing row on each side. For large tables
+    with few differences ``digest_levels`` reads them that many times more and
+    shuffles only rows near a difference; see :func:`differing`.
     """
     keys = list(keys)
+    if digest_levels:
+        left, right = differing(left, right, keys, digest_levels)
     rest = [c for c in left.columns if c not in keys]
-    differing = row_diff(left, right)
+    unshared = row_diff(left, right)
     on_left = F.col("only_in") == "left"
     sides = [
         F.sum(F.when(on_left, F.col("copies")).otherwise(0)).alias("left_rows"),
@@ -60,7 +103,7 @@ def key_diff(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFram
     for index, name in enumerate(rest):
         sides.append(F.max(F.when(on_left, F.col(name))).alias(f"__left{index}"))
         sides.append(F.max(F.when(~on_left, F.col(name))).alias(f"__right{index}"))
-    per_key = differing.groupBy(*keys).agg(*sides)
+    per_key = unshared.groupBy(*keys).agg(*sides)
     changed = F.concat_ws(
         ",",
         *[

@@ -616,6 +616,21 @@ def key_diff(spark, folder):
     return lm.key_diff(orders, altered.unionByName(added), ["o_orderkey"])
 
 
+@query(
+    """SELECT o_orderkey, 'changed' AS change, 'o_totalprice' AS columns, 1::bigint AS left_rows, 1::bigint AS right_rows
+       FROM orders WHERE o_orderkey % 1000 = 7
+       UNION ALL SELECT o_orderkey, 'removed', NULL, 1, 0 FROM orders WHERE o_orderkey % 1000 = 8"""
+)
+def key_diff_digests(spark, folder):
+    """Few differences in a large table, found by digests of buckets before any row is shuffled."""
+    orders = read(spark, folder, "orders")
+    key = F.col("o_orderkey")
+    altered = orders.filter(key % 1000 != 8).withColumn(
+        "o_totalprice", F.when(key % 1000 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    )
+    return lm.key_diff(orders, altered, ["o_orderkey"], digest_levels=2)
+
+
 @query(
     """SELECT l_returnflag, count(*) AS n_rows, count(DISTINCT (l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
               l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)) AS n_fingerprints

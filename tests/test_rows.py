@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 import loadmason as lm
 from loadmason.functions.digests import md5_base64, md5_bytes, md5_uuid
-from loadmason.operators.rows import fingerprint
+from loadmason.operators.rows import differing, fingerprint
 
 
 def test_align_by_position(spark):
@@ -78,3 +78,23 @@ def test_staging_checks_its_rows(spark, tmp_path):
             lm.write_staged(df, str(tmp_path / "s"), target)
     with pytest.raises(ValueError):
         lm.write_staged(df, str(tmp_path / "s"), mode="append")
+
+
+@pytest.mark.parametrize("levels", [1, 2])
+def test_digests_give_the_same_differences(spark, levels):
+    data = [(i % 40 if i % 9 else None, f"v{i % 7}", i / 2) for i in range(300)] * 2
+    left = spark.createDataFrame(data, "k int, v string, x double").repartition(3)
+    right = spark.createDataFrame([*data[5:], (3, "new", None), (None, None, -0.0), (3, "new", None)], "k int, v string, x double")
+    assert rows(lm.key_diff(left, right, ["k"], digest_levels=levels)) == rows(lm.key_diff(left, right, ["k"]))
+    assert lm.key_diff(left, left, ["k", "v"], digest_levels=levels).count() == 0
+
+
+def test_digests_leave_out_most_shared_rows(spark):
+    left = spark.range(50_000).select("id", (F.col("id") % 3).alias("v"))
+    right = left.withColumn("v", F.when(F.col("id") == 777, 9).otherwise(F.col("v")))
+    one, two = (differing(left, right, ["id"], levels) for levels in (1, 2))
+    assert 1 <= one[0].count() < 60 and one[0].count() == one[1].count()
+    assert 1 <= two[0].count() <= 3
+    plan = one[0]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert rows(lm.key_diff(left, right, ["id"], digest_levels=2)) == [(777, "changed", "v", 1, 1)]
