@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import new_path
+from ..session import drop_path, new_path
 
 # Texts are taken in slices of about this many bytes, so that the arrays made
 # for a slice stay small. A single longer text is a slice of its own.
@@ -29,15 +31,36 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return small_batches(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
-def park(df: DataFrame, label: str) -> DataFrame:
+def park(df: DataFrame, label: str, seen: tuple | None = None) -> DataFrame:
     """Writes rows once in the shared folder and reads them back.
 
     Whatever follows starts from files every executor can reach, so a lost
-    executor costs no earlier step. The files stay until the folder is cleared.
+    executor costs no earlier step. The files stay until the folder is cleared,
+    or ``release`` says that nothing will read them again. ``seen`` holds an
+    observation and what it counts in the stage that writes.
     """
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df if seen is None else df.observe(*seen)).write.parquet(path)
+    parked = df.sparkSession.read.schema(df.schema).parquet(path)
+    parked.parked_at = path
+    return parked
+
+
+def release(*parked: DataFrame) -> None:
+    """Removes the files of parked rows of which nothing lazy is left."""
+    for df in parked:
+        drop_path(df.sparkSession, df.parked_at)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def give_back() -> None:
+    """Returns memory that is free again to the system: the worker goes on to other tasks and stays small between them."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform.startswith("linux"):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -52,3 +75,4 @@ def text_slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterat
             size += len(t) + 1
         if start < len(texts):
             yield batch.slice(start), texts[start:]
+    give_back()

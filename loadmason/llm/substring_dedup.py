@@ -37,11 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import park, text_slices
-from .text_arrays import TextArrays, _Powers, mix
+from .shared_keys import narrow, wide
+from .text_arrays import SPACE, TextArrays, _Powers, mix
 
 WINDOW = 13
 BUNDLE_BYTES = 256 << 10
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 # A slice numbers its documents in 16 bits.
 SLICE_DOCS = 1 << 16
 # Text for each bucket: about a million windows.
@@ -104,20 +105,6 @@ class Slice:
         return np.cumsum(steps[:-1]) > 0
 
 
-def _narrow(keys: np.ndarray) -> bytes:
-    """Sorted hashes as differences of as few bytes as the largest one needs."""
-    steps = np.diff(keys)
-    width = 8 if len(steps) and int(steps.max()) >> 48 else 6
-    return bytes([width]) + keys[:1].tobytes() + steps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
-
-
-def _wide(data: bytes) -> np.ndarray:
-    width, first = data[0], np.frombuffer(data, np.uint64, 1, 1)
-    steps = np.zeros(((len(data) - 9) // width, 8), np.uint8)
-    steps[:, :width] = np.frombuffer(data, np.uint8, offset=9).reshape(-1, width)
-    return np.cumsum(np.concatenate([first, steps.view(np.uint64).ravel()]), dtype=np.uint64)
-
-
 def bundles(docs: DataFrame) -> DataFrame:
     """The documents in compressed bundles: ``slice``, the bundle's number ``at`` in it, ``bytes`` of text and ``payload``."""
 
@@ -165,7 +152,7 @@ def dealt_windows(bundled: DataFrame, buckets: int, size: int) -> DataFrame:
         one = _opened(payloads, size)
         for bucket, part in one.buckets(buckets):
             used, least = np.unique(one.least[part], return_inverse=True)
-            blobs = [_narrow(one.keys[part]), one.checks[part].tobytes(), one.ids[used].tobytes(), least.astype(np.uint16).tobytes()]
+            blobs = [narrow(one.keys[part]), one.checks[part].tobytes(), one.ids[used].tobytes(), least.astype(np.uint16).tobytes()]
             yield pa.RecordBatch.from_arrays(
                 [*[pa.array([x], pa.int64()) for x in (bucket, name, at, len(payloads))], *[pa.array([b], pa.binary()) for b in blobs]],
                 names=[c.split()[0] for c in _DEALT.split(", ")],
@@ -192,7 +179,7 @@ def earlier_elsewhere(dealt: DataFrame) -> DataFrame:
     sorted_rows = dealt.repartition("bucket").sortWithinPartitions("bucket", "slice", "at")
 
     def answers(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-        keys = [_wide(r["keys"]) for r in rows]
+        keys = [wide(r["keys"]) for r in rows]
         checks = np.concatenate([np.frombuffer(r["checks"], np.uint16) for r in rows])
         docs = np.concatenate([np.frombuffer(r["docs"], np.int64)[np.frombuffer(r["least"], np.uint16)] for r in rows])
         bounds = np.cumsum([0, *map(len, keys)])
@@ -301,18 +288,15 @@ def _rows(one: Slice, bits: dict[int, bytes], buckets: int) -> pa.RecordBatch:
 def _kept_texts(arrays: TextArrays, gone: np.ndarray) -> pa.Array:
     """The words that stay, one space between two of them, as strings."""
     kept = np.flatnonzero(~gone)
-    start, end = arrays.word_start[kept], arrays.word_end[kept]
-    length = end - start + 1  # a word and the space behind it
-    after = np.cumsum(length)
-    out = np.full(int(after[-1]) if len(after) else 0, 0x20, np.uint8)
-    source = np.repeat(start - (after - length), length) + np.arange(len(out))
-    last = np.zeros(len(out), bool)
-    last[after - 1] = True
-    out[~last] = arrays.data[source[~last]]
-    # the last space of each text goes
     bounds = np.searchsorted(kept, arrays.word_bounds)
-    filled = np.diff(bounds) > 0
-    drop = np.zeros(len(out), bool)
-    drop[after[bounds[1:][filled] - 1] - 1] = True
-    ends = np.concatenate([[0], after])[bounds] - np.concatenate([[0], np.cumsum(filled)])
-    return pa.StringArray.from_buffers(len(filled), pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(out[~drop].tobytes()))
+    start, end = arrays.word_start[kept], arrays.word_end[kept]
+    steps = np.zeros(len(arrays.data) + 2, np.int8)
+    steps[start] += 1
+    # with a word stays what follows it, as a space, but not behind the last word of a text
+    after = end + 1
+    after[bounds[1:][np.diff(bounds) > 0] - 1] -= 1
+    steps[after] -= 1
+    stays = np.cumsum(steps[:-2], dtype=np.int8) > 0
+    data = np.where(SPACE[arrays.data], np.uint8(0x20), arrays.data)[stays]
+    sizes = np.concatenate([[0], np.cumsum(after - start)])[bounds]
+    return pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(sizes.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes()))
