@@ -12,7 +12,7 @@ folder with
 
 Spark writes all of it, so a lost executor's files are made again. Documents
 lie in ascending ``doc_id`` order (null first; rows that share an id in order
-of their text). A null text is an empty document, whose ids are the
+of a hash of their text). A null text is an empty document, whose ids are the
 end id alone. An empty table gives an empty file set.
 """
 
@@ -38,6 +38,7 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 SAMPLE_DOCS = 400
 SAMPLE_CHARS = 20_000
+SAMPLE_STRETCHES = 4
 DICTIONARY_BYTES = 32 * 1024
 SHARD_BYTES = 1 << 20
 LEVEL = 3
@@ -58,10 +59,15 @@ def id_width(path: str, end_id: int) -> int:
 
 
 def train_dictionary(docs: DataFrame, path: str, width: int, end_id: int, sample_docs: int = SAMPLE_DOCS) -> bytes:
-    """A dictionary from the beginnings of at most ``sample_docs`` documents, chosen by a hash of their id."""
-    every = max(1, docs.count() // sample_docs)
-    chosen = docs.where((F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0) & F.col("text").isNotNull())
-    rows = chosen.select(F.substring("text", 1, SAMPLE_CHARS).alias("text")).limit(sample_docs).collect()
+    """A dictionary from stretches of at most ``sample_docs`` documents, those with the smallest hashes of id and text."""
+    size = SAMPLE_CHARS // SAMPLE_STRETCHES
+    # stretches from all over a text; of a short one all of it
+    apart = F.greatest(F.lit(size), F.floor(F.length("text") / SAMPLE_STRETCHES)).cast("int")
+    stretches = [F.substring("text", F.lit(k) * apart + 1, F.lit(size)) for k in range(SAMPLE_STRETCHES)]
+    chosen = docs.where(F.col("text").isNotNull()).select(F.xxhash64("doc_id", "text").alias("draw"), F.concat(*stretches).alias("text"))
+    # the numbers first, or each task would send so many texts
+    last = chosen.select("draw").orderBy("draw").limit(sample_docs).agg(F.max("draw")).head()[0]
+    rows = chosen.where(F.col("draw") <= last).orderBy("draw", "text").limit(sample_docs).collect()
     samples = [a.astype(f"<u{width}").tobytes() for a in encode_texts([r.text.encode() for r in rows], path, end_id)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
@@ -107,8 +113,10 @@ def write_token_files(
             yield _shard(part, seq, before, held, digest)
 
     # in order before they are encoded, so that a text is encoded once
-    in_order = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    in_order.mapInArrow(shards, _SHARD).write.parquet(f"{folder}/shards")
+    order = ["doc_id", "tie", "text"]
+    # with the hash, an id of very many rows is dealt over several tasks
+    in_order = docs.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie").sortWithinPartitions(*order)
+    in_order.select("doc_id", "text").mapInArrow(shards, _SHARD).write.parquet(f"{folder}/shards")
 
     # one row for each task that wrote, whatever the number of documents
     written = spark.read.parquet(f"{folder}/shards")

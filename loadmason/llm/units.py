@@ -12,6 +12,8 @@ the ids each encodes to.
 from __future__ import annotations
 
 import os
+import sys
+import types
 from collections.abc import Callable
 from itertools import chain
 
@@ -21,7 +23,7 @@ from tokenizers import Tokenizer
 from .text_arrays import byte_table, span_hashes
 
 # About 40 bytes each.
-STORED_PIECES = 2_000_000
+STORED_PIECES = 1_000_000
 
 # ASCII white space in the widest sense.
 _ASCII_SPACE = np.zeros(256, bool)
@@ -137,17 +139,25 @@ def encode_whole(texts: list[bytes], store: PieceStore) -> list[np.ndarray]:
     return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
-_STORES: dict[str, PieceStore] = {}
+def worker_stores() -> dict:
+    """What a Python worker keeps from one task to the next.
+
+    This code is sent along with each task, so its own names are new every
+    time; a module of that name in the worker is not. What is stored never
+    changes a result, it only saves finding it again.
+    """
+    return vars(sys.modules.setdefault("_loadmason_worker", types.ModuleType("_loadmason_worker"))).setdefault("stores", {})
 
 
 def tokenizer_store(path: str) -> PieceStore:
-    """The store of a tokenizer's pieces; there is one for each task, or for a worker that has the package installed."""
-    if path not in _STORES:
+    """The store of a tokenizer's pieces; there is one for each worker."""
+    stores = worker_stores()
+    if path not in stores:
         # Spark already runs a task on every core
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = Tokenizer.from_file(path)
-        _STORES[path] = PieceStore(lambda pieces: encode_pieces(tokenizer, pieces))
-    return _STORES[path]
+        stores[path] = PieceStore(lambda pieces: encode_pieces(tokenizer, pieces))
+    return stores[path]
 
 
 def encode_pieces(tokenizer: Tokenizer, pieces: list[bytes]) -> list:
