@@ -37,8 +37,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .classes import grouped, groups_of_rows
-from .common import park, text_slices
+from .common import park, quoted, release, text_slices
 from .components import components
+from .shared_keys import KeyFilter, free_names, shared_key_links
 from .text_arrays import TextArrays, mix
 from .tiles import tile_links, tile_tasks
 
@@ -178,18 +179,18 @@ def jaccard_join(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int = D
 def _linked_classes(docs: DataFrame, size: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """The sets, and their classes (``h1``, ``h2``) with ``n_links`` and ``first``: the smallest document that links lead to, by its id and the hash of its text."""
     sets = shingle_sets(docs, size, num, den).withColumn("row", F.monotonically_increasing_id())
-    sets = park(sets, "shingle-sets")
-    known = sets.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
+    keyed = park(sets, "part-keys")
+    sets = park(keyed.drop("keys"), "shingle-sets")
+    some = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    known = sets.where(some)
     # a class is numbered by its first row, as ids may repeat with other texts
     classes = known.groupBy("n_shingles", "h1", "h2")
-    keyed = classes.agg(F.min("row").alias("id"), F.any_value("keys").alias("keys"))
     # a group is connected through its smallest member; its pairs are never written
-    held = keyed.select("id", F.explode("keys").alias("key"))
-    # the keys of several classes are written out, so that Spark can split the part of a hot one in the join
-    shared = held.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("last")).where("low < last")
-    shared = park(shared.select(F.col("key").alias("__key"), "low"), "shared-keys")
-    lowest = held.join(shared, F.col("key") == F.col("__key")).select("id", "low")
-    candidates = components(lowest.where("low < id").distinct())
+    links = park(shared_key_links(keyed.where(some).select(F.col("h1").alias("owner"), "keys")), "shared-keys")
+    release(keyed)
+    # half the hash of a set tells the candidates apart; the other half decides what is equal
+    candidates = park(components(links), "candidates")
+    release(links)
 
     least = F.min(F.struct("doc_id", "t1", "t2")).alias("least")
     sized = park(classes.agg(F.min("row").alias("id"), F.count(F.lit(1)).alias("weight"), least), "classes")
@@ -201,12 +202,15 @@ def _compared(docs: DataFrame, sized: DataFrame, candidates: DataFrame, size: in
     """The links among connected candidates."""
     # sizes of linked sets are at most one band of this ratio apart
     band = F.floor(F.log(F.col("n_shingles").cast("double")) / math.log(den / num * 1.000001)).cast("int")
-    members = candidates.join(sized, "id").select(
+    members = candidates.withColumnRenamed("id", "h1").join(sized, "h1").select(
         "id", F.col("component").alias("grp"), band.alias("band"), (8 * F.col("n_shingles")).alias("bytes"), "weight", "h1", "least"
     )
     tasks = tile_tasks(members).select("id", "weight", "h1", "tasks", "least.*")
     # the text of a class is that of its smallest document, which is in no other class
+    tasks = park(tasks, "tile-tasks")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_text_hashes())
+    # texts that are compared with none are not shuffled
+    texts, _ = KeyFilter(tasks.select("t1"), "compared").split(texts, F.col("t1"))
     chosen = texts.join(tasks.hint("shuffle_hash"), ["doc_id", "t1", "t2"]).select("id", "text", "weight", "h1", "tasks")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,20 +274,25 @@ def keep_one(docs: DataFrame, size: int = 5, num: int = 4, den: int = 5) -> Data
 
     Rows that repeat an id are each judged by their own text: only those whose set is equal to or
     linked with that of a row that stays are deleted. Where such rows have the smallest id too, the
-    text with the smallest hash stays. Of rows that are equal in every column one stays.
+    text with the smallest hash stays. Of rows that have both id and text in common one stays.
     """
     sets, by_class = _linked_classes(docs, size, num, den)
-    classed = sets.where(F.col("doc_id").isNotNull()).join(park(by_class.select("h1", "h2", "first"), "groups"), ["h1", "h2"])
-    later = classed.where(F.struct("doc_id", "t1", "t2") != F.col("first"))
-    names = {"__id": F.col("doc_id").cast("long"), "__t1": _text_hashes()[0], "__t2": _text_hashes()[1]}
-    gone = later.select(F.col("doc_id").alias("__id"), F.col("t1").alias("__t1"), F.col("t2").alias("__t2")).distinct()
-    kept = docs.withColumns(names).join(gone.hint("shuffle_hash"), list(names), "left_anti")
-    repeated = sets.groupBy("doc_id", "t1", "t2").count().where("count > 1").select(
-        F.col("doc_id").alias("__again"), F.col("t1").alias("__again1"), F.col("t2").alias("__again2")
-    )
-    repeated = park(repeated, "repeated-texts")
-    if repeated.isEmpty():
-        return kept.drop(*names)
-    again = F.col("__id").eqNullSafe(F.col("__again")) & (F.col("__t1") == F.col("__again1")) & (F.col("__t2") == F.col("__again2"))
-    once = kept.join(repeated, again, "left_semi").drop(*names).distinct()
-    return kept.join(repeated, again, "left_anti").drop(*names).unionByName(once)
+    by_class = park(by_class.select("h1", "h2", "first"), "groups")
+    classed = sets.where(F.col("doc_id").isNotNull()).join(by_class, ["h1", "h2"])
+    later = classed.where(F.struct("doc_id", "t1", "t2") != F.col("first")).select("doc_id", "t1", "t2").distinct()
+    repeated = sets.groupBy("doc_id", "t1", "t2").count().where("count > 1").select("doc_id", "t1", "t2")
+    gone, again = F.lit(True).alias("gone"), F.lit(False).alias("gone")
+    judged = park(later.select("*", gone).unionByName(repeated.select("*", again)).groupBy("doc_id", "t1", "t2").agg(F.max("gone").alias("gone")), "judged")
+    names = free_names(docs, "id_of", "t1_of", "t2_of", "gone_of", "row_of")
+    own, t1, t2, verdict, row = names
+    keyed = docs.withColumns({own: F.col("doc_id").cast("long"), t1: _text_hashes()[0], t2: _text_hashes()[1]})
+    # only what may be judged meets the judgements; all other rows stay where they are
+    some, rest = KeyFilter(judged.select("t1"), "judged-texts").split(keyed, F.col(t1))
+    listed = judged.toDF(*(f"{c}r" for c in names[:3]), verdict).hint("shuffle_hash")
+    same = F.col(own).eqNullSafe(F.col(f"{own}r")) & (F.col(t1) == F.col(f"{t1}r")) & (F.col(t2) == F.col(f"{t2}r"))
+    met = some.join(listed, same, "left").drop(*(f"{c}r" for c in names[:3]))
+    untouched = met.where(F.col(verdict).isNull()).select(*map(quoted, docs.columns))
+    # rows of one id and text, which may hold columns that cannot be compared
+    once = met.where(~F.col(verdict)).select(own, t1, t2, F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias(row))
+    once = once.groupBy(own, t1, t2).agg(F.any_value(row).alias(row)).select(f"{row}.*")
+    return rest.select(*map(quoted, docs.columns)).unionByName(untouched).unionByName(once)
