@@ -9,7 +9,9 @@ out pairs, only link counts and one connection for each vector.
 A pair is compared in the list of the smallest pivot both have, so it counts
 once. The number of pivots grows with the square root of the number of
 vectors, so that lists grow with it too and not with the number itself; it is
-bounded, as the pivots are sent to every task (``MAX_PIVOTS``).
+bounded, as the pivots are sent to every task (``MAX_PIVOTS``). A list that is
+long all the same is kept by pairs of shared pivots, of which there are many
+more: a third of all vectors near one pivot make no list of that length.
 
 Vectors that are null or zero, or that hold null or non-finite components, are
 linked with nothing, and vectors of different lengths not with each other.
@@ -34,7 +36,9 @@ from .tiles import tile_links, tile_tasks
 
 COSINE = 0.95
 # How many of the nearest pivots describe a vector, and how many two vectors must share.
-NEAREST, SHARED = 8, 3
+NEAREST, SHARED = 8, 2
+# Longer inverted lists are kept by pairs of pivots instead.
+LONG_LIST = 20_000
 # Pivots: this many times the square root of the number of vectors, within bounds.
 PIVOT_FACTOR, MIN_PIVOTS, MAX_PIVOTS = 4.0, 32, 16384
 # No two pivots are this near.
@@ -120,9 +124,9 @@ def _compared(classes: DataFrame, pivots: np.ndarray, cosine: float, nearest: in
 
     described = classes.select("id", "weight", "vector").mapInArrow(describe, "id long, weight long, payload binary, nearest array<int>")
     described = park(described, "permutations")
-    lists = described.select("id", F.explode("nearest").alias("pivot"))
     bytes_each = F.lit(8 * size + 4 * taken).cast("long")
-    members = lists.select("id", F.col("pivot").cast("long").alias("grp"), F.lit(0).alias("band"), bytes_each.alias("bytes"))
+    lists = inverted_lists(described, needed)
+    members = lists.select("id", "grp", F.lit(0).alias("band"), bytes_each.alias("bytes"))
     tasks = tile_tasks(members).select(F.col("id").alias("__id"), "tasks")
     entries = described.join(tasks, described["id"] == tasks["__id"]).select("id", "weight", "payload", "tasks")
 
@@ -134,6 +138,25 @@ def _compared(classes: DataFrame, pivots: np.ndarray, cosine: float, nearest: in
     return tile_links(entries, link)
 
 
+def inverted_lists(described: DataFrame, needed: int, long_list: int | None = None) -> DataFrame:
+    """``id`` and ``grp``, the lists each vector is in: those of its pivots, or of pairs of them where a pivot's list is long.
+
+    Two vectors that share two pivots share the pair of the two smallest of
+    these as well. There are so many more pairs that their lists stay short
+    where the pivots' no longer do.
+    """
+    long_list = LONG_LIST if long_list is None else long_list
+    listed = described.select("id", "nearest", F.explode("nearest").alias("pivot"))
+    if needed < 2:
+        return listed.select("id", F.col("pivot").cast("long").alias("grp"))
+    # one row a pivot at most
+    sizes = described.select(F.explode("nearest").alias("pivot")).groupBy("pivot").count()
+    long_ones = park(sizes.where(F.col("count") > long_list).select("pivot"), "long-lists")
+    single = listed.join(F.broadcast(long_ones), "pivot", "left_anti").select("id", F.col("pivot").cast("long").alias("grp"))
+    paired = listed.join(F.broadcast(long_ones), "pivot").withColumn("second", F.explode(F.filter("nearest", lambda p: p > F.col("pivot"))))
+    return single.unionByName(paired.select("id", ((F.col("pivot").cast("long") + 1) * (1 << 32) + F.col("second")).alias("grp")))
+
+
 def nearest_pivots(unit: np.ndarray, pivots: np.ndarray, taken: int) -> np.ndarray:
     """The numbers of each vector's nearest pivots, nearest first; equally near ones by number."""
     similar = unit @ pivots.T
@@ -150,13 +173,15 @@ def _unpack(payload: list[bytes], size: int, taken: int) -> tuple[np.ndarray, np
     return rows[:, : 8 * size].copy().view(np.float64), rows[:, 8 * size :].copy().view(np.int32)
 
 
-def near(a: tuple, b: tuple, pivot: int, cosine: float, needed: int) -> np.ndarray:
-    """Links between the vectors of two blocks of a pivot's list: enough shared pivots, this the smallest, near enough."""
+def near(a: tuple, b: tuple, grp: int, cosine: float, needed: int) -> np.ndarray:
+    """Links between the vectors of two blocks of a list: enough shared pivots, the list's the smallest, near enough."""
     numbers = np.unique(np.concatenate([a[1].ravel(), b[1].ravel()]))
     a_has, b_has = _has(a[1], numbers), _has(b[1], numbers)
     counts = a_has @ b_has.T
-    below = numbers < pivot
-    first = a_has[:, below] @ b_has[:, below].T == 0
+    # of a pair's list, only the first of the two is shared below the second
+    pair = grp >> 32
+    below = numbers < (grp & ((1 << 32) - 1))
+    first = a_has[:, below] @ b_has[:, below].T == (1 if pair else 0)
     matrix = (counts >= needed) & first & (a[0] @ b[0].T >= cosine)
     if a is b:
         np.fill_diagonal(matrix, False)
