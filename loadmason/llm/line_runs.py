@@ -28,7 +28,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import park
+from .common import park, quoted
+from .shared_keys import KeyFilter, free_names
 
 MIN_WORDS = 5
 WORD = r"[^\x20\x09-\x0D]+"
@@ -132,27 +133,32 @@ def delete_copies(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = Fa
     With ``counts`` also ``n_lines`` (with a word), ``n_deleted`` and
     ``longest_run``, the most deleted lines in a row, blank ones aside.
     """
-    gone = later_copies(docs, min_words).groupBy(*_DOC).agg(F.collect_set("at").alias("__gone"))
-    gone = gone.select(F.col("d").alias("__d"), F.col("t").alias("__t"), "__gone")
-    keyed = docs.withColumns({"__order": _order(), "__text": F.xxhash64("text")})
-    joined = keyed.join(gone.hint("shuffle_hash"), (F.col("__order") == F.col("__d")) & (F.col("__text") == F.col("__t")), "left")
+    order, hashed, at, kept_text, worded = free_names(docs, "order_of", "text_of", "gone_of", "kept_of", "worded_of")
+    gone = later_copies(docs, min_words).groupBy(*_DOC).agg(F.collect_set("at").alias(at))
+    gone = park(gone.withColumnsRenamed({"d": f"{order}r", "t": f"{hashed}r"}), "gone-lines")
+    keyed = docs.withColumns({order: _order(), hashed: F.xxhash64("text")})
+    # only texts that may lose lines are shuffled, all others stay where they are
+    some, rest = KeyFilter(gone.select(f"{hashed}r"), "shortened").split(keyed, F.col(hashed))
+    same = (F.col(order) == F.col(f"{order}r")) & (F.col(hashed) == F.col(f"{hashed}r"))
+    met = some.join(gone.hint("shuffle_hash"), same, "left").drop(f"{order}r", f"{hashed}r")
+    joined = met.unionByName(rest.withColumn(at, F.lit(None).cast(gone.schema[at].dataType)))
     lines = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__gone")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), at)
     text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
-    whole = F.col("__gone").isNull()
-    steps = {"__kept": F.when(whole, F.col("text")).otherwise(text)}
+    whole = F.col(at).isNull()
+    steps = {kept_text: F.when(whole, F.col("text")).otherwise(text)}
     if counts:
-        worded = F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(WORD), i)), lambda i: i.isNotNull())
-        steps["__worded"] = F.coalesce(worded, F.array())
+        numbered = F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(WORD), i)), lambda i: i.isNotNull())
+        steps[worded] = F.coalesce(numbered, F.array())
     # a layer for each step: an expression with a function in it is not written out twice
     joined = joined.withColumns(steps)
-    columns = {c: F.col("__kept") if c == "text" else F.col(c) for c in docs.columns}
+    columns = {c: F.col(kept_text) if c == "text" else F.col(quoted(c)) for c in docs.columns}
     if "n_chars" in columns:
-        columns["n_chars"] = F.length("__kept").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.length(kept_text).cast(docs.schema["n_chars"].dataType)
     if counts:
-        columns["n_lines"] = F.size("__worded").cast("long")
-        columns["n_deleted"] = F.when(whole, 0).otherwise(F.size("__gone")).cast("long")
-        marks = F.transform("__worded", lambda i: F.when(F.array_contains("__gone", i), "x").otherwise("o"))
+        columns["n_lines"] = F.size(worded).cast("long")
+        columns["n_deleted"] = F.when(whole, 0).otherwise(F.size(at)).cast("long")
+        marks = F.transform(worded, lambda i: F.when(F.array_contains(at, i), "x").otherwise("o"))
         longest = F.array_max(F.transform(F.split(F.array_join(marks, ""), "o+"), lambda run: F.length(run)))
         columns["longest_run"] = F.when(whole, 0).otherwise(longest).cast("long")
     return joined.select(*[c.alias(name) for name, c in columns.items()])

@@ -54,5 +54,8 @@ def clashing(df):
     """The frame with more columns, named as an operator might name its own."""
     from pyspark.sql import functions as F
 
-    names = ["id", "grp", "band", "key", "keys", "rank", "line", "d", "t", "n", "words", "label", "stats", "score", "part", "start", "h1", "u", "v"]
-    return df.withColumns({name: F.lit("x") for name in names if name not in df.columns})
+    names = ["__id", "__gone", "__t1", "id_of", "t1_of", "gone_of", "order_of", "text_of", "kept_of", "at", "row", "bitmap", "row_of", "odd.name`"]
+    names += ["id", "grp", "band", "key", "keys", "rank", "line", "d", "t", "n", "words", "label", "stats", "score", "part", "start", "h1", "u", "v"]
+    more = df.withColumns({name: F.lit("x") for name in names if name not in df.columns})
+    # a column that can be neither compared nor hashed
+    return more.withColumn("extras", F.create_map(F.lit("a"), F.lit(1)))
