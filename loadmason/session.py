@@ -110,6 +110,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop_path)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    hadoop_path, files = _hadoop(spark, path)
+    files.mkdirs(hadoop_path)
+
+
 def is_marked(spark: SparkSession, path: str) -> bool:
     return exists(spark, path)
 

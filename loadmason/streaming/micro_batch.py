@@ -15,11 +15,14 @@ from ..session import is_marked, mark
 DEFAULT_INTERVAL = "10 seconds"
 
 
-def batch_loader(spark: SparkSession, table: str, checkpoint: str, **options) -> Callable[[DataFrame, int], None]:
-    """Loads a batch unless one of its number has been loaded.
+def once_per_batch(
+    spark: SparkSession, table: str, checkpoint: str, work: Callable[[DataFrame, TableSink], None], stateful: bool = False
+) -> Callable[[DataFrame, int], None]:
+    """Does the work for a batch unless one of its number has been loaded.
 
-    The number is part of the commit that adds the rows, so there is no moment
-    between the two. Tables without a commit log get a mark after the load.
+    The sink notes the number in the commit that adds the rows, so there is no
+    moment between the two. Tables without a commit log get a mark afterwards.
+    A ``stateful`` batch is computed again even so, as its state may be missing.
     """
     stream = checkpoint.rstrip("/")
 
@@ -28,9 +31,12 @@ def batch_loader(spark: SparkSession, table: str, checkpoint: str, **options) ->
         sink = TableSink(batch.sparkSession, table)
         if sink.layout.owned:
             if sink.loaded_batch(stream) < batch_id:
-                load(batch, table, batch=(stream, batch_id), **options)
+                sink.batch = (stream, batch_id)
+                work(batch, sink)
+            elif stateful:
+                batch.write.format("noop").mode("overwrite").save()
         elif not is_marked(spark, done):
-            load(batch, table, **options)
+            work(batch, sink)
             mark(spark, done)
         # batches run in a session of their own; let the caller's see the new files
         spark.catalog.refreshTable(table)
@@ -38,6 +44,11 @@ def batch_loader(spark: SparkSession, table: str, checkpoint: str, **options) ->
     return load_batch
 
 
+def batch_loader(spark: SparkSession, table: str, checkpoint: str, **options) -> Callable[[DataFrame, int], None]:
+    """Loads a batch by :func:`load` unless one of its number has been loaded."""
+    return once_per_batch(spark, table, checkpoint, lambda batch, sink: load(batch, table, batch=sink.batch, **options))
+
+
 def load_stream(
     stream: DataFrame,
     table: str,

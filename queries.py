@@ -1037,6 +1037,30 @@ def micro_batch_load(spark, folder):
     return plain(spark.table(table))
 
 
+@query(
+    """SELECT event_id, user_id, value, event_type FROM (
+         SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS n FROM events) WHERE n = 1"""
+)
+def keyed_stream_load(spark, folder):
+    """The first event of each user and type, told by the stream's state; then all once more, of which nothing is new."""
+    schema = read(spark, folder, "events").schema
+    given = T.StructType([
+        T.StructField(f.name, T.TimestampNTZType() if isinstance(f.dataType, T.TimestampType) else f.dataType) for f in schema
+    ])
+    columns = ["event_id", "user_id", "value", "event_type"]
+    table = None
+    for _ in range(2):
+        stream = spark.readStream.schema(given).option("pathGlobFilter", "events.parquet").parquet(folder).select(*columns)
+        table = table or fresh_table(spark, "keyed_stream", stream.schema)
+        # another checkpoint is another stream, which learns the keys from the table
+        running = lm.load_keyed_stream(
+            stream, table, ["user_id", "event_type"], new_path(spark, "stream-checkpoint"), every=None,
+            order_by=["event_id"], max_errors=WHATEVER,
+        )
+        running.awaitTermination()
+    return spark.table(table)
+
+
 @query(
     """SELECT event_id, user_id, value, event_type FROM (
          SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS n FROM events) WHERE n = 1"""

@@ -1,0 +1,147 @@
+"""Keyed appends of a stream: one row of each key over all batches, the rest with its cause."""
+
+import datetime
+from collections import Counter
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+import loadmason as lm
+from loadmason.plans.sinks import TableSink
+from loadmason.session import new_path
+
+from conftest import rows
+
+ALL = "a TINYINT, b BIGINT, c FLOAT, d DECIMAL, e STRING, f VARBINARY, g TIMESTAMP"
+NO_LIMIT = 10**6
+
+
+def put(spark, folder, data, schema="k int, v string", parts=1):
+    spark.createDataFrame(data, schema).repartition(parts).write.mode("append").parquet(folder)
+
+
+def start(spark, folder, name, checkpoint, schema="k int, v string", keys=("k",), **options):
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    options = {"max_errors": NO_LIMIT} | options
+    return lm.load_keyed_stream(stream, name, keys, checkpoint, every=None, **options)
+
+
+def causes(spark, path):
+    return sorted((r.cause, r.row_text) for r in spark.read.parquet(path).collect())
+
+
+def test_first_row_over_batches_and_target(spark, table, tmp_path):
+    folder, name, checkpoint, rejects = str(tmp_path / "in"), table("k INTEGER, v STRING"), new_path(spark, "c"), new_path(spark, "r")
+    lm.load(spark.createDataFrame([(1, "old"), (None, "old")], "k int, v string"), name)
+    put(spark, folder, [(1, "new"), (2, "b"), (2, "a"), (None, "x"), (3, None), (3, "")])
+    start(spark, folder, name, checkpoint, reject_path=rejects).awaitTermination()
+    assert rows(spark.table(name)) == sorted([(1, "old"), (None, "old"), (2, "a"), (3, None)], key=repr)
+    present, repeated = "key already in target", "repeated key"
+    assert [c for c, _ in causes(spark, rejects)] == [present] * 2 + [repeated] * 2
+    # another load's keys count from the batch after, and those of the first batches are known
+    lm.load(spark.createDataFrame([(9, "other")], "k int, v string"), name)
+    put(spark, folder, [(2, "0"), (9, "mine"), (4, "d")])
+    start(spark, folder, name, checkpoint, reject_path=rejects).awaitTermination()
+    assert rows(spark.table(name).where("k in (2, 4, 9)")) == [(2, "a"), (4, "d"), (9, "other")]
+    assert Counter(c for c, _ in causes(spark, rejects)) == {present: 4, repeated: 2}
+
+
+def test_every_type_comes_back_as_it_was(spark, table, tmp_path):
+    folder, name = str(tmp_path / "in"), table(ALL)
+    when = datetime.datetime(1969, 12, 31, 23, 59, 59, 999000)
+    schema = "a tinyint, b bigint, c double, d decimal(38,12), e string, f binary, g timestamp"
+    data = [
+        (None,) * 7,
+        (-128, -(2**63), float("nan"), Decimal("-0.000000000001"), "", b"", when),
+        (127, 2**63 - 1, float("-inf"), Decimal("12345678901234567890123456.123456789012"), "ü|\n\0", b"\xff\0", when),
+        (0, 2**53 + 1, 0.1 + 0.2, Decimal(0), "x" * 100_000, b"x", datetime.datetime(9999, 12, 31)),
+    ]
+    put(spark, folder, data, schema)
+    start(spark, folder, name, new_path(spark, "c"), schema, keys=["b", "c", "e"]).awaitTermination()
+    plain = table(ALL)
+    lm.load(spark.read.schema(schema).parquet(folder), plain)
+    assert repr(rows(spark.table(name))) == repr(rows(spark.table(plain))) and spark.table(name).count() == 4
+
+
+def test_zeros_and_nans_are_one_key_each(spark, table, tmp_path):
+    folder, name = str(tmp_path / "in"), table("k FLOAT, v INTEGER")
+    put(spark, folder, [(0.0, 2), (-0.0, 1), (float("nan"), 4), (float("nan"), 3)], "k double, v int")
+    start(spark, folder, name, new_path(spark, "c"), "k double, v int").awaitTermination()
+    assert sorted(r.v for r in spark.table(name).collect()) == [1, 3]
+
+
+def test_rows_that_do_not_convert_take_no_key(spark, table, tmp_path):
+    folder, name, checkpoint, rejects = str(tmp_path / "in"), table("k INTEGER, v TINYINT"), new_path(spark, "c"), new_path(spark, "r")
+    schema = "k int, v string"
+    put(spark, folder, [(1, "x")] * 30 + [(None, "y"), (2, "5")])
+    options = {"coerce": "loose", "on_error": "reject", "reject_path": rejects}
+    start(spark, folder, name, checkpoint, schema, **options).awaitTermination()
+    put(spark, folder, [(1, "7"), (None, "8"), (2, "6")])
+    start(spark, folder, name, checkpoint, schema, **options).awaitTermination()
+    assert rows(spark.table(name)) == sorted([(1, 7), (2, 5), (None, 8)], key=repr)
+    assert Counter(c for c, _ in causes(spark, rejects)) == {"v: string does not fit TINYINT": 31, "key already in target": 1}
+
+
+def test_a_hot_key_goes_through_in_pieces(spark, table, tmp_path):
+    """A key of more rows than an Arrow batch holds gives its smallest row, wherever that lies."""
+    folder, name, rejects = str(tmp_path / "in"), table("v INTEGER, k INTEGER", partition_by=["k"]), new_path(spark, "r")
+    spark.range(4000).select(((F.col("id") * 7919 + 11) % 4000).cast("int").alias("v"), F.lit(1).alias("k")).coalesce(1).write.parquet(folder)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)
+    try:
+        start(spark, folder, name, new_path(spark, "c"), "v int, k int", reject_path=rejects, order_by=["v"]).awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert spark.table(name).select("k", "v").collect() == [(1, 0)]
+    assert spark.read.parquet(rejects).where("cause = 'repeated key'").select("row_text").distinct().count() == 3999
+
+
+@pytest.mark.parametrize("when", ["_commit", "_carry_out"])
+def test_a_batch_cut_short_is_neither_lost_nor_doubled(spark, table, tmp_path, monkeypatch, when):
+    folder, name, checkpoint = str(tmp_path / "in"), table("k INTEGER, v STRING"), new_path(spark, "c")
+    put(spark, folder, [(1, "a"), (1, "b"), (2, "c")])
+    kept = getattr(TableSink, when)
+
+    def lost(*args, **kwargs):
+        raise OSError("driver lost")
+
+    monkeypatch.setattr(TableSink, when, lost)
+    with pytest.raises(Exception, match="driver lost"):
+        start(spark, folder, name, checkpoint).awaitTermination()
+    monkeypatch.setattr(TableSink, when, kept)
+    put(spark, folder, [(2, "d"), (3, "e")])
+    start(spark, folder, name, checkpoint).awaitTermination()
+    assert rows(spark.table(name)) == [(1, "a"), (2, "c"), (3, "e")]
+
+
+def test_the_limit_stops_the_stream_and_keeps_the_target(spark, table, tmp_path):
+    folder, name, checkpoint = str(tmp_path / "in"), table("k INTEGER, v STRING"), new_path(spark, "c")
+    put(spark, folder, [(1, "a")] * 5)
+    with pytest.raises(Exception, match="LoadAborted"):
+        start(spark, folder, name, checkpoint, max_errors=4).awaitTermination()
+    assert spark.table(name).count() == 0
+    start(spark, folder, name, checkpoint, max_errors=5).awaitTermination()
+    assert rows(spark.table(name)) == [(1, "a")]
+
+
+def test_the_target_is_not_read_again(spark, table, tmp_path):
+    """A second batch reads none of the files that the first one found."""
+    folder, name, checkpoint = str(tmp_path / "in"), table("k INTEGER, v STRING"), new_path(spark, "c")
+    lm.load(spark.range(1000).select(F.col("id").cast("int").alias("k"), F.lit("a").alias("v")), name)
+    put(spark, folder, [(1, "b")])
+    start(spark, folder, name, checkpoint).awaitTermination()
+    put(spark, folder, [(2000, "c")])
+    query = start(spark, folder, name, checkpoint)
+    query.awaitTermination()
+    assert [sum(s.numInputRows for s in p.sources) for p in query.recentProgress if p.numInputRows] == [1]
+    assert spark.table(name).count() == 1001
+
+
+def test_options_are_checked_before_the_start(spark, table, tmp_path):
+    folder, name = str(tmp_path / "in"), table("k INTEGER, v STRING")
+    put(spark, folder, [(1, "a")])
+    for options, message in (({"keys": ["z"]}, "no columns"), ({"keys": []}, "needs key"), ({"on_error": "skip"}, "on_error")):
+        with pytest.raises(ValueError, match=message):
+            start(spark, folder, name, new_path(spark, "c"), **options)
+    with pytest.raises(lm.SchemaMismatch):
+        start(spark, folder, table("k STRING, v INTEGER"), new_path(spark, "c"))
