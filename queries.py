@@ -61,6 +61,12 @@ def fresh_table(spark: SparkSession, name: str, target, **options) -> str:
     return table
 
 
+def low_bits(number: Column, bits: int, kind: str) -> Column:
+    """The lowest bits of a long as a signed number of that width; whatever lies above is cut off."""
+    rest = 64 - bits
+    return F.shiftright(F.shiftleft(number.cast("bigint"), rest), rest).cast(kind)
+
+
 def cases(*pairs, otherwise) -> Column:
     """``pairs`` of condition and value, tried in order."""
     column = None
@@ -516,9 +522,10 @@ def bytes_cells(spark, folder):
     """Whole numbers, doubles and text as bytes, and bytes as text."""
     sources = read(spark, folder, "lineitem").select(
         *LINEITEM_KEY,
-        (F.col("l_linenumber") - 4).cast("tinyint").alias("b"),
-        (F.col("l_suppkey") - F.col("l_linenumber") * 40).cast("smallint").alias("s"),
-        (F.col("l_orderkey") - F.col("l_partkey")).cast("int").alias("i"),
+        # as many keys as a large table has do not fit the narrow types; the result shows these bits only
+        low_bits(F.col("l_linenumber") - 4, 8, "tinyint").alias("b"),
+        low_bits(F.col("l_suppkey") - F.col("l_linenumber") * 40, 16, "smallint").alias("s"),
+        low_bits(F.col("l_orderkey") - F.col("l_partkey"), 32, "int").alias("i"),
         (F.col("l_orderkey") * 1000003 - F.col("l_partkey") * 7000000).alias("l"),
         F.col("l_extendedprice").alias("d"),
         F.col("l_returnflag").alias("t"),
