@@ -18,6 +18,9 @@ from pyspark.sql import types as T
 COPIES = "__copies"
 PICK = "__pick"
 
+# Types of which equal values are stored alike.
+STORED_ALIKE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.BinaryType, T.DateType, T.TimestampType, T.BooleanType)
+
 # Sides up to this many bytes of keys may be broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -43,12 +46,24 @@ def one_per_key(
     unknown = [c for c in [*keys, *order_by] if c not in columns]
     if unknown:
         raise ValueError(f"no such columns: {unknown}")
-    early, late = (extra, []) if extra_first else ([], extra)
-    compared = list(dict.fromkeys([*order_by, *early, *[c for c in columns if c not in keys], *keys, *late]))
+    # a key that is stored in one way only is the group's, and not shuffled twice
+    same = {k for k in keys if isinstance(rows.schema[k].dataType, STORED_ALIKE) and k in rows.columns}
+    compared = [c for c in compared_columns(rows.columns, keys, order_by, extra, extra_first) if c not in same]
+    if not compared:
+        grouped = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(COPIES))
+        return grouped.select(*columns, COPIES)
     picked = F.struct(*[F.col(c) for c in compared])
     pick = F.max(picked) if last else F.min(picked)
     grouped = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(COPIES), pick.alias(PICK))
-    return grouped.select(*[F.col(PICK)[c].alias(c) for c in [*columns, *extra]], COPIES)
+    return grouped.select(*[F.col(c) if c in same else F.col(PICK)[c].alias(c) for c in [*columns, *extra]], COPIES)
+
+
+def compared_columns(
+    columns: Sequence[str], keys: Sequence[str], order_by: Sequence[str], extra: Sequence[str] = (), extra_first: bool = False
+) -> list[str]:
+    """The columns by which the first of several rows is told, in their order."""
+    early, late = (extra, []) if extra_first else ([], extra)
+    return list(dict.fromkeys([*order_by, *early, *[c for c in columns if c not in keys and c not in extra], *keys, *late]))
 
 
 def repeated_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -113,6 +128,12 @@ def _with_key_row(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], null
     return rows.join(renamed, on).drop(*[f"__k{i}" for i in range(len(keys))])
 
 
+def left_with_key_row(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    """All rows, each with what the one row ``per_key`` holds for its key says beside the key; nulls where there is none."""
+    renamed, on = _renamed(per_key, keys, null_safe)
+    return rows.join(renamed, on, "left").drop(*[f"__k{i}" for i in range(len(keys))])
+
+
 def _renamed(listed: DataFrame, keys: Sequence[str], null_safe: bool) -> tuple[DataFrame, list[Column]]:
     pairs = [(F.col(k), F.col(f"__k{i}")) for i, k in enumerate(keys)]
     on = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]

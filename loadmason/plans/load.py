@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..errors import CommitConflict, LoadAborted
@@ -25,8 +25,9 @@ from ..operators.keys import (
     BROADCAST_BYTES,
     COPIES,
     any_null,
-    join_counted,
+    compared_columns,
     key_bytes,
+    left_with_key_row,
     one_per_key,
     repeated_keys,
     with_keys,
@@ -40,10 +41,17 @@ from .sinks import KEEP_VERSIONS, JdbcSink, TableSink, effective_batch_size
 REPEATED = "repeated key"
 PRESENT = "key already in target"
 HIT = "__hit"
+CAUSE = "__cause"
+CHOSEN = "__chosen"
+# Staged rows and rejects are written more often than they are read, so they are packed tighter than tables.
+SMALL_FILES = ("compression", "zstd")
 # A task that alone finds this many faults more than the limit ends the load. As many are kept of them at most.
 EARLY_FAULTS = 1000
 # From this share of rows with repeated keys on, one aggregation of all rows costs less than setting those apart.
 REPEATED_SHARE = 0.5
+# The same where the rows are many, by an estimate of this error made as they are staged.
+SURPLUS_SHARE = 0.1
+DISTINCT_ERROR = 0.02
 # Files of the first wave of a load from files, at least; each wave is four times the one before.
 FIRST_WAVE = 32
 WAVE_GROWTH = 4
@@ -275,11 +283,10 @@ class _Batch:
         self.rows: DataFrame | None = None  # accepted so far
         self.faulty: DataFrame | None = None
         self.picked: DataFrame | None = None  # one row per key
-        self.several: DataFrame | None = None  # the rows picked of repeated keys
-        self.present: DataFrame | None = None  # keys the target has already
-        self.read = self.faults = self.n_keys = self.n_repeated = self.n_present = 0
+        self.judged: DataFrame | None = None  # all of them, with why the key refuses one
+        self.read = self.faults = self.n_keys = self.by_key = 0
+        self.surplus = 0  # about how many rows there are beyond one a key
         self.broadcast_keys, self.null_safe, self.arrives = 1, True, False
-        self.rejects_keys = False
 
     def stage_rows(self, waves: list[Checked], rejecting: bool, numbered: bool, limit: int, reject_path: str | None, stop_early: bool) -> None:
         """Writes the rows out, counting in the same pass; stops after the wave that reaches the limit."""
@@ -297,10 +304,11 @@ class _Batch:
             found = {"read": F.count(F.lit(1)), "faults": F.count_if(faulty)}
             if self.keys:
                 found |= {"widest": F.max(key_bytes(rows.schema, self.keys)), "null_keys": F.count_if(any_null(self.keys))}
+                found["distinct"] = F.approx_count_distinct(F.xxhash64(*self.keys), DISTINCT_ERROR)
             seen, schema = Observation(), rows.schema
             paths.append(f"{self.stage}/rows/{number}")
             try:
-                rows.observe(seen, *[c.alias(name) for name, c in found.items()]).write.parquet(paths[-1])
+                rows.observe(seen, *[c.alias(name) for name, c in found.items()]).write.option(*SMALL_FILES).parquet(paths[-1])
             except Exception as error:
                 if token not in str(error):
                     raise
@@ -309,6 +317,8 @@ class _Batch:
             self.read, self.faults = self.read + counts["read"], self.faults + counts["faults"]
             if self.keys:
                 widest, null_keys = max(widest, counts["widest"] or 0), null_keys + counts["null_keys"]
+                # keys of several waves may be the same ones
+                self.surplus = counts["read"] - counts["distinct"] if len(waves) == 1 else 0
             if self.faults >= limit:
                 break
         self.whole = number + 1 == len(waves)
@@ -331,51 +341,91 @@ class _Batch:
         seen = max(limit, len(shown))
         raise LoadAborted(self.sink.name, LoadReport(self.sink.name, self.read + seen, 0, self.faults + seen, limit, path, False)) from None
 
-    def pick(self, last: bool) -> None:
-        """One row of each key. Rows of keys that do not repeat stay as they were staged."""
+    def pick(self) -> None:
+        """The last row of each key. Rows of keys that do not repeat stay as they were staged."""
         extra = [c for c in self.rows.columns if c == ROW]
-        repeated, found = self._park(repeated_keys(self.rows, self.keys), "repeated", n=F.count(F.lit(1)), held=F.sum(COPIES))
-        self.n_repeated, held = found["n"], found["held"] or 0
-        options = {"order_by": self.order_by, "last": last, "extra": extra, "extra_first": self.arrives}
-        once = F.lit(1).cast("bigint")
+        options = {"order_by": self.order_by, "last": True, "extra": extra, "extra_first": self.arrives}
         accepted = self.read - self.faults
-        self.n_keys = accepted - held + self.n_repeated
-        if not self.n_repeated:
-            self.picked = self.rows.withColumn(COPIES, once)
-        elif self.n_repeated <= self.broadcast_keys and held < REPEATED_SHARE * accepted:
+        if accepted > self.broadcast_keys and self.surplus > SURPLUS_SHARE * accepted:
+            # so many rows go that telling the repeated keys first costs more than it saves
+            self.picked, found = self._park(one_per_key(self.rows, self.keys, **options).drop(COPIES), "picked", n=F.count(F.lit(1)))
+            self.n_keys = found["n"]
+            return
+        repeated, found = self._park(repeated_keys(self.rows, self.keys), "repeated", n=F.count(F.lit(1)), held=F.sum(COPIES))
+        n_repeated, held = found["n"], found["held"] or 0
+        self.n_keys = accepted - held + n_repeated
+        if not n_repeated:
+            self.picked = self.rows
+        elif n_repeated <= self.broadcast_keys and held < REPEATED_SHARE * accepted:
             rows = with_keys(self.rows, repeated, self.keys, True, self.null_safe)
-            self.several, _ = self._park(one_per_key(rows, self.keys, **options), "several")
-            unique = without_keys(self.rows, repeated, self.keys, True, self.null_safe).withColumn(COPIES, once)
-            self.picked = unique.unionByName(self.several)
+            several, _ = self._park(one_per_key(rows, self.keys, **options).drop(COPIES), "several")
+            self.picked = without_keys(self.rows, repeated, self.keys, True, self.null_safe).unionByName(several)
         else:
-            self.picked, _ = self._park(one_per_key(self.rows, self.keys, **options), "picked")
-            self.several = self.picked.where(F.col(COPIES) > 1)
+            self.picked, _ = self._park(one_per_key(self.rows, self.keys, **options).drop(COPIES), "picked")
 
-    def find_present(self) -> None:
-        self.rejects_keys, self.n_present = True, 0
-        if not self.n_keys:
+    def judge(self) -> None:
+        """Says of each row whether its key is in the target, or the row is not the first of its key.
+
+        Keys are counted on their own, with those of the target. Rows are
+        shuffled only where the keys in question are too many to broadcast,
+        once, and are then written out with what is said of them.
+        """
+        self.by_key, self.judged = 0, self.rows.withColumn(CAUSE, F.lit(None).cast("string"))
+        if self.read == self.faults:
             return
-        # a broadcast side is all rows, which need no picking; they are few enough by the same measure
-        small = self.read - self.faults <= self.broadcast_keys
-        listed = self.rows if small else self.picked
-        held = self.sink.rows_beside(listed, self.keys).select(*self.keys)
-        # distinct first where both sides are shuffled, so a key held many times shrinks before it is joined
-        hits = with_keys(held if small else held.distinct(), listed, self.keys, small, self.null_safe)
-        self.present, found = self._park(hits.distinct() if small else hits, f"present-{uuid.uuid4().hex}", n=F.count(F.lit(1)))
-        self.n_present = found["n"]
-
-    @property
-    def loaded(self) -> int:
-        return self.n_keys - self.n_present
+        # where the rows are few, the target's keys are not shuffled
+        few = self.read - self.faults <= self.broadcast_keys
+        held = self.sink.rows_beside(self.rows, self.keys).select(*self.keys)
+        if few:
+            held = with_keys(held, self.rows, self.keys, True, self.null_safe)
+        one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+        both = self.rows.select(*self.keys, one.alias(COPIES), F.lit(False).alias(HIT)).unionByName(
+            held.select(*self.keys, none.alias(COPIES), F.lit(True).alias(HIT))
+        )
+        counted = both.groupBy(*self.keys).agg(F.sum(COPIES).alias(COPIES), F.max(HIT).alias(HIT))
+        in_question = counted.where((F.col(COPIES) > 1) | (F.col(HIT) & (F.col(COPIES) > 0)))
+        left_out = F.when(F.col(HIT), F.col(COPIES)).otherwise(F.col(COPIES) - 1)
+        troubled, found = self._park(in_question, f"troubled-{uuid.uuid4().hex}", n=F.count(F.lit(1)), out=F.sum(left_out))
+        self.by_key = found["out"] or 0
+        if not found["n"]:
+            return
+        if found["n"] <= self.broadcast_keys:
+            self.judged = self._judged_by(troubled)
+            return
+        # fewer keys than may be broadcast have more rows than this, so no task is left with a large key
+        cut = self.read // self.broadcast_keys
+        hot = troubled.where(F.col(COPIES) > cut)
+        cold_rows = without_keys(self.rows, hot, self.keys, True, self.null_safe)
+        cold = left_with_key_row(cold_rows, troubled.where(F.col(COPIES) <= cut), self.keys, self.null_safe)
+        place = F.row_number().over(Window.partitionBy(*self.keys).orderBy(*self._compared()))
+        cause = F.when(F.col(HIT), F.lit(PRESENT)).when(place > 1, F.lit(REPEATED))
+        cold = cold.withColumn(CAUSE, cause).drop(COPIES, HIT)
+        hot_rows = self._judged_by(hot).where(F.col(COPIES).isNotNull()).drop(COPIES)
+        self.judged, _ = self._park(cold.unionByName(hot_rows), f"judged-{uuid.uuid4().hex}")
+
+    def _compared(self) -> list[str]:
+        extra = [c for c in self.rows.columns if c == ROW]
+        return compared_columns(self.rows.columns, self.keys, self.order_by, extra, self.arrives)
+
+    def _judged_by(self, troubled: DataFrame) -> DataFrame:
+        """The rows with the cause, by keys few enough to be broadcast; the first row of each is found by aggregation."""
+        new = troubled.where(~F.col(HIT))
+        several = with_keys(self.rows, new, self.keys, True, self.null_safe)
+        first = one_per_key(several, self.keys, order_by=self.order_by, extra=[ROW], extra_first=self.arrives).select(*self.keys, COPIES, F.col(ROW).alias(CHOSEN))
+        first, _ = self._park(first, f"first-{uuid.uuid4().hex}")
+        known = troubled.where(HIT).select(*self.keys, COPIES, F.lit(None).cast(self.rows.schema[ROW].dataType).alias(CHOSEN))
+        joined = left_with_key_row(self.rows, F.broadcast(known.unionByName(first)), self.keys, self.null_safe)
+        cause = F.when(F.col(COPIES).isNotNull(), F.when(F.col(CHOSEN).isNull(), PRESENT).when(F.col(ROW) != F.col(CHOSEN), REPEATED))
+        return joined.withColumn(CAUSE, cause).drop(CHOSEN)
 
     def finish(self, mode: str, limit: int, reject_path: str | None) -> LoadReport:
         """Decides on keys by what the target holds, keeps the rejects and publishes the rest, or nothing of it."""
         version, _ = self.sink.begin()
         if self.faults < limit and self.keys:
-            if self.picked is None:
-                self.pick(last=mode == "upsert")
             if mode == "append":
-                self.find_present()
+                self.judge()
+            elif self.picked is None:
+                self.pick()
         report, kept = self.report(limit, reject_path)
         if report.rejected >= limit:
             raise LoadAborted(self.sink.name, report)
@@ -389,52 +439,27 @@ class _Batch:
         return report
 
     def accepted(self) -> DataFrame:
-        if self.picked is None:
+        if self.judged is None:
             return self.rows
-        rows = self.picked.drop(ROW, COPIES)
-        if self.n_present:
-            rows = without_keys(rows, self.present, self.keys, self.n_present <= self.broadcast_keys, self.null_safe)
-        return rows
-
-    def _troubled(self) -> DataFrame:
-        """Repeated keys with the row chosen of each, and keys of the target, as few as these are."""
-        chosen = None
-        if self.n_repeated:
-            chosen = self.several.select(*self.keys, COPIES, F.col(ROW).alias("__chosen"))
-            if not self.n_present:
-                return chosen.withColumn(HIT, F.lit(False))
-        small = max(self.n_present, self.n_repeated) <= self.broadcast_keys
-        hit = self.present.withColumns({COPIES: F.lit(1).cast("bigint"), "__chosen": F.lit(None).cast(self.rows.schema[ROW].dataType), HIT: F.lit(True)})
-        if chosen is None:
-            return hit
-        held = with_keys(chosen, self.present, self.keys, small, self.null_safe).withColumn(HIT, F.lit(True))
-        new = without_keys(chosen, self.present, self.keys, small, self.null_safe).withColumn(HIT, F.lit(False))
-        single = without_keys(hit, chosen, self.keys, small, self.null_safe)
-        return held.unionByName(new).unionByName(single)
+        return self.judged.where(F.col(CAUSE).isNull()).select(*[c for c in self.rows.columns if c != ROW])
 
     def _key_rejects(self) -> DataFrame:
         """Every row of a present key, and all but the chosen row of a repeated one."""
-        n_troubled = self.n_present + self.n_repeated
-        joined = join_counted(
-            self.rows, self._troubled(), self.keys, self.read, self.broadcast_keys, n_troubled, self.null_safe
-        )
-        rejected = joined.filter(F.col(HIT) | (F.col(ROW) != F.col("__chosen")))
+        rejected = self.judged.where(F.col(CAUSE).isNotNull())
         columns = [c for c in self.rows.columns if c != ROW]
         target = Target.of(rejected.select(*columns).schema)
         text = row_text([(F.col(c.name), c) for c in target.columns], REJECT_SEPARATOR, self.date_format)
-        cause = F.when(F.col(HIT), F.lit(PRESENT)).otherwise(F.lit(REPEATED))
-        return rejected.select(cause.alias("cause"), text.alias("row_text"))
+        return rejected.select(F.col(CAUSE).alias("cause"), text.alias("row_text"))
 
     def report(self, limit: int, reject_path: str | None) -> tuple[LoadReport, str | None]:
-        by_key = self.read - self.faults - self.loaded if self.rejects_keys else 0
-        rejected = self.faults + by_key
+        rejected = self.faults + self.by_key
         if not rejected:
             return LoadReport(self.sink.name, self.read, self.read, 0, limit), None
         path = reject_path or self.sink.default_reject_path()
-        kinds = ([self.faulty] if self.faults else []) + ([self._key_rejects()] if by_key else [])
+        kinds = ([self.faulty] if self.faults else []) + ([self._key_rejects()] if self.by_key else [])
         rejects = kinds[0] if len(kinds) == 1 else kinds[0].unionByName(kinds[1])
         kept = f"{path}/load_id={uuid.uuid4().hex}"
-        rejects.write.parquet(kept)
+        rejects.write.option(*SMALL_FILES).parquet(kept)
         return LoadReport(self.sink.name, self.read, self.read - rejected, rejected, limit, path, self.whole), kept
 
     def publish(self, mode: str, version: int) -> None:
@@ -444,11 +469,11 @@ class _Batch:
             self.sink.append(self.accepted(), **guard)
         else:
             small = self.n_keys <= self.broadcast_keys
-            self.sink.upsert(self.picked.drop(COPIES, ROW), self.keys, small, self.null_safe)
+            self.sink.upsert(self.picked.drop(ROW), self.keys, small, self.null_safe)
 
     def _park(self, rows: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict]:
         """Writes rows out, with counts taken in the stage that writes."""
         path, seen = f"{self.stage}/{name}", Observation()
         counted_rows = rows.observe(seen, *[c.alias(n) for n, c in counts.items()]) if counts else rows
-        counted_rows.write.parquet(path)
+        counted_rows.write.option(*SMALL_FILES).parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path), seen.get if counts else {}
