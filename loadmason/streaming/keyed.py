@@ -1,27 +1,26 @@
 """Appends of a stream by key: the first row of each key is loaded, told by Spark's state store.
 
 The target is not read for each batch. Its files are a second stream, of which
-only the keys are taken, so each file is read once: those that are there when
-the stream starts with the first batch, and later ones, whoever added them,
-with the batch after. Every key that came up is one entry of the state store.
+only the keys are taken: those that are there when the stream starts with the
+first batch, and later ones, whoever added them, with the batch after. Every key
+that came up is one entry of the state store, which says of a batch's keys which
+are new. What the rows of a key become is then told by sorting them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from decimal import Decimal
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.coerce import Cell
 from ..functions.parsing import pattern_or_default
 from ..functions.types import Target, TargetColumn
 from ..operators.checked import FAULT, REJECT_SEPARATOR, ROW_TEXT, Checked, Field, convert_frame, row_text
+from ..operators.keys import compared_columns
 from ..plans.load import LOAD_ON_ERROR, PRESENT, REPEATED, run_load
 from ..plans.sinks import TableSink
 from ..session import make_folder
@@ -30,7 +29,9 @@ from .micro_batch import DEFAULT_INTERVAL, once_per_batch
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 HELD = "__held"
+NEW = "__new"
 LANE = "__lane"
+LANES = 256
 
 
 def load_keyed_stream(
@@ -53,13 +54,11 @@ def load_keyed_stream(
     Of rows of one batch the first is by ``order_by``, then by the other
     columns, as in :func:`load`. All other rows are rejected and count against
     the limit of their batch, with the causes of :func:`load`: the key was in
-    the table or in an earlier batch, or it is repeated in this one. Only if a
-    key with more rows than an Arrow batch holds reaches the table in the same
-    batch by another load may some of its rows be called repeated.
+    the table or in an earlier batch, or it is repeated in this one.
 
     Null keys are equal to each other. Rows that do not convert take no key,
-    and each goes its own way past the state. Rows of a key stream through its
-    task, which holds one of them. Batches are committed with their number.
+    and each goes its own way past the state. Rows of a key are sorted in one
+    task, which spills them. Batches are committed with their number.
 
     The table must be one whose files are below its location, and which other
     loads only append to while the stream runs.
@@ -80,28 +79,27 @@ def load_keyed_stream(
     rows = checked.flagged() if on_error == "reject" else checked.failing()
     if on_error != "reject":
         rows = rows.withColumns({FAULT: F.lit(None).cast("string"), ROW_TEXT: F.lit(None).cast("string")})
-    lane = F.when(F.col(FAULT).isNotNull(), F.xxhash64(ROW_TEXT).cast("string"))
-    arriving = rows.select(*_packed(target, target.names), *_groups(target, keys), FAULT, ROW_TEXT, lane.alias(LANE), F.lit(False).alias(HELD))
+    groups = [f"g{i}" for i in range(len(keys))]
     there = spark.readStream.format(layout.provider).schema(_schema(target)).option("ignoreMissingFiles", True).load(sink.location)
-    nothing = {FAULT: "string", ROW_TEXT: "string", LANE: "string"}
-    held = there.select(
-        *_packed(target, []), *_groups(target, keys), *[F.lit(None).cast(kind).alias(c) for c, kind in nothing.items()], F.lit(True).alias(HELD)
-    )
-    names = [f"c{i}" for i in range(len(target))]
-    grouped = arriving.unionByName(held).groupBy(*[f"g{i}" for i in range(len(keys))], LANE)
-    out = T.StructType([*[T.StructField(c, T.BinaryType()) for c in names], T.StructField(FAULT, T.StringType()), T.StructField(ROW_TEXT, T.StringType())])
-    judge = first_rows(names, _order(target, keys, order_by))
-    judged = grouped.applyInPandasWithState(judge, out, "seen boolean", "append", GroupStateTimeout.NoTimeout)
+    held = there.select(*_groups(target, keys), F.lit(True).alias(HELD))
+    fault = F.col(FAULT).isNotNull()
+    keyed = rows.select(*[F.col(c.name).alias(f"v{i}") for i, c in enumerate(target.columns)], *_groups(target, keys), FAULT, ROW_TEXT)
+    # rows that do not convert have no key; they are spread over a few lanes of their own
+    lane = F.when(fault, F.pmod(F.xxhash64(ROW_TEXT), F.lit(LANES)))
+    arriving = keyed.withColumns({**{g: F.when(~fault, F.col(g)) for g in groups}, LANE: lane, HELD: F.lit(False)})
+    # shuffled once, and taken from there twice: as it is, and one of each key that is new to the state store
+    both = arriving.unionByName(held, allowMissingColumns=True).repartition(*groups, LANE)
+    batches = both.withColumn(NEW, F.lit(False)).unionByName(both.dropDuplicates([*groups, LANE]).withColumn(NEW, F.lit(True)))
 
     pattern = pattern_or_default(date_format)
 
     def load_batch(batch: DataFrame, into: TableSink) -> None:
         into.max_records_per_file = max_records_per_file
         # every part is read, so that the state of this batch is whole
-        run_load(batch.sparkSession, _unpacked(batch, target, pattern), into, "append", (), (), "reject", max_errors, reject_path, date_format, False)
+        run_load(batch.sparkSession, _judged(batch, target, keys, order_by, pattern), into, "append", (), (), "reject", max_errors, reject_path, date_format, False)
 
     once = once_per_batch(spark, table, checkpoint, load_batch, stateful=True)
-    writer = judged.writeStream.foreachBatch(once).option("checkpointLocation", checkpoint)
+    writer = batches.writeStream.foreachBatch(once).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
     before = spark.conf.get(STATE_STORE)
     # a stream takes its settings when it starts; the session keeps its own
@@ -112,40 +110,6 @@ def load_keyed_stream(
         spark.conf.set(STATE_STORE, before)
 
 
-def first_rows(names: Sequence[str], order: Sequence[tuple[str, Callable]]) -> Callable:
-    """What is done with the rows of one key in one batch."""
-
-    def place(row: tuple) -> tuple:
-        return tuple((0,) if value is None else read(value) for (_, read), value in zip(order, row, strict=True))
-
-    def judge(key: tuple, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        columns = [*names, FAULT, ROW_TEXT]
-        if key[-1] is not None:
-            for piece in pieces:
-                yield piece[columns]
-            return
-        known, first, at = state.exists, None, None
-        for piece in pieces:
-            known = known or bool(piece[HELD].any())
-            mine = piece.loc[~piece[HELD].astype(bool), columns]
-            if not known and len(mine):
-                places = [place(row) for row in mine[[c for c, _ in order]].itertuples(index=False, name=None)]
-                best = min(range(len(places)), key=places.__getitem__)
-                if first is None or places[best] < at:
-                    given_up, first, at = first, mine.iloc[[best]], places[best]
-                    mine = mine.drop(index=mine.index[best])
-                    if given_up is not None:
-                        yield given_up.assign(**{FAULT: REPEATED})
-            if len(mine):
-                yield mine.assign(**{FAULT: PRESENT if known else REPEATED})
-        if first is not None:
-            yield first.assign(**{FAULT: PRESENT if known else None})
-        if not state.exists:
-            state.update((True,))
-
-    return judge
-
-
 def _schema(target: Target) -> T.StructType:
     return T.StructType([T.StructField(c.name, c.spark_type) for c in target.columns])
 
@@ -159,12 +123,6 @@ def _as_bytes(value: Column, column: TargetColumn) -> Column:
     return value.cast("string").cast("binary")
 
 
-def _packed(target: Target, given: Sequence[str]) -> list[Column]:
-    """All columns as bytes; those that are not given are null."""
-    null = F.lit(None).cast("binary")
-    return [(_as_bytes(F.col(c.name), c) if c.name in given else null).alias(f"c{i}") for i, c in enumerate(target.columns)]
-
-
 def _groups(target: Target, keys: Sequence[str]) -> list[Column]:
     """Keys as bytes that are equal where Spark calls the keys equal."""
     by_name = {c.name: c for c in target.columns}
@@ -172,33 +130,22 @@ def _groups(target: Target, keys: Sequence[str]) -> list[Column]:
     return [_as_bytes(value, by_name[k]).alias(f"g{i}") for i, (k, value) in enumerate(zip(keys, zero_signed, strict=True))]
 
 
-def _unpacked(batch: DataFrame, target: Target, pattern: str) -> Checked:
-    """The judged rows of a batch; the cause of a reject stands for the row as a whole."""
-    layer = batch
-    for i, column in enumerate(target.columns):
-        value = F.col(f"c{i}")
-        if column.type != "VARBINARY":
-            value = value.cast("string")
-            value = F.timestamp_micros(value.cast("long")) if column.type == "TIMESTAMP" else value.cast(column.spark_type)
-        layer = layer.withColumn(f"v{i}", value)
+def _judged(batch: DataFrame, target: Target, keys: Sequence[str], order_by: Sequence[str], pattern: str) -> Checked:
+    """The rows of a batch; the cause of a reject stands for the row as a whole."""
+    values = {c.name: f"v{i}" for i, c in enumerate(target.columns)}
+    of_key = Window.partitionBy(*[f"g{i}" for i in range(len(keys))], LANE)
+    mark = F.col(HELD) | F.col(NEW)
+    in_order = of_key.orderBy(mark.desc(), *[values[c] for c in compared_columns(target.names, keys, order_by)])
+    # what is known of the key is sorted before its rows, of which the first has no row before it
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    layer = batch.withColumns({
+        "held": F.max(F.col(HELD) & ~F.col(NEW)).over(so_far),
+        "new": F.max(NEW).over(so_far),
+        "nth": F.sum(F.when(mark, 0).otherwise(1)).over(so_far),
+    }).where(~mark)
+    known = F.col("held") | ~F.col("new")
+    cause = F.when(F.col(FAULT).isNotNull(), F.col(FAULT)).when(known, F.lit(PRESENT)).when(F.col("nth") > 1, F.lit(REPEATED))
     shown = row_text([(F.col(f"v{i}"), c) for i, c in enumerate(target.columns)], REJECT_SEPARATOR, pattern)
-    layer = layer.withColumns({"cause": F.col(FAULT), "shown": F.coalesce(ROW_TEXT, shown)}).drop(FAULT, ROW_TEXT)
-    fields = [Field(c, f"c{i}", Cell(F.col(f"v{i}"), None), c.name) for i, c in enumerate(target.columns)]
+    layer = layer.select(*values.values(), cause.alias("cause"), F.coalesce(ROW_TEXT, shown).alias("shown"))
+    fields = [Field(c, f"v{i}", Cell(F.col(f"v{i}"), None), c.name) for i, c in enumerate(target.columns)]
     return Checked(layer, fields, "cause", F.col("shown"))
-
-
-def _order(target: Target, keys: Sequence[str], order_by: Sequence[str]) -> list[tuple[str, Callable]]:
-    """The columns that rows are compared by, and how their bytes are read; nulls come first and NaN last."""
-    compared = dict.fromkeys([*order_by, *[n for n in target.names if n not in keys], *keys])
-    numbers = {name: i for i, name in enumerate(target.names)}
-    return [(f"c{numbers[name]}", _reader(target.columns[numbers[name]].type)) for name in compared]
-
-
-def _reader(kind: str) -> Callable:
-    if kind in ("STRING", "VARBINARY"):
-        return lambda value: (1, bytes(value))
-    if kind == "FLOAT":
-        return lambda value: (2,) if value == b"NaN" else (1, float(value))
-    if kind == "DECIMAL":
-        return lambda value: (1, Decimal(bytes(value).decode()))
-    return lambda value: (1, int(value))
