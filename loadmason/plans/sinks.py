@@ -17,7 +17,7 @@ from ..errors import CommitConflict, TargetMissing
 from ..functions.types import Target
 from ..operators.keys import any_null, with_keys, without_keys
 from ..operators.schema import check_target
-from ..session import drop_empty, drop_file, drop_path, exists, list_files, move_file, new_path
+from ..session import drop_empty, drop_file, drop_path, exists, list_files, move_files, new_path
 from .commits import CommitLog, Entry, retried
 
 DEFAULT_BATCH_SIZE = 300
@@ -26,7 +26,7 @@ MERGING_FORMATS = ("delta", "iceberg", "hudi")
 KEEP_VERSIONS = 2
 VERSION = "__v_"
 ROWS = "__rows"
-PATH = "__path"
+FILE = "__file"
 # Formats whose files Spark writes by path as it does for a table.
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "text")
 # A table without partitions gets a whole new version where at least this share of its files would be written anew.
@@ -198,7 +198,8 @@ class TableSink:
         named = rows.toDF(*self.target.names)
         writer = named.write.format(self.layout.provider)
         if self.max_records_per_file is not None:
-            writer = writer.option("maxRecordsPerFile", self.max_records_per_file)
+            # files may be many, so each task puts its own in place; nothing counts before the entry in the log
+            writer = writer.options(**{"maxRecordsPerFile": self.max_records_per_file, "mapreduce.fileoutputcommitter.algorithm.version": 2})
         if self.layout.buckets:
             # only a table's files carry the number of their bucket; this one is forgotten, its files stay
             copy = f"{self.table}_{uuid.uuid4().hex}"
@@ -242,12 +243,10 @@ class TableSink:
         if entry.loading is not None:
             homes = self._homes({name.rpartition("/")[0] for name in entry.add})
 
-            def move(name: str) -> None:
-                folder, _, file = name.rpartition("/")
-                move_file(self.spark, f"{entry.loading}/{name}", f"{homes[folder]}/{file}")
-
+            # a file's place in the folder it is loaded from, and where its partition is
+            split = [(name, *name.rpartition("/")[::2]) for name in entry.add]
+            move_files(self.spark, [(f"{entry.loading}/{name}", f"{homes[folder]}/{file}") for name, folder, file in split], MOVERS)
             with ThreadPoolExecutor(MOVERS) as pool:
-                list(pool.map(move, entry.add))
                 list(pool.map(lambda path: drop_file(self.spark, path, encoded=True), entry.remove))
             for spec, folder in entry.emptied:
                 if drop_empty(self.spark, folder, encoded=True):
@@ -320,14 +319,22 @@ class TableSink:
         """The table's files that hold a listed key; as many at most as the table has files."""
         partitions = self.layout.partitions
         columns = dict.fromkeys([*keys, *partitions])
-        held = self.rows().select(*columns, F.col("_metadata.file_path").alias(PATH))
+        # rows go by a number of their file; should two files have the same, both count as found
+        if not self.rows().inputFiles():
+            return []
+        number = F.xxhash64("_metadata.file_path")
+        held = self.rows().select(*columns, number.alias(FILE))
         if set(partitions) <= set(keys) and partitions:
             # the condition always holds; Spark takes the partitions to scan from a filtered side
             listed = latest.where(F.xxhash64(*keys).isNotNull())
             held = self._of_partitions(self._touched(listed, partitions), partitions, held)
         found = with_keys(held, latest, keys, small, null_safe)
+        numbers = {row[FILE] for row in found.select(FILE).distinct().collect()}
+        if not numbers:
+            return []
         named = [F.col(quoted(p)).cast("string").alias(f"p{i}") for i, p in enumerate(partitions)]
-        return found.select(F.col(PATH).alias("path"), *named).distinct().collect()
+        files = self.rows().select(F.col("_metadata.file_path").alias("path"), number.alias(FILE), *named).distinct().collect()
+        return [file for file in files if file[FILE] in numbers]
 
     def _merge(self, latest: DataFrame, keys: Sequence[str]) -> None:
         view = f"latest_{uuid.uuid4().hex}"

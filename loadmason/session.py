@@ -6,6 +6,8 @@ import re
 import sys
 import tempfile
 import uuid
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
 from pyspark import cloudpickle
@@ -132,25 +134,42 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     hadoop_path, files = _hadoop(spark, path)
     if not files.exists(hadoop_path):
         return []
-    base, found, out = files.makeQualified(hadoop_path).toString() + "/", files.listFiles(hadoop_path, True), []
-    while found.hasNext():
-        name = found.next().getPath().toString().removeprefix(base)
-        if not any(part.startswith(("_", ".")) and "=" not in part for part in name.split("/")):
-            out.append(name)
+    base, out, folders = files.makeQualified(hadoop_path).toString() + "/", [], [hadoop_path]
+    # not listFiles, which asks a local disk for the owner of each file by a process of its own
+    while folders:
+        for status in files.listStatus(folders.pop()):
+            path = status.getPath()
+            if status.isDirectory():
+                folders.append(path)
+                continue
+            name = path.toString().removeprefix(base)
+            if not any(part.startswith(("_", ".")) and "=" not in part for part in name.split("/")):
+                out.append(name)
     return out
 
 
-def move_file(spark: SparkSession, source: str, goal: str) -> None:
-    """Moves a file, unless an earlier attempt has."""
-    source_path, files = _hadoop(spark, source)
-    goal_path, _ = _hadoop(spark, goal)
-    if not files.exists(source_path):
-        if not files.exists(goal_path):
-            raise FileNotFoundError(source)
+def move_files(spark: SparkSession, moves: Sequence[tuple[str, str]], movers: int) -> None:
+    """Moves files, except those that an earlier attempt has; what all have in common is asked for once."""
+    if not moves:
         return
-    files.mkdirs(goal_path.getParent())
-    if not files.rename(source_path, goal_path) and not files.exists(goal_path):
-        raise OSError(f"{source} could not be moved to {goal}")
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    _, files = _hadoop(spark, moves[0][0])
+    for folder in {goal.rpartition("/")[0] for _, goal in moves}:
+        files.mkdirs(path_of(folder))
+
+    def move(pair: tuple[str, str]) -> None:
+        source, goal = path_of(pair[0]), path_of(pair[1])
+        problem = None
+        try:
+            if files.rename(source, goal):
+                return
+        except Py4JJavaError as error:
+            problem = error
+        if not files.exists(goal):
+            raise OSError(f"{pair[0]} could not be moved to {pair[1]}") from problem
+
+    with ThreadPoolExecutor(movers) as pool:
+        list(pool.map(move, moves))
 
 
 def drop_file(spark: SparkSession, path: str, encoded: bool = False) -> None:
