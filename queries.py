@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 
 import loadmason as lm
 from loadmason.functions.digests import md5_base64, md5_bytes, md5_uuid
+from loadmason.operators.batches import whole_batches
 from loadmason.operators.rows import fingerprint
+from loadmason.plans.sinks import DEFAULT_BATCH_SIZE
 from loadmason.session import new_path, tune
 from loadmason.streaming.micro_batch import batch_loader
 
@@ -725,14 +727,18 @@ def store_format(spark, folder):
     return plain(spark.table(table))
 
 
-@query("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_larger FROM orders")
+@query(
+    """SELECT rows_in_file, count(*) AS n_files FROM (
+         SELECT count(*) AS rows_in_file FROM (SELECT (row_number() OVER () - 1) // 300 AS file FROM orders) GROUP BY file)
+       GROUP BY rows_in_file"""
+)
 def batch_size(spark, folder):
-    """Rows stored in batches of the default size, from as many tasks as there are: all of them, and no file is larger."""
+    """Rows stored in batches of the default size, from as many tasks as there are: every file but the last holds one."""
     orders = read(spark, folder, "orders")
     table = fresh_table(spark, "batches", orders.schema)
-    lm.store(orders, table, batch_size=0)
-    files = spark.table(table).groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("n"))
-    return files.agg(F.sum("n").alias("n_rows"), F.count_if(F.col("n") > 300).alias("n_larger"))
+    lm.store(whole_batches(orders, DEFAULT_BATCH_SIZE), table, batch_size=0)
+    files = spark.table(table).groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("rows_in_file"))
+    return files.groupBy("rows_in_file").agg(F.count(F.lit(1)).alias("n_files"))
 
 
 @query("SELECT * FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT * FROM orders WHERE o_orderkey % 2 = 1")
