@@ -48,6 +48,10 @@ SLICE_DOCS = 1 << 16
 # Text for each bucket: about a million windows.
 BUCKET_BYTES = 6 << 20
 NO_ID = (1 << 63) - 1
+# Ids in ascending order stay so as unsigned numbers with this bit turned.
+_SIGN = np.uint64(1 << 63)
+# Bundles are written and shuffled, so packing them tighter is worth its time.
+TIGHT = 9
 
 _KEY, _CHECK = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 _ROLLS = [(_Powers(base), _Powers(pow(base, -1, 1 << 64))) for base in (_KEY, _CHECK)]
@@ -115,7 +119,7 @@ def bundles(docs: DataFrame) -> DataFrame:
         def row() -> pa.RecordBatch:
             sink = pa.BufferOutputStream()
             batch = pa.record_batch([pa.array(ids, pa.int64()), pa.array(texts, pa.binary())], schema=_DOCS)
-            with pa.ipc.new_stream(sink, _DOCS, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            with pa.ipc.new_stream(sink, _DOCS, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=TIGHT))) as out:
                 out.write_batch(batch)
             return pa.RecordBatch.from_pydict({"slice": [name], "at": [at], "bytes": [size], "payload": [sink.getvalue().to_pybytes()]})
 
@@ -142,6 +146,27 @@ def _opened(payloads: list[bytes], size: int) -> Slice:
     return Slice(held.column("doc_id").to_numpy(), held.column("text").to_pylist(), size)
 
 
+def narrow_ids(ids: np.ndarray) -> bytes:
+    """Ids in ascending order as the first one and differences, in as few bytes each as the largest needs."""
+    return narrow(ids.astype(np.int64).view(np.uint64) ^ _SIGN)
+
+
+def wide_ids(blob: bytes) -> np.ndarray:
+    return (wide(blob) ^ _SIGN).view(np.int64)
+
+
+def packed(numbers: np.ndarray, count: int) -> bytes:
+    """Numbers below ``count`` in as many bits each as those need."""
+    bits = max(1, (count - 1).bit_length())
+    return np.packbits(((numbers[:, None] >> np.arange(bits)) & 1).astype(bool)).tobytes()
+
+
+def unpacked(blob: bytes, count: int, n: int) -> np.ndarray:
+    bits = max(1, (count - 1).bit_length())
+    table = np.unpackbits(np.frombuffer(blob, np.uint8), count=n * bits).reshape(n, bits)
+    return table @ (1 << np.arange(bits))
+
+
 _DEALT = "bucket long, slice long, at long, n long, keys binary, checks binary, docs binary, least binary"
 
 
@@ -152,7 +177,7 @@ def dealt_windows(bundled: DataFrame, buckets: int, size: int) -> DataFrame:
         one = _opened(payloads, size)
         for bucket, part in one.buckets(buckets):
             used, least = np.unique(one.least[part], return_inverse=True)
-            blobs = [narrow(one.keys[part]), one.checks[part].tobytes(), one.ids[used].tobytes(), least.astype(np.uint16).tobytes()]
+            blobs = [narrow(one.keys[part]), one.checks[part].tobytes(), narrow_ids(one.ids[used]), packed(least, len(used))]
             yield pa.RecordBatch.from_arrays(
                 [*[pa.array([x], pa.int64()) for x in (bucket, name, at, len(payloads))], *[pa.array([b], pa.binary()) for b in blobs]],
                 names=[c.split()[0] for c in _DEALT.split(", ")],
@@ -181,7 +206,8 @@ def earlier_elsewhere(dealt: DataFrame) -> DataFrame:
     def answers(rows: list[dict]) -> Iterator[pa.RecordBatch]:
         keys = [wide(r["keys"]) for r in rows]
         checks = np.concatenate([np.frombuffer(r["checks"], np.uint16) for r in rows])
-        docs = np.concatenate([np.frombuffer(r["docs"], np.int64)[np.frombuffer(r["least"], np.uint16)] for r in rows])
+        ids = [wide_ids(r["docs"]) for r in rows]
+        docs = np.concatenate([i[unpacked(r["least"], len(i), len(k))] for i, r, k in zip(ids, rows, keys, strict=True)])
         bounds = np.cumsum([0, *map(len, keys)])
         joined = np.concatenate(keys)
         order = np.argsort(joined, kind="stable")
