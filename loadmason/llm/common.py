@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +63,16 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """A task's function that gives memory back once all it made is gone."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return wrapped
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches with their texts as bytes; a null text is empty."""
     for batch in batches:

@@ -255,10 +255,12 @@ def overlaps(left: list[bytes], right: list[bytes] | None, num: int, den: int) -
 
 
 def bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
-    flags = np.zeros((len(sets), bits), bool)
-    for i, one in enumerate(sets):
-        flags[i, (one & np.uint64(bits - 1)).astype(np.int64)] = True
-    return np.packbits(flags, axis=1).view(np.uint64)
+    packed = np.empty((len(sets), bits // 8), np.uint8)
+    for row, one in zip(packed, sets, strict=True):
+        flags = np.zeros(bits, bool)
+        flags[(one & np.uint64(bits - 1)).astype(np.int64)] = True
+        row[:] = np.packbits(flags)
+    return packed.view(np.uint64)
 
 
 def _shared(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:

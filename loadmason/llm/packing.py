@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import park, text_slices
+from .common import giving_back, park, text_slices
 from .units import encode_whole, tokenizer_store
 
 TOKENIZER = "word_bpe_49k.json"
@@ -121,7 +121,7 @@ def pack(pieces: DataFrame, length: int = LENGTH, group_pieces: int = GROUP_PIEC
             places = [pa.array(sequences, pa.int64()), pa.array(offsets, pa.int64())]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *places], names=[*kept, "sequence_id", "offset"])
 
-    placed = in_order.mapInArrow(fill, f"{_PIECES}, sequence_id long, offset long")
+    placed = in_order.mapInArrow(giving_back(fill), f"{_PIECES}, sequence_id long, offset long")
     return placed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "ids")
 
 

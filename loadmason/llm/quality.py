@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import park, text_slices
+from .common import park, release, text_slices
 from .text_arrays import SPACE, TextArrays, byte_table, distinct_words, doubled_words, duplicate_lines, repeated_words
 
 FOLDS, HELD_OUT = 5, 0
@@ -182,9 +182,12 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier does not reject, with all their columns.
 
-    Texts are measured again where they lie, so no text is shuffled.
+    Texts are measured again where they lie, so no text is shuffled. What is learned from is
+    written first: measuring and adding up in one stage would take two Python workers a core.
     """
-    model = learn(document_statistics(docs), labels)
+    measured = park(document_statistics(docs), "statistics")
+    model = learn(measured, labels)
+    release(measured)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import park
+from .common import giving_back, park
 
 SLICE_KEYS = 1 << 20
 # A slice numbers its owners in 16 bits.
@@ -55,7 +55,7 @@ def _links(owner: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _dealt(owners: np.ndarray, keys: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[list]:
     """A slice's keys by bucket, and last (bucket null) the links within it."""
     names, index = np.unique(owners, return_inverse=True)
-    by_key = np.repeat(index, counts)
+    by_key = np.repeat(index.astype(np.uint16), counts)
     order = np.lexsort((by_key, keys))
     keys, owner = keys[order], by_key[order]
     new = np.ones(len(keys), bool)
@@ -99,6 +99,7 @@ def shared_key_links(rows: DataFrame) -> DataFrame:
         if not held:
             return
         owners, keys, counts = (np.concatenate(c) for c in zip(*held, strict=True))
+        held.clear()  # the arrays now hold all of it
         ends = np.concatenate([[0], np.cumsum(counts)])
         for a in range(0, len(owners), SLICE_OWNERS):
             b = min(a + SLICE_OWNERS, len(owners))
@@ -121,11 +122,11 @@ def shared_key_links(rows: DataFrame) -> DataFrame:
         if held:
             yield _bucket_links(held)
 
-    dealt = rows.select("owner", "keys").mapInArrow(deal, _DEALT)
+    dealt = rows.select("owner", "keys").mapInArrow(giving_back(deal), _DEALT)
     # links within slices go anywhere
     spread = F.coalesce("bucket", F.pmod(F.xxhash64("owners"), F.lit(buckets)))
     in_order = dealt.repartition(spread).sortWithinPartitions("bucket")
-    return in_order.mapInArrow(link, "a long, b long")
+    return in_order.mapInArrow(giving_back(link), "a long, b long")
 
 
 def _bucket_links(rows: list[dict]) -> pa.RecordBatch:

@@ -25,7 +25,7 @@ _SHORT = _numbers(64)
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 # Running sums start anew after this many bytes.
-_BLOCK = 1 << 20
+_BLOCK = 1 << 16
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import giving_back
+
 # Members and bytes of a block, about.
 BLOCK_ROWS = 512
 BLOCK_BYTES = 8 << 20
@@ -71,7 +73,7 @@ def tile_links(rows: DataFrame, link: Callable[[str, list[bytes], list[bytes] |
             if found is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in found], names=["id", "links", "root"])
 
-    return sorted_rows.select("task", "side", "id", "weight", "payload").mapInArrow(run, "id long, links long, root long")
+    return sorted_rows.select("task", "side", "id", "weight", "payload").mapInArrow(giving_back(run), "id long, links long, root long")
 
 
 def _tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
