@@ -10,7 +10,11 @@
    classes that share a key are candidates. A third of all documents holding
    the same passage does not make a hot key: a key stands for all that a
    document has in a part.
-3. Connected candidates are compared in size-banded tiles: hashed bitmaps
+3. Documents with a passage in common share keys too, and through them most
+   documents would be connected. So the classes of each different group that
+   shares keys are held against each other by bitmaps of a bit or two for each
+   shingle, and only those that may reach the threshold stay connected.
+4. Connected candidates are compared in size-banded tiles: hashed bitmaps
    bound every pair's overlap from above by their bit counts, and pairs that
    may reach the threshold are decided by intersecting their sorted arrays.
    Large groups are cut into blocks, and no task gives out pairs.
@@ -39,15 +43,17 @@ from pyspark.sql import functions as F
 from .classes import grouped, groups_of_rows
 from .common import park, quoted, release, text_slices
 from .components import components
-from .shared_keys import KeyFilter, free_names, shared_key_links
+from .shared_keys import KeyFilter, free_names, owner_groups, shared_key_links
 from .text_arrays import TextArrays, mix
-from .tiles import tile_links, tile_tasks
+from .tiles import tile_links, tile_roots, tile_tasks
 
 SIZE, NUM, DEN = 3, 9, 10
 # Each size band reaches this many times as far as the one before, less one step at least.
 BAND_RATIO = 1.25
 # At most this share of sets of a band should have more empty parts than are allowed for.
 EMPTY_SHARE = 1e-3
+# Bits of the largest bitmap of a candidate; larger sets have fewer than one for each shingle.
+SKETCH_BITS = 1 << 15
 
 _SUM1, _SUM2, _PART = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F), np.uint64(0x2545F4914F6CDD1D)
 _BAND, _PLACE = np.uint64(0xD1342543DE82EF95), np.uint64(0x9FB21C651E98DF25)
@@ -128,7 +134,7 @@ def _key(band: np.ndarray, part: np.ndarray, sums: np.ndarray) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """``doc_id``, a 128-bit hash of the text, ``n_shingles``, one of the set (null if empty) and the keys of its parts."""
+    """``doc_id``, a 128-bit hash of the text, ``n_shingles``, one of the set (null if empty), the keys of its parts and its bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches):
@@ -142,10 +148,11 @@ def shingle_sets(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
                 pa.array(np.diff(bounds), pa.int64()),
                 *[pa.array(h.view(np.int64), pa.int64(), mask=empty) for h in _set_hashes(sets, bounds)],
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[order].view(np.int64))),
+                pa.array([sketch(sets[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "t1", "t2", "n_shingles", "h1", "h2", "keys"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "t1", "t2", "n_shingles", "h1", "h2", "keys", "sketch"])
 
-    schema = "doc_id long, t1 long, t2 long, n_shingles long, h1 long, h2 long, keys array<long>"
+    schema = "doc_id long, t1 long, t2 long, n_shingles long, h1 long, h2 long, keys array<long>, sketch binary"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_text_hashes()).mapInArrow(run, schema)
 
 
@@ -180,17 +187,21 @@ def _linked_classes(docs: DataFrame, size: int, num: int, den: int) -> tuple[Dat
     """The sets, and their classes (``h1``, ``h2``) with ``n_links`` and ``first``: the smallest document that links lead to, by its id and the hash of its text."""
     sets = shingle_sets(docs, size, num, den).withColumn("row", F.monotonically_increasing_id())
     keyed = park(sets, "part-keys")
-    sets = park(keyed.drop("keys"), "shingle-sets")
+    sets = park(keyed.drop("keys", "sketch"), "shingle-sets")
     some = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     known = sets.where(some)
     # a class is numbered by its first row, as ids may repeat with other texts
     classes = known.groupBy("n_shingles", "h1", "h2")
     # a group is connected through its smallest member; its pairs are never written
     links = park(shared_key_links(keyed.where(some).select(F.col("h1").alias("owner"), "keys")), "shared-keys")
-    release(keyed)
     # half the hash of a set tells the candidates apart; the other half decides what is equal
-    candidates = park(components(links), "candidates")
-    release(links)
+    sketches = keyed.where(some).select(F.col("h1").alias("id"), F.col("n_shingles").alias("size"), F.col("sketch").alias("payload"))
+    sketches = park(sketches.distinct(), "sketches")
+    release(keyed)
+    near = park(_near(links, sketches, num, den), "near")
+    release(links, sketches)
+    candidates = park(components(near), "candidates")
+    release(near)
 
     least = F.min(F.struct("doc_id", "t1", "t2")).alias("least")
     sized = park(classes.agg(F.min("row").alias("id"), F.count(F.lit(1)).alias("weight"), least), "classes")
@@ -198,6 +209,12 @@ def _linked_classes(docs: DataFrame, size: int, num: int, den: int) -> tuple[Dat
     return sets, grouped(sized, linked)
 
 
+def _near(links: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs that connect the candidates whose bitmaps allow a link, in every group that shares keys."""
+    members = park(owner_groups(links).withColumnRenamed("owner", "id"), "group-members")
+    return tile_roots(members.join(sketches, "id"), lambda sizes, maps: near_roots(sizes, maps, num, den))
+
+
 def _compared(docs: DataFrame, sized: DataFrame, candidates: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """The links among connected candidates."""
     # sizes of linked sets are at most one band of this ratio apart
@@ -254,6 +271,35 @@ def overlaps(left: list[bytes], right: list[bytes] | None, num: int, den: int) -
     return matrix | matrix.T if right is None else matrix
 
 
+def sketch(one: np.ndarray) -> bytes:
+    """The bitmap of a set, with a bit or two for each shingle."""
+    return bitmaps([one], min(SKETCH_BITS, max(64, 1 << (len(one) - 1).bit_length()))).tobytes()
+
+
+def near_roots(sizes: np.ndarray, sketches: list[bytes], num: int, den: int) -> np.ndarray:
+    """For each set the first one of those that it is connected with by pairs whose bitmaps allow a link."""
+    words = min(map(len, sketches)) // 8
+    # a larger bitmap folded over is the one with fewer bits
+    maps = np.stack([np.bitwise_or.reduce(np.frombuffer(x, np.uint64).reshape(-1, words), axis=0) for x in sketches])
+    roots = np.arange(len(sizes))
+    left = roots.copy()
+    while len(left) > 1:
+        first, left = int(left[0]), left[1:]
+        queue = [first]
+        while queue and len(left):
+            one = queue.pop()
+            rest = maps[left]
+            # a bit that only one side has is a shingle that only it has
+            only_one = np.bitwise_count(maps[one] & ~rest).sum(1, dtype=np.int64)
+            only_rest = np.bitwise_count(~maps[one] & rest).sum(1, dtype=np.int64)
+            need = -(-num * (sizes[one] + sizes[left]) // (num + den))
+            may = np.minimum(sizes[one] - only_one, sizes[left] - only_rest) >= need
+            queue += left[may].tolist()
+            roots[left[may]] = first
+            left = left[~may]
+    return roots
+
+
 def bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
     packed = np.empty((len(sets), bits // 8), np.uint8)
     for row, one in zip(packed, sets, strict=True):

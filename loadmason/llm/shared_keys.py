@@ -6,7 +6,8 @@ within the slice give their links at once) and dealt by its value into
 buckets, as differences of sorted numbers. A bucket, wherever Spark sends it,
 links the owners of each key to the smallest of them. So a key is shuffled
 once, in eight or nine bytes, and a key that everything shares is one entry a
-slice. The number of buckets grows with the keys.
+slice. The number of buckets grows with the keys. Owners that share many keys
+are one group, not one for each key.
 """
 
 from __future__ import annotations
@@ -45,15 +46,16 @@ def wide(data: bytes) -> np.ndarray:
     return np.cumsum(np.concatenate([first, steps.view(np.uint64).ravel()]), dtype=np.uint64)
 
 
-def _links(owner: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The different pairs of an owner and a smaller one."""
+def _links(keys: np.ndarray, owner: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each owner of a key but the smallest, that one, and the key; the keys come sorted with their owners, and start at ``first``."""
+    least = np.repeat(owner[first], np.diff([*first.tolist(), len(keys)]))
     apart = owner != least
-    pairs = np.unique(np.stack([owner[apart], least[apart]], 1), axis=0)
-    return pairs[:, 0], pairs[:, 1]
+    apart[1:] &= (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
+    return owner[apart], least[apart], keys[apart].view(np.int64)
 
 
 def _dealt(owners: np.ndarray, keys: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[list]:
-    """A slice's keys by bucket, and last (bucket null) the links within it."""
+    """A slice's keys by bucket, and last (bucket null) the links within it and their keys."""
     names, index = np.unique(owners, return_inverse=True)
     by_key = np.repeat(index.astype(np.uint16), counts)
     order = np.lexsort((by_key, keys))
@@ -61,7 +63,7 @@ def _dealt(owners: np.ndarray, keys: np.ndarray, counts: np.ndarray, buckets: in
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
     first = np.flatnonzero(new)
-    within = _links(names[owner], np.repeat(names[owner[first]], np.diff([*first.tolist(), len(keys)]))) if len(first) < len(keys) else None
+    within = _links(keys, names[owner], first) if len(first) < len(keys) else None
     keys, owner = keys[first], owner[first]
     bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
     cuts = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(bucket)]
@@ -69,12 +71,13 @@ def _dealt(owners: np.ndarray, keys: np.ndarray, counts: np.ndarray, buckets: in
         used, least = np.unique(owner[a:b], return_inverse=True)
         yield [int(bucket[a]), narrow(keys[a:b]), names[used].tobytes(), least.astype(np.uint16).tobytes()]
     if within is not None and len(within[0]):
-        yield [None, None, within[0].tobytes(), within[1].tobytes()]
+        yield [None, within[2].tobytes(), within[0].tobytes(), within[1].tobytes()]
 
 
 def shared_key_links(rows: DataFrame) -> DataFrame:
-    """``a`` and ``b``: pairs of owners, a larger and a smaller one, through which all owners of each key are connected.
-    A pair comes up at most once for each bucket and slice.
+    """``a``, ``b`` and ``key``: pairs of owners, a larger and a smaller one, through which all owners of each key are connected.
+    Every owner of a shared key but its smallest is an ``a`` of it, and the smallest ``b`` of a key is that one.
+    A pair comes up at most once for each key in each bucket and slice.
 
     ``rows`` has ``owner`` (long) and ``keys`` (array of longs); an owner may have several rows.
     """
@@ -114,9 +117,9 @@ def shared_key_links(rows: DataFrame) -> DataFrame:
                 if held and row["bucket"] != held[0]["bucket"]:
                     yield _bucket_links(held)
                     held = []
-                if row["keys"] is None:
-                    pair = [np.frombuffer(row[c], np.int64) for c in ("owners", "least")]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in pair], names=["a", "b"])
+                if row["bucket"] is None:
+                    pair = [np.frombuffer(row[c], np.int64) for c in ("owners", "least", "keys")]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in pair], names=["a", "b", "key"])
                 else:
                     held.append(row)
         if held:
@@ -126,7 +129,7 @@ def shared_key_links(rows: DataFrame) -> DataFrame:
     # links within slices go anywhere
     spread = F.coalesce("bucket", F.pmod(F.xxhash64("owners"), F.lit(buckets)))
     in_order = dealt.repartition(spread).sortWithinPartitions("bucket")
-    return in_order.mapInArrow(giving_back(link), "a long, b long")
+    return in_order.mapInArrow(giving_back(link), "a long, b long, key long")
 
 
 def _bucket_links(rows: list[dict]) -> pa.RecordBatch:
@@ -137,12 +140,25 @@ def _bucket_links(rows: list[dict]) -> pa.RecordBatch:
     same = np.zeros(len(keys) + 1, bool)
     same[1:-1] = ordered[1:] == ordered[:-1]
     several = order[same[1:] | same[:-1]]
-    if not len(several):
-        return pa.RecordBatch.from_pydict({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
     k, o = keys[several], owner[several]
-    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-    least = np.repeat(np.minimum.reduceat(o, first), np.diff([*first.tolist(), len(k)]))
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in _links(o, least)], names=["a", "b"])
+    order = np.lexsort((o, k))
+    k, o = k[order], o[order]
+    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.empty(0, np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in _links(k, o, first)], names=["a", "b", "key"])
+
+
+def owner_groups(links: DataFrame) -> DataFrame:
+    """``grp``, ``owner`` and ``n``: the different sets of owners that share a key, each once, whatever the number of keys they share.
+
+    ``links`` is what ``shared_key_links`` gives, written out, so that Spark can split the
+    part of a key with very many owners. ``n`` is the number of owners; some may be counted twice.
+    """
+    # sums of 33 bits, which very many rows do not overflow
+    sums = [F.sum(F.shiftright(F.xxhash64(F.lit(salt), "a"), 31)).alias(f"s{salt}") for salt in (1, 2)]
+    by_key = links.groupBy("key").agg(*sums, F.min("b").alias("least"), (F.count(F.lit(1)) + 1).alias("n"))
+    groups = park(by_key.groupBy("s1", "s2", "least", "n").agg(F.min("key").alias("grp")).select("grp", "least", "n"), "owner-groups")
+    others = links.join(groups, links["key"] == groups["grp"]).select("grp", F.col("a").alias("owner"), "n")
+    return others.unionByName(groups.select("grp", F.col("least").alias("owner"), "n"))
 
 
 class KeyFilter:

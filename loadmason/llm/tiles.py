@@ -21,6 +21,8 @@ from .common import giving_back
 # Members and bytes of a block, about.
 BLOCK_ROWS = 512
 BLOCK_BYTES = 8 << 20
+# Members of a block where only bitmaps are compared.
+ROOT_ROWS = 4096
 
 
 def tile_tasks(members: DataFrame, rows: int = BLOCK_ROWS, size: int = BLOCK_BYTES) -> DataFrame:
@@ -76,6 +78,52 @@ def tile_links(rows: DataFrame, link: Callable[[str, list[bytes], list[bytes] |
     return sorted_rows.select("task", "side", "id", "weight", "payload").mapInArrow(giving_back(run), "id long, links long, root long")
 
 
+def tile_roots(members: DataFrame, connect: Callable[[np.ndarray, list[bytes]], np.ndarray], rows: int = ROOT_ROWS) -> DataFrame:
+    """``id`` and ``root``: pairs that connect what ``connect`` connects in each group, without the pairs of a member with itself.
+
+    ``members`` has ``grp``, ``n`` (members of the group, about), ``id``, ``size`` and ``payload``
+    (binary). ``connect`` gets sizes and payloads of one block, or of two, and gives for each the
+    place of one that it is connected with (its own if with none), the same for all that are connected.
+    """
+    blocks = F.ceil(F.col("n") / rows).cast("int")
+    own = members.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    task = ["grp", "low", "high"]
+    spread = own.select("grp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "size", "payload")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, held = None, ([], [], [])
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in task], 1)
+            cuts = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(1)) + 1).tolist(), len(names)]
+            columns = [batch.column(c).to_pylist() for c in ("id", "size", "payload")]
+            found = []
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                here = tuple(names[a].tolist())
+                if here != name:
+                    found += connected(held)
+                    name, held = here, ([], [], [])
+                for mine, column in zip(held, columns, strict=True):
+                    mine += column[a:b]
+            yield pairs(found)
+        yield pairs(connected(held))
+
+    def connected(held: tuple[list, list, list]) -> list[np.ndarray]:
+        ids = np.array(held[0], np.int64)
+        if len(ids) < 2:
+            return []
+        root = ids[connect(np.array(held[1], np.int64), held[2])]
+        apart = root != ids
+        return [np.stack([ids[apart], root[apart]], 1)] if apart.any() else []
+
+    def pairs(found: list[np.ndarray]) -> pa.RecordBatch:
+        both = np.concatenate(found) if found else np.empty((0, 2), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in both.T], names=["id", "root"])
+
+    return spread.repartition(*task).sortWithinPartitions(*task).mapInArrow(giving_back(run), "id long, root long")
+
+
 def _tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
     """The rows of one task after another; a task may go over the end of a batch."""
     held: list[pa.RecordBatch] = []
